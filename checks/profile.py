@@ -1 +1,189 @@
-"""Placeholder."""
+"""Profiling of whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from freightloom.operators import profile
+from freightloom.operators.dedup import duplicate_groups
+from freightloom.sources import write_data_dictionary
+from freightloom.session import scratch_dir
+
+from .fixture import table
+from .registry import query
+
+
+def gappy_orders(spark, sf_dir):
+    """Orders with values missing by rule, as the test tables have none missing."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"),
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
+        F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+        "o_orderpriority",
+    )
+
+
+GAPPY = """(SELECT o_orderkey, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS o_custkey,
+    NULLIF(o_orderstatus, 'P') AS o_orderstatus,
+    CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS o_totalprice, o_orderpriority FROM orders)"""
+GAPPY_COLUMNS = {
+    "o_orderkey": "bigint",
+    "o_custkey": "bigint",
+    "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderpriority": "string",
+}
+
+
+def _per_column(template: str, columns) -> str:
+    return " UNION ALL ".join(template.format(c=c, **extra) for c, extra in columns)
+
+
+@query("profile_shape", "SELECT COUNT(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns FROM lineitem")
+def shape(spark, sf_dir):
+    return profile.shape(table(spark, sf_dir, "lineitem"))
+
+
+@query(
+    "profile_types",
+    _per_column(
+        "SELECT '{c}' AS \"column\", '{t}' AS data_type, '{k}' AS kind, COUNT({c}) AS non_null, "
+        f"COUNT(*) AS total FROM {GAPPY}",
+        [
+            (c, {"t": t, "k": "categorical" if t == "string" else "numeric"})
+            for c, t in GAPPY_COLUMNS.items()
+        ],
+    ),
+)
+def types(spark, sf_dir):
+    return profile.type_census(gappy_orders(spark, sf_dir))
+
+
+NUMERIC_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+    "l_tax",
+)
+
+
+@query(
+    "profile_numeric",
+    _per_column(
+        """SELECT '{c}' AS "column", COUNT({c}) AS count,
+        ROUND(CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c}), 2) AS mean,
+        ROUND(stddev_samp({c}), 2) AS std,
+        ROUND(CAST(MIN({c}) AS DOUBLE), 2) AS min,
+        ROUND(CAST(quantile_cont({c}, 0.25) AS DOUBLE), 2) AS q25,
+        ROUND(CAST(quantile_cont({c}, 0.5) AS DOUBLE), 2) AS median,
+        ROUND(CAST(quantile_cont({c}, 0.75) AS DOUBLE), 2) AS q75,
+        ROUND(CAST(MAX({c}) AS DOUBLE), 2) AS max,
+        ROUND(CAST(MAX({c}) AS DOUBLE) - CAST(MIN({c}) AS DOUBLE), 2) AS range,
+        ROUND(CAST(quantile_cont({c}, 0.75) AS DOUBLE) - CAST(quantile_cont({c}, 0.25) AS DOUBLE), 2) AS iqr
+        FROM lineitem""",
+        [(c, {}) for c in NUMERIC_LINE_COLUMNS],
+    ),
+)
+def numeric(spark, sf_dir):
+    return profile.numeric_summary(table(spark, sf_dir, "lineitem"))
+
+
+TEXT_PART_COLUMNS = ("p_name", "p_brand", "p_type")
+
+
+@query(
+    "profile_distinct",
+    _per_column(
+        "SELECT '{c}' AS \"column\", COUNT(DISTINCT {c}) AS distinct_values FROM part",
+        [(c, {}) for c in TEXT_PART_COLUMNS],
+    ),
+)
+def distinct(spark, sf_dir):
+    return profile.distinct_counts(table(spark, sf_dir, "part"))
+
+
+@query(
+    "profile_top_values",
+    "WITH counted AS ("
+    + _per_column(
+        "SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS n FROM part WHERE {c} IS NOT NULL GROUP BY {c}",
+        [(c, {}) for c in TEXT_PART_COLUMNS],
+    )
+    + """) SELECT "column", position, substr(value, 1, 50) AS value, n,
+    ROUND(CAST(n AS DOUBLE) / (SELECT COUNT(*) FROM part) * 100, 2) AS percent
+    FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS position FROM counted)
+    WHERE position <= 10""",
+)
+def top_values(spark, sf_dir):
+    return profile.top_values(table(spark, sf_dir, "part"))
+
+
+MISSING = "WITH missing AS (" + _per_column(
+    "SELECT '{c}' AS \"column\", COUNT(*) FILTER ({c} IS NULL) AS missing, COUNT(*) AS total FROM " + GAPPY,
+    [(c, {}) for c in GAPPY_COLUMNS],
+) + ")"
+
+
+@query(
+    "profile_missing",
+    f"""{MISSING} SELECT "column", missing,
+    round_even(CAST(missing AS DOUBLE) / total * 100, 2) AS missing_percent FROM missing WHERE missing > 0""",
+)
+def missing(spark, sf_dir):
+    return profile.missing_values(gappy_orders(spark, sf_dir))
+
+
+@query(
+    "profile_missing_total",
+    f"""{MISSING} SELECT CAST(SUM(missing) AS BIGINT) AS missing_cells, CAST(SUM(total) AS BIGINT) AS total_cells,
+    ROUND(CAST(SUM(missing) AS DOUBLE) / SUM(total) * 100, 4) AS missing_percent FROM missing""",
+)
+def missing_total(spark, sf_dir):
+    return profile.missing_total(gappy_orders(spark, sf_dir))
+
+
+@query(
+    "profile_quality_summary",
+    f"""{MISSING} SELECT MAX(total) AS n_rows, CAST(5 AS BIGINT) AS n_columns, CAST(3 AS BIGINT) AS numeric_columns,
+    CAST(2 AS BIGINT) AS categorical_columns, CAST(SUM(missing) AS BIGINT) AS missing_cells,
+    ROUND(CAST(SUM(missing) AS DOUBLE) / SUM(total) * 100, 4) AS missing_percent,
+    ROUND((1 - CAST(SUM(missing) AS DOUBLE) / SUM(total)) * 100, 2) AS completeness_percent FROM missing""",
+)
+def quality_summary(spark, sf_dir):
+    return profile.quality_summary(gappy_orders(spark, sf_dir))
+
+
+@query(
+    "profile_dictionary",
+    _per_column(
+        """SELECT '{c}' AS "column", '{t}' AS data_type, COUNT({c}) AS non_null,
+        COUNT(*) - COUNT({c}) AS missing, COUNT(DISTINCT {c}) AS distinct_values,
+        {lo} AS minimum, {hi} AS maximum FROM """
+        + GAPPY,
+        [
+            (
+                c,
+                {
+                    "t": t,
+                    "lo": "'-'" if t == "string" else f"printf('%.2f', CAST(MIN({c}) AS DOUBLE))",
+                    "hi": "'-'" if t == "string" else f"printf('%.2f', CAST(MAX({c}) AS DOUBLE))",
+                },
+            )
+            for c, t in GAPPY_COLUMNS.items()
+        ],
+    ),
+)
+def dictionary(spark, sf_dir):
+    """Written as CSV and read back, as a user of the file would."""
+    path = scratch_dir(spark, "dictionary")
+    found = profile.data_dictionary(gappy_orders(spark, sf_dir))
+    write_data_dictionary(found, path)
+    return spark.read.schema(found.schema).option("header", True).csv(path)
+
+
+@query(
+    "profile_duplicates",
+    """SELECT l_orderkey, l_linenumber, COUNT(*) AS copies FROM lineitem
+    GROUP BY ALL HAVING COUNT(*) > 1""",
+)
+def duplicates(spark, sf_dir):
+    return duplicate_groups(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))

@@ -1 +1,117 @@
-"""Placeholder."""
+"""Data-quality checks over staging tables and raw text."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from freightloom.functions import parse_order_ts
+from freightloom.operators import quality
+from freightloom.operators.projection import union_all_by_name
+from freightloom.schema import TABLES
+
+from .fixture import AS_OF, named_orders, staged, table
+from .profile import GAPPY, gappy_orders
+from .registry import query
+from .sql import AS_OF as SQL_AS_OF
+from .sql import over_flat, over_staged, parsed
+
+
+@query(
+    "dq_not_null",
+    f"""SELECT 'o_orderkey' AS "column", COUNT(*) AS n_rows, COUNT(*) FILTER (o_orderkey IS NULL) AS failures
+    FROM {GAPPY} UNION ALL
+    SELECT 'o_custkey', COUNT(*), COUNT(*) FILTER (o_custkey IS NULL) FROM {GAPPY} UNION ALL
+    SELECT 'o_orderstatus', COUNT(*), COUNT(*) FILTER (o_orderstatus IS NULL) FROM {GAPPY}""",
+)
+def not_null(spark, sf_dir):
+    return quality.not_null(gappy_orders(spark, sf_dir), ["o_orderkey", "o_custkey", "o_orderstatus"])
+
+
+@query(
+    "dq_unique",
+    over_staged(
+        """SELECT 'flat' AS table_name, CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(*) AS n_keys,
+        COUNT(*) FILTER (n > 1) AS repeated_keys,
+        CAST(COALESCE(SUM(n) FILTER (n > 1), 0) AS BIGINT) AS rows_with_repeated_key
+        FROM (SELECT Order_Id, COUNT(*) AS n FROM flat GROUP BY ALL)
+        UNION ALL SELECT 'stg_order', CAST(SUM(n) AS BIGINT), COUNT(*), COUNT(*) FILTER (n > 1),
+        CAST(COALESCE(SUM(n) FILTER (n > 1), 0) AS BIGINT)
+        FROM (SELECT order_id, COUNT(*) AS n FROM stg_order GROUP BY ALL)""",
+        "order",
+    ),
+)
+def unique(spark, sf_dir):
+    checked = {
+        "flat": quality.unique(named_orders(spark, sf_dir), ["Order_Id"]),
+        "stg_order": quality.unique(staged(spark, sf_dir, "order"), ["order_id"]),
+    }
+    return union_all_by_name([df.select(F.lit(name).alias("table_name"), "*") for name, df in checked.items()])
+
+
+@query(
+    "dq_castable",
+    over_flat(
+        """SELECT 'Order_Id' AS "column", 'bigint' AS wanted_type, COUNT(Order_Id) AS n_values,
+        COUNT(*) FILTER (NOT regexp_full_match(trim(Order_Id), '[+-]?[0-9]+')) AS failures FROM flat
+        UNION ALL SELECT 'Sales', 'bigint', COUNT(Sales),
+        COUNT(*) FILTER (NOT regexp_full_match(trim(Sales), '[+-]?[0-9]+')) FROM flat
+        UNION ALL SELECT 'Order_Item_Total', 'double', COUNT(Order_Item_Total),
+        COUNT(*) FILTER (TRY_CAST(Order_Item_Total AS DOUBLE) IS NULL) FROM flat
+        UNION ALL SELECT 'Shipping_Mode', 'double', COUNT(Shipping_Mode),
+        COUNT(*) FILTER (TRY_CAST(Shipping_Mode AS DOUBLE) IS NULL) FROM flat"""
+    ),
+)
+def castable(spark, sf_dir):
+    wanted = {"Order_Id": "bigint", "Order_Item_Total": "double", "Shipping_Mode": "double"}
+    flat = named_orders(spark, sf_dir)
+    return union_all_by_name([quality.castable(flat, wanted), quality.castable(flat, {"Sales": "bigint"})])
+
+
+@query(
+    "dq_recency",
+    over_staged(
+        f"""SELECT strftime(newest, '%Y-%m-%d %H:%M:%S') AS newest,
+        date_sub('day', newest, {SQL_AS_OF}) AS age_days, date_sub('day', newest, {SQL_AS_OF}) <= 1 AS is_recent
+        FROM (SELECT MAX({parsed('order_date')}) AS newest FROM stg_order)""",
+        "order",
+    ),
+)
+def recency(spark, sf_dir):
+    found = quality.recency(staged(spark, sf_dir, "order"), parse_order_ts("order_date"), days=1, as_of=AS_OF)
+    return found.withColumn("newest", F.date_format("newest", "yyyy-MM-dd HH:mm:ss"))
+
+
+COUNTED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@query(
+    "dq_row_counts",
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows FROM {t}" for t in COUNTED_TABLES),
+)
+def row_counts(spark, sf_dir):
+    return quality.row_counts({t: table(spark, sf_dir, t) for t in COUNTED_TABLES})
+
+
+@query(
+    "dq_schema_contract",
+    over_staged(
+        """SELECT 'shipping_date' AS "column", 'string' AS declared_type, 'string' AS actual_type, 'ok' AS status,
+        COUNT(shipping_date) AS n_values FROM stg_shipping
+        UNION ALL SELECT 'days_for_shipping_real', 'bigint', 'string', 'type differs',
+            COUNT(days_for_shipping_real) FROM stg_shipping
+        UNION ALL SELECT 'days_for_shipping_scheduled', 'bigint', 'bigint', 'ok',
+            COUNT(days_for_shipping_scheduled) FROM stg_shipping
+        UNION ALL SELECT 'shipping_mode', 'string', '-', 'missing', 0
+        UNION ALL SELECT 'delivery_status', 'string', 'string', 'ok', COUNT(delivery_status) FROM stg_shipping
+        UNION ALL SELECT 'carrier', '-', 'string', 'undeclared', COUNT(shipping_mode) FROM stg_shipping""",
+        "shipping",
+    ),
+)
+def schema_contract(spark, sf_dir):
+    """A drifted shipping table: one column retyped, one renamed."""
+    drifted = (
+        staged(spark, sf_dir, "shipping")
+        .withColumn("days_for_shipping_real", F.col("days_for_shipping_real").cast("string"))
+        .withColumnRenamed("shipping_mode", "carrier")
+    )
+    return quality.schema_contract(drifted, TABLES["shipping"].staged_schema)

@@ -65,7 +65,7 @@ def lead_time(
         ["shipping_mode", "days"],
     )
     quantiles = [
-        F.percentile("days", F.lit(p), "n").alias(f"p{round(100 * p)}_days") for p in probabilities
+        F.percentile("days", F.lit(p), F.col("n")).alias(f"p{round(100 * p)}_days") for p in probabilities
     ]
     return counted.groupBy("shipping_mode").agg(
         F.sum("n").alias("shipments"),

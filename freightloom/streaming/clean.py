@@ -24,25 +24,29 @@ def clean_and_stamp(df: DataFrame, stamp: str = "timestamp") -> DataFrame:
 def dedupe_stream(
     stream: DataFrame,
     keys: Sequence[str],
-    event_time: str,
+    event_time: str | None = None,
     delay: str = "1 hour",
     spread: int = SPREAD,
 ) -> DataFrame:
-    """Drop redelivered records: repeats of the keys within ``delay`` of event time.
+    """Drop redelivered records: repeats of the keys within ``delay``.
+
+    Time is the arrival of the record unless ``event_time`` names a timestamp
+    column. The watermark bounds the state, and repeats that come later than
+    ``delay`` pass through. With ``event_time``, *any* record older than the
+    watermark is dropped, repeated or not, so ``delay`` must then cover the
+    largest lateness.
 
-    The watermark bounds the state. A repeat that comes later than ``delay``
-    after the first one passes through.
     A key redelivered very often would send all its copies to one task. Copies
     are therefore dropped in two steps: first within ``spread`` random parts, and
     then among the at most ``spread`` survivors per key. Which part a copy falls
     into does not matter for the result. ``spread=1`` leaves the first step out.
     """
-    marked = stream.withWatermark(event_time, delay)
+    time = event_time or "_arrival"
+    timed = stream if event_time else stream.withColumn(time, F.current_timestamp())
+    timed = timed.withWatermark(time, delay)
     if spread > 1:
         part = F.floor(F.rand(seed=0) * spread)
-        marked = (
-            marked.withColumn("_part", part).dropDuplicatesWithinWatermark([*keys, "_part"]).drop("_part")
-        )
-    return marked.dropDuplicatesWithinWatermark(list(keys)).select(
+        timed = timed.withColumn("_part", part).dropDuplicatesWithinWatermark([*keys, "_part"])
+    return timed.dropDuplicatesWithinWatermark(list(keys)).select(
         *[F.col(quoted(c)) for c in stream.columns]
     )

@@ -23,8 +23,9 @@ def land(
 
     ``drain`` processes everything available and stops; otherwise the query runs
     on, one micro-batch per ``interval``. The checkpoint holds the offsets, so a
-    restart continues where the last committed batch ended, and a fresh
-    checkpoint replays the source.
+    restart continues where the last committed batch ended. A fresh checkpoint
+    replays the source; it needs a fresh ``path`` too, as the old one already
+    records its batches as landed.
     """
     writer = (
         stream.writeStream.format(file_format)
