@@ -8,7 +8,7 @@ from freightloom.operators.dedup import dedup_report, dedupe_by_key, flag_duplic
 from freightloom.operators.projection import union_all_by_name
 from freightloom.schema import TABLES
 
-from .fixture import named_orders, staged, table
+from .fixture import line_items, named_orders, staged
 from .registry import query
 from .sql import over_flat, over_staged
 
@@ -34,7 +34,7 @@ LINE_TIE = ["l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 )
 def by_key(spark, sf_dir):
     return dedupe_by_key(
-        table(spark, sf_dir, "lineitem"),
+        line_items(spark, sf_dir),
         LINE_KEYS,
         LINE_TIE,
         output=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"],
@@ -69,6 +69,6 @@ def report(spark, sf_dir):
         ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice) > 1 AS duplicate_flag FROM lineitem""",
 )
 def flags(spark, sf_dir):
-    return flag_duplicates(table(spark, sf_dir, "lineitem"), LINE_KEYS, LINE_TIE).select(
+    return flag_duplicates(line_items(spark, sf_dir), LINE_KEYS, LINE_TIE).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "duplicate_flag"
     )

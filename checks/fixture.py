@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from freightloom.functions.dates import ORDER_TS_OUTPUT_PATTERN
 from freightloom.operators.projection import standardise_names
 from freightloom.plans.staging import stage
+from freightloom.sources import spread_small
 from freightloom.sources.messages import ORDER_TOPIC
 
 # The day on which ages are measured: just after the newest order.
@@ -22,6 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest table; the test files hold it in one row group, read by one task."""
+    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
 def _text(value: Column | str, type_name: str | None = None) -> Column:
     value = F.col(value) if isinstance(value, str) else value
     return (value.cast(type_name) if type_name else value).cast("string")
@@ -39,7 +45,7 @@ def flat_orders(spark: SparkSession, sf_dir: str, customers: bool = False) -> Da
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(3,2)")
     joined = (
-        table(spark, sf_dir, "lineitem")
+        line_items(spark, sf_dir)
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))

@@ -18,6 +18,7 @@ from freightloom.operators.monthly import month_columns
 from .fixture import AS_OF, table
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
+from .sql import rounded_ratio
 
 ISO = "yyyy-MM-dd HH:mm:ss"
 
@@ -101,9 +102,9 @@ def rounding(spark, sf_dir):
 
 @query(
     "fn_safe_divide",
-    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     l_quantity / NULLIF(l_linenumber - 1, 0) AS ratio,
-    ROUND(CAST(l_linenumber AS DOUBLE) / 7 * 100, 2) AS percent FROM lineitem""",
+    {rounded_ratio('l_linenumber * 100', '7')} AS percent FROM lineitem""",
 )
 def safe_division(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(

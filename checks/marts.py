@@ -7,7 +7,17 @@ from freightloom.plans import marts
 from .fixture import AS_OF, staged
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
-from .sql import money, money_avg, money_sum, month_of, over_staged, parsed, year_of
+from .sql import (
+    money,
+    money_avg,
+    money_sum,
+    money_units,
+    month_of,
+    over_staged,
+    parsed,
+    rounded_ratio,
+    year_of,
+)
 
 YEAR, MONTH = year_of("order_date"), month_of("order_date")
 
@@ -17,8 +27,9 @@ YEAR, MONTH = year_of("order_date"), month_of("order_date")
     over_staged(
         """SELECT year, month_name, distinct_customers, cumulative_customers,
         CASE WHEN previous IS NULL THEN 1.0::DOUBLE
-             ELSE ROUND(CAST(previous AS DOUBLE) / NULLIF(cumulative_customers, 0), 2)
-        END AS customer_retention_rate
+             ELSE """
+        + rounded_ratio("previous", "cumulative_customers")
+        + """ END AS customer_retention_rate
         FROM (SELECT *, LAG(cumulative_customers) OVER (ORDER BY year NULLS FIRST, month NULLS FIRST)
                   AS previous FROM cumulative)
         JOIN months ON month = month_num""",
@@ -68,6 +79,10 @@ def fraud(spark, sf_dir):
 
 INVENTORY_VALUE = f"SUM({money('order_item_product_price')} * CAST(order_item_quantity AS DECIMAL(10,0)))"
 
+TURNOVER = rounded_ratio(
+    f"{money_units('order_item_total')} * COUNT(order_item_quantity)", "SUM(order_item_quantity) * 10000"
+)
+
 
 @query(
     "mart_inventory_levels",
@@ -80,9 +95,7 @@ INVENTORY_VALUE = f"SUM({money('order_item_product_price')} * CAST(order_item_qu
         dated=f"""SELECT *, {YEAR} AS year, {MONTH} AS month,
             date_sub('day', {parsed('order_date')}, {SQL_AS_OF}) AS age FROM stg_order""",
         totals=f"""SELECT year, month, CAST(ROUND({INVENTORY_VALUE}, 2) AS DOUBLE) AS total_inventory_value,
-            ROUND({money_sum('order_item_total')}
-                / (CAST(SUM(order_item_quantity) AS DOUBLE) / COUNT(order_item_quantity)), 2)
-                AS inventory_turnover_ratio
+            {TURNOVER} AS inventory_turnover_ratio
             FROM dated GROUP BY year, month""",
         ages=f"""SELECT year, month,
             CASE WHEN age <= 30 THEN '0-30 days' WHEN age <= 60 THEN '31-60 days'
@@ -95,6 +108,15 @@ def inventory(spark, sf_dir):
     return marts.inventory_levels(staged(spark, sf_dir, "order"), as_of=AS_OF)
 
 
+MEAN_PROFIT = rounded_ratio(
+    money_units("order_profit_per_order"), "COUNT(order_profit_per_order) * 10000"
+)
+SHIPMENT_AVERAGES = f"""SELECT
+    {rounded_ratio('SUM(days_for_shipping_real)', 'COUNT(days_for_shipping_real)')} AS avg_actual_shipment_days,
+    {rounded_ratio('SUM(days_for_shipping_scheduled)', 'COUNT(days_for_shipping_scheduled)')}
+        AS avg_scheduled_shipment_days FROM stg_shipping"""
+
+
 @query(
     "mart_overall_performance",
     over_staged(
@@ -104,13 +126,9 @@ def inventory(spark, sf_dir):
         "shipping",
         monthly=f"""SELECT {YEAR} AS year, {MONTH} AS month,
             CAST(ROUND(SUM({money('order_item_total')}), 2) AS DOUBLE) AS total_sales,
-            ROUND({money_avg('order_profit_per_order')}, 2) AS avg_profit_margin
+            {MEAN_PROFIT} AS avg_profit_margin
             FROM stg_order GROUP BY ALL""",
-        shipments="""SELECT
-            ROUND(CAST(SUM(days_for_shipping_real) AS DOUBLE) / COUNT(days_for_shipping_real), 2)
-                AS avg_actual_shipment_days,
-            ROUND(CAST(SUM(days_for_shipping_scheduled) AS DOUBLE) / COUNT(days_for_shipping_scheduled), 2)
-                AS avg_scheduled_shipment_days FROM stg_shipping""",
+        shipments=SHIPMENT_AVERAGES,
     ),
 )
 def performance(spark, sf_dir):

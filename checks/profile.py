@@ -9,8 +9,9 @@ from freightloom.operators.dedup import duplicate_groups
 from freightloom.sources import write_data_dictionary
 from freightloom.session import scratch_dir
 
-from .fixture import table
+from .fixture import line_items, table
 from .registry import query
+from .sql import money_units, rounded_ratio, rounded_ratio_even
 
 
 def gappy_orders(spark, sf_dir):
@@ -42,7 +43,7 @@ def _per_column(template: str, columns) -> str:
 
 @query("profile_shape", "SELECT COUNT(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns FROM lineitem")
 def shape(spark, sf_dir):
-    return profile.shape(table(spark, sf_dir, "lineitem"))
+    return profile.shape(line_items(spark, sf_dir))
 
 
 @query(
@@ -70,7 +71,7 @@ NUMERIC_LINE_COLUMNS = (
     "profile_numeric",
     _per_column(
         """SELECT '{c}' AS "column", COUNT({c}) AS count,
-        ROUND(CAST(SUM(CAST({c} AS DECIMAL(18,4))) AS DOUBLE) / COUNT({c}), 2) AS mean,
+        {mean} AS mean,
         ROUND(stddev_samp({c}), 2) AS std,
         ROUND(CAST(MIN({c}) AS DOUBLE), 2) AS min,
         ROUND(CAST(quantile_cont({c}, 0.25) AS DOUBLE), 2) AS q25,
@@ -80,11 +81,14 @@ NUMERIC_LINE_COLUMNS = (
         ROUND(CAST(MAX({c}) AS DOUBLE) - CAST(MIN({c}) AS DOUBLE), 2) AS range,
         ROUND(CAST(quantile_cont({c}, 0.75) AS DOUBLE) - CAST(quantile_cont({c}, 0.25) AS DOUBLE), 2) AS iqr
         FROM lineitem""",
-        [(c, {}) for c in NUMERIC_LINE_COLUMNS],
+        [
+            (c, {"mean": rounded_ratio(money_units(c), f"COUNT({c}) * 10000")})
+            for c in NUMERIC_LINE_COLUMNS
+        ],
     ),
 )
 def numeric(spark, sf_dir):
-    return profile.numeric_summary(table(spark, sf_dir, "lineitem"))
+    return profile.numeric_summary(line_items(spark, sf_dir))
 
 
 TEXT_PART_COLUMNS = ("p_name", "p_brand", "p_type")
@@ -108,8 +112,8 @@ def distinct(spark, sf_dir):
         "SELECT '{c}' AS \"column\", {c} AS value, COUNT(*) AS n FROM part WHERE {c} IS NOT NULL GROUP BY {c}",
         [(c, {}) for c in TEXT_PART_COLUMNS],
     )
-    + """) SELECT "column", position, substr(value, 1, 50) AS value, n,
-    ROUND(CAST(n AS DOUBLE) / (SELECT COUNT(*) FROM part) * 100, 2) AS percent
+    + f""") SELECT "column", position, substr(value, 1, 50) AS value, n,
+    {rounded_ratio('n * 100', '(SELECT COUNT(*) FROM part)')} AS percent
     FROM (SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY n DESC, value) AS position FROM counted)
     WHERE position <= 10""",
 )
@@ -126,7 +130,7 @@ MISSING = "WITH missing AS (" + _per_column(
 @query(
     "profile_missing",
     f"""{MISSING} SELECT "column", missing,
-    round_even(CAST(missing AS DOUBLE) / total * 100, 2) AS missing_percent FROM missing WHERE missing > 0""",
+    {rounded_ratio_even('missing * 100', 'total')} AS missing_percent FROM missing WHERE missing > 0""",
 )
 def missing(spark, sf_dir):
     return profile.missing_values(gappy_orders(spark, sf_dir))
@@ -135,7 +139,7 @@ def missing(spark, sf_dir):
 @query(
     "profile_missing_total",
     f"""{MISSING} SELECT CAST(SUM(missing) AS BIGINT) AS missing_cells, CAST(SUM(total) AS BIGINT) AS total_cells,
-    ROUND(CAST(SUM(missing) AS DOUBLE) / SUM(total) * 100, 4) AS missing_percent FROM missing""",
+    {rounded_ratio('SUM(missing) * 100', 'SUM(total)', 4)} AS missing_percent FROM missing""",
 )
 def missing_total(spark, sf_dir):
     return profile.missing_total(gappy_orders(spark, sf_dir))
@@ -145,8 +149,8 @@ def missing_total(spark, sf_dir):
     "profile_quality_summary",
     f"""{MISSING} SELECT MAX(total) AS n_rows, CAST(5 AS BIGINT) AS n_columns, CAST(3 AS BIGINT) AS numeric_columns,
     CAST(2 AS BIGINT) AS categorical_columns, CAST(SUM(missing) AS BIGINT) AS missing_cells,
-    ROUND(CAST(SUM(missing) AS DOUBLE) / SUM(total) * 100, 4) AS missing_percent,
-    ROUND((1 - CAST(SUM(missing) AS DOUBLE) / SUM(total)) * 100, 2) AS completeness_percent FROM missing""",
+    {rounded_ratio('SUM(missing) * 100', 'SUM(total)', 4)} AS missing_percent,
+    {rounded_ratio('SUM(total - missing) * 100', 'SUM(total)')} AS completeness_percent FROM missing""",
 )
 def quality_summary(spark, sf_dir):
     return profile.quality_summary(gappy_orders(spark, sf_dir))
@@ -186,4 +190,4 @@ def dictionary(spark, sf_dir):
     GROUP BY ALL HAVING COUNT(*) > 1""",
 )
 def duplicates(spark, sf_dir):
-    return duplicate_groups(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    return duplicate_groups(line_items(spark, sf_dir).select("l_orderkey", "l_linenumber"))

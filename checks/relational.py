@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freightloom.functions import (
+    AMOUNT,
     age_bucket,
     exact_avg,
     exact_sum,
     exact_sum_product,
     month_calendar,
     parse_order_ts,
-    safe_divide,
+    rounded_ratio,
     whole_days_between,
 )
 from freightloom.functions.dates import as_of_column
@@ -22,6 +23,7 @@ from freightloom.operators.projection import union_all_by_name
 from freightloom.plans import marts
 
 from .fixture import AS_OF, staged, table
+from .marts import SHIPMENT_AVERAGES, TURNOVER
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
 from .sql import money_avg, money_sum, month_of, over_staged, parsed, year_of
@@ -107,11 +109,9 @@ def dim_product(spark, sf_dir):
 @query(
     "join_cross_scalar",
     over_staged(
-        """SELECT delivery_status, shipments, avg_actual_shipment_days, avg_scheduled_shipment_days
+        f"""SELECT delivery_status, shipments, avg_actual_shipment_days, avg_scheduled_shipment_days
         FROM (SELECT delivery_status, COUNT(*) AS shipments FROM stg_shipping GROUP BY ALL) CROSS JOIN
-        (SELECT ROUND(CAST(SUM(days_for_shipping_real) AS DOUBLE) / COUNT(*), 2) AS avg_actual_shipment_days,
-            ROUND(CAST(SUM(days_for_shipping_scheduled) AS DOUBLE) / COUNT(*), 2)
-                AS avg_scheduled_shipment_days FROM stg_shipping)""",
+        ({SHIPMENT_AVERAGES})""",
         "shipping",
     ),
 )
@@ -196,27 +196,20 @@ def sum_product(spark, sf_dir):
 @query(
     "agg_ratio",
     over_staged(
-        f"""SELECT {YEAR} AS year, {MONTH} AS month,
-        ROUND({money_sum('order_item_total')} / (CAST(SUM(order_item_quantity) AS DOUBLE)
-            / COUNT(order_item_quantity)), 2) AS turnover FROM stg_order GROUP BY ALL""",
+        f"SELECT {YEAR} AS year, {MONTH} AS month, {TURNOVER} AS turnover FROM stg_order GROUP BY ALL",
         "order",
     ),
 )
 def ratio(spark, sf_dir):
-    mean_quantity = safe_divide(F.sum("order_item_quantity"), F.count("order_item_quantity"))
+    total = exact_sum("order_item_total").cast(AMOUNT) * F.count("order_item_quantity")
     return by_month(staged(spark, sf_dir, "order")).agg(
-        F.round(safe_divide(exact_sum("order_item_total"), mean_quantity), 2).alias("turnover")
+        rounded_ratio(total, F.sum("order_item_quantity"), 2).alias("turnover")
     )
 
 
 @query(
     "agg_global",
-    over_staged(
-        """SELECT ROUND(CAST(SUM(days_for_shipping_real) AS DOUBLE) / COUNT(*), 2) AS avg_actual_shipment_days,
-        ROUND(CAST(SUM(days_for_shipping_scheduled) AS DOUBLE) / COUNT(*), 2) AS avg_scheduled_shipment_days
-        FROM stg_shipping""",
-        "shipping",
-    ),
+    over_staged(SHIPMENT_AVERAGES, "shipping"),
 )
 def global_aggregate(spark, sf_dir):
     return marts.shipment_averages(staged(spark, sf_dir, "shipping"))

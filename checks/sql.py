@@ -190,3 +190,26 @@ def money_sum(value: str) -> str:
 
 def money_avg(value: str) -> str:
     return f"(CAST(SUM({money(value)}) AS DOUBLE) / COUNT({value}))"
+
+
+def rounded_ratio(numerator: str, denominator: str, digits: int = 2) -> str:
+    """Ratio of two whole numbers rounded half away from zero, in integer arithmetic.
+
+    DuckDB rounds a double by scaling it, which can miss a tie either way.
+    """
+    top, bottom, unit = f"CAST({numerator} AS HUGEINT)", f"CAST({denominator} AS HUGEINT)", 10**digits
+    half_up = f"((2 * {unit} * abs({top}) + abs({bottom})) // NULLIF(2 * abs({bottom}), 0))"
+    return f"(CAST(sign({top}) * sign({bottom}) * {half_up} AS DOUBLE) / {unit})"
+
+
+def rounded_ratio_even(numerator: str, denominator: str, digits: int = 2) -> str:
+    """Like ``rounded_ratio`` for non-negative numbers, ties going to the even digit."""
+    top, bottom = f"(CAST({numerator} AS HUGEINT) * {10**digits})", f"CAST({denominator} AS HUGEINT)"
+    whole, rest = f"({top} // {bottom})", f"(2 * ({top} % {bottom}))"
+    up = f"CASE WHEN {rest} > {bottom} OR ({rest} = {bottom} AND {whole} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"(CAST({whole} + {up} AS DOUBLE) / {10**digits})"
+
+
+def money_units(value: str) -> str:
+    """Exact sum of a staged amount in ten-thousandths."""
+    return f"CAST(SUM({money(value)}) * 10000 AS HUGEINT)"

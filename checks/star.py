@@ -9,7 +9,7 @@ from freightloom.operators.projection import select_present, standardise_names
 from freightloom.plans.star import star_table
 from freightloom.schema import TABLES
 
-from .fixture import flat_orders, table
+from .fixture import flat_orders, line_items, table
 from .registry import query
 from .sql import FIRST_ROWS, over_flat
 
@@ -73,7 +73,7 @@ _DIRTY = """CASE l_linenumber
 )
 def safe_casts(spark, sf_dir):
     raw = F.expr(_DIRTY.format(text="STRING"))
-    return table(spark, sf_dir, "lineitem").select(
+    return line_items(spark, sf_dir).select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
@@ -93,7 +93,7 @@ def safe_casts(spark, sf_dir):
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 )
 def arithmetic(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    lines = line_items(spark, sf_dir)
     orders = table(spark, sf_dir, "orders")
     amount = F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_quantity").cast("decimal(10,0)")
     delay = F.datediff("l_shipdate", "o_orderdate") - F.substring("o_orderpriority", 1, 1).cast("bigint")

@@ -15,9 +15,10 @@ from .scalar import (
     safe_divide,
     value_label,
 )
-from .sums import exact_avg, exact_sum, exact_sum_product
+from .sums import AMOUNT, exact_avg, exact_sum, exact_sum_product, rounded_ratio
 
 __all__ = [
+    "AMOUNT",
     "age_bucket",
     "batch_tag",
     "exact_avg",
@@ -28,6 +29,7 @@ __all__ = [
     "now_utc",
     "parse_order_ts",
     "percent_of",
+    "rounded_ratio",
     "safe_cast",
     "safe_divide",
     "value_label",

@@ -38,8 +38,12 @@ def safe_divide(numerator: Column | str, denominator: Column | str) -> Column:
 
 
 def percent_of(part: Column | str, total: Column | str, digits: int = 2, half_even: bool = False) -> Column:
-    """``part`` as a percentage of ``total``, rounded half up, or half even on request."""
-    share = safe_divide(_column(part), total) * F.lit(100.0)
+    """``part`` as a percentage of ``total``, rounded half up, or half even on request.
+
+    Multiplying first leaves one division, so counts that share a tie such as
+    16.685 are rounded from that value and not from a neighbouring double.
+    """
+    share = safe_divide(_column(part) * F.lit(100), total)
     return F.bround(share, digits) if half_even else F.round(share, digits)
 
 

@@ -39,7 +39,22 @@ def exact_sum_product(amount: Column | str, count: Column | str) -> Column:
     )
 
 
-def exact_avg(value: Column | str) -> Column:
-    """Aggregate: mean of the non-NULL values as double."""
+def exact_avg(value: Column | str, digits: int | None = None) -> Column:
+    """Aggregate: mean of the non-NULL values as double, rounded half up if ``digits`` is given."""
     value = _column(value)
+    if digits is not None:
+        return rounded_ratio(exact_sum(value), F.count(value), digits)
     return exact_sum(value) / F.nullif(F.count(value), F.lit(0))
+
+
+def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
+    """Ratio of an amount to a whole number as double, rounded half up; NULL for a zero denominator.
+
+    Divides decimals: 70911.24 / 24 is the tie 2954.635, while the doubles give
+    2954.6349999999998 and would round down. Amounts beyond the decimal are
+    divided as doubles.
+    """
+    bottom = F.nullif(denominator, F.lit(0))
+    exact = numerator.try_cast("decimal(30,8)") / bottom.cast("decimal(20,0)")
+    plain = numerator.cast("double") / bottom.cast("double")
+    return F.coalesce(F.round(exact, digits).cast("double"), F.round(plain, digits))

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .order_statistics import value_at_rank
+from .order_statistics import column_extents, value_at_rank
 
-# A top-n sends up to n rows per task to one task; from here on, cut first.
-PREFILTER_FROM = 1000
+# A top-n sends up to n rows per task to one task. From this many rows on, and
+# this large an n, rows past the n-th are filtered out beforehand.
+PREFILTER_N = 1_000
+PREFILTER_ROWS = 4_000_000
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str | Column] = ()) -> DataFrame:
@@ -24,19 +26,23 @@ def top_k(df: DataFrame, metric: str, k: int, tie_break: Sequence[str] = ()) ->
     return df.orderBy(F.col(metric).desc_nulls_last(), *tie_break).limit(k)
 
 
-def capped(df: DataFrame, n: int | None, order_by: Sequence[str]) -> DataFrame:
+def capped(
+    df: DataFrame, n: int | None, order_by: Sequence[str], prefilter_rows: int = PREFILTER_ROWS
+) -> DataFrame:
     """At most ``n`` rows, the first ones in ``order_by`` order; ``None`` keeps all.
 
-    For a large ``n`` and a numeric first column, the n-th smallest value is
-    looked up by a distributed selection (which runs jobs right away) and larger
-    ones are filtered out, so that the final top-n sees about ``n`` rows rather
-    than ``n`` per task.
+    For a large ``n`` and a numeric first column, the rows are counted right
+    away. If there are many, the n-th smallest value is looked up by a
+    distributed selection and larger ones are filtered out, so that the final
+    top-n sees about ``n`` rows rather than ``n`` per task.
     """
     if n is None:
         return df
     first = order_by[0]
-    if n > PREFILTER_FROM and isinstance(df.schema[first].dataType, (T.IntegralType, T.FractionalType)):
-        bound = value_at_rank(df, first, n - 1)
-        if bound is not None:
-            df = df.filter(F.col(first).isNull() | (F.col(first) <= F.lit(bound)))
+    if n > PREFILTER_N and isinstance(df.schema[first].dataType, (T.IntegralType, T.FractionalType)):
+        extents = column_extents(df, [first])
+        if extents[first][0] > prefilter_rows:
+            bound = value_at_rank(df, first, n - 1, extents)
+            if bound is not None:
+                df = df.filter(F.col(first).isNull() | (F.col(first) <= F.lit(bound)))
     return df.orderBy(*order_by).limit(n)

@@ -128,33 +128,42 @@ def _values_at(df: DataFrame, values: DataFrame, spans: Sequence[_Span]) -> Data
     )
 
 
-def value_extents(values: DataFrame) -> dict[str, tuple[int, float, float]]:
-    """Count, smallest and largest value by column of ``cells`` output; one row per column."""
-    rows = (
-        values.groupBy("column")
-        .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .collect()
-    )
-    return {r["column"]: (r["n"], r["low"], r["high"]) for r in rows}
+Extents = dict[str, tuple[int, float, float]]
+
+
+def column_extents(df: DataFrame, columns: Sequence[str]) -> Extents:
+    """Count, smallest and largest value of each column, missing values left out."""
+    aggregates = []
+    for i, c in enumerate(columns):
+        number = F.col(quoted(c)).cast("double")
+        value = F.when(~F.isnan(number), number)
+        aggregates += [
+            F.count(value).alias(f"n{i}"), F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}")
+        ]
+    row = df.agg(*aggregates).first()
+    return {c: (row[f"n{i}"], row[f"low{i}"], row[f"high{i}"]) for i, c in enumerate(columns)}
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
+    extents: Extents | None = None,
     leaf_rows: int = LEAF_ROWS,
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """``(column, probability, quantile)``, linearly interpolated between neighbours.
 
-    Runs one small aggregation for the extents, plus one per narrowing round.
-    Columns without any value are absent from the result.
+    Runs one small aggregation for the extents, unless they are given, and one
+    per narrowing round. Columns without any value are absent from the result.
     """
     spark = df.sparkSession
     values = cells(df, columns)
-    extents = value_extents(values)
+    extents = extents or column_extents(df, columns)
     wanted, spans = [], {}
     for column, (n, low, high) in extents.items():
+        if not n:
+            continue
         for p in probabilities:
             position = p * (n - 1)
             lower, upper = math.floor(position), math.ceil(position)
@@ -178,17 +187,21 @@ def exact_quantiles(
 
 
 def value_at_rank(
-    df: DataFrame, column: str, rank: int, leaf_rows: int = LEAF_ROWS, buckets: int = BUCKETS
+    df: DataFrame,
+    column: str,
+    rank: int,
+    extents: Extents | None = None,
+    leaf_rows: int = LEAF_ROWS,
+    buckets: int = BUCKETS,
 ):
     """The value at a zero-based rank of one column, or None if it has fewer values.
 
     Runs jobs right away. The value is a double; casting keeps the order of large
     integers, so filtering by ``<=`` keeps every row up to the rank.
     """
-    values = cells(df, [column])
-    extents = value_extents(values)
-    if column not in extents or extents[column][0] <= rank:
+    n, low, high = (extents or column_extents(df, [column]))[column]
+    if n <= rank:
         return None
-    n, low, high = extents[column]
+    values = cells(df, [column])
     located = _locate(df, values, [_Span(column, rank, low, high, 0, n)], leaf_rows, buckets)
     return _values_at(df, values, located).first()["at_rank"]

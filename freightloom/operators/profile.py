@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import exact_avg, percent_of, safe_divide, value_label
+from ..functions import exact_avg, percent_of, value_label
 from .order_statistics import exact_quantiles
 from .projection import quoted
 
@@ -85,8 +85,9 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, sample standard deviation, extremes, quartiles, range and IQR.
 
-    Quartiles are exact and interpolated unless ``approximate`` asks for Spark's
-    sketch, which costs no extra pass. ``digits=None`` leaves values unrounded.
+    Quartiles are exact and interpolated, for which the one-row aggregate runs
+    right away, unless ``approximate`` asks for Spark's sketch, which costs no
+    extra pass. ``digits=None`` leaves values unrounded.
     """
     columns = list(columns or numeric_columns(df))
     aggregates = [F.lit(0).alias("_none")]
@@ -94,17 +95,22 @@ def numeric_summary(
         value = _present(df, c).cast("double")
         aggregates += [
             F.count(value).alias(f"_n{i}"),
-            exact_avg(value).alias(f"_mean{i}"),
+            exact_avg(value, digits).alias(f"_mean{i}"),
             F.stddev_samp(value).alias(f"_std{i}"),
             F.min(value).alias(f"_min{i}"),
             F.max(value).alias(f"_max{i}"),
         ]
         if approximate:
             aggregates.append(F.percentile_approx(value, list(QUARTILES)).alias(f"_q{i}"))
+    one_row = df.agg(*aggregates)
+    if not approximate:
+        found = one_row.first()
+        one_row = df.sparkSession.createDataFrame([found], one_row.schema)
+        extents = {c: (found[f"_n{i}"], found[f"_min{i}"], found[f"_max{i}"]) for i, c in enumerate(columns)}
     fields = ("n", "mean", "std", "min", "max") + (("q",) if approximate else ())
     names = {"n": "count", "q": "quartiles"}
     base = _rows_per_column(
-        df.agg(*aggregates),
+        one_row,
         [
             F.struct(
                 F.lit(c).alias("column"),
@@ -114,7 +120,8 @@ def numeric_summary(
         ],
     )
     if not approximate:
-        pivoted = exact_quantiles(df, columns, QUARTILES).groupBy("column").agg(
+        quantiles = exact_quantiles(df, columns, QUARTILES, extents)
+        pivoted = quantiles.groupBy("column").agg(
             F.array(
                 *[F.max(F.when(F.col("probability") == p, F.col("quantile"))) for p in QUARTILES]
             ).alias("quartiles")
@@ -227,15 +234,14 @@ def quality_summary(df: DataFrame) -> DataFrame:
         F.sum("missing").alias("missing_cells"),
         F.sum("total").alias("_cells"),
     )
-    missing_share = safe_divide("missing_cells", "_cells")
     return totals.select(
         "n_rows",
         F.lit(n_columns).cast("bigint").alias("n_columns"),
         F.lit(len(numeric_columns(df))).cast("bigint").alias("numeric_columns"),
         F.lit(len(categorical_columns(df))).cast("bigint").alias("categorical_columns"),
         "missing_cells",
-        F.round(missing_share * 100.0, 4).alias("missing_percent"),
-        F.round((F.lit(1.0) - missing_share) * 100.0, 2).alias("completeness_percent"),
+        percent_of("missing_cells", "_cells", 4).alias("missing_percent"),
+        percent_of(F.col("_cells") - F.col("missing_cells"), "_cells").alias("completeness_percent"),
     )
 
 

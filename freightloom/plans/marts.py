@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
+    AMOUNT,
     age_bucket,
     exact_avg,
     exact_sum,
     exact_sum_product,
     parse_order_ts,
+    rounded_ratio,
     safe_divide,
     whole_days_between,
 )
@@ -134,13 +136,15 @@ def inventory_levels(
     Orders are aggregated once, by month and age range. The monthly figures are
     added up from those few rows and rounded last. ``as_of`` defaults to now.
     """
-    mean_quantity = safe_divide(F.sum("quantity"), F.sum("quantities"))
+    # Sales over mean quantity, as one division.
+    sales_times_count = exact_sum("sales").try_cast(AMOUNT) * F.sum("quantities").cast("decimal(14,0)")
+    turnover = rounded_ratio(sales_times_count, F.sum("quantity"), 2)
     per_month = (
         inventory_by_age(orders, as_of, lenient_dates)
         .groupBy(*MONTH_KEYS)
         .agg(
             F.round(exact_sum("value"), 2).alias("total_inventory_value"),
-            F.round(safe_divide(exact_sum("sales"), mean_quantity), 2).alias("inventory_turnover_ratio"),
+            turnover.alias("inventory_turnover_ratio"),
             # At most one entry per age range.
             F.collect_list(F.struct("age_range", F.round("value", 2).alias("inventory_value"))).alias("ages"),
         )
@@ -182,7 +186,7 @@ def overall_performance(orders: DataFrame, shipping: DataFrame, lenient_dates: b
     """
     monthly = by_month(orders, lenient=lenient_dates).agg(
         F.round(exact_sum("order_item_total"), 2).alias("total_sales"),
-        F.round(exact_avg("order_profit_per_order"), 2).alias("avg_profit_margin"),
+        exact_avg("order_profit_per_order", digits=2).alias("avg_profit_margin"),
     )
     return (
         attach_totals(with_month_name(monthly), shipment_averages(shipping))

@@ -8,6 +8,7 @@ from .files import (
     read_json_records,
     read_parquet_glob,
     register_json_table,
+    spread_small,
     with_row_locator,
 )
 from .messages import decode_messages, encode_messages
@@ -24,6 +25,7 @@ __all__ = [
     "read_json_records",
     "read_parquet_glob",
     "register_json_table",
+    "spread_small",
     "with_row_locator",
     "write_data_dictionary",
     "write_tables",

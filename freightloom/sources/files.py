@@ -48,6 +48,19 @@ def read_bronze(spark: SparkSession, path: str, merge_schema: bool = False) -> D
     return read_parquet_glob(spark, path, merge_schema)
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Let all cores work on a scan with fewer splits than there are cores.
+
+    A small file, or one with a single row group, is read by one task, and so is
+    all work up to the next shuffle. Scans with at least one split per core,
+    that is all large ones, come back unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def with_row_locator(df: DataFrame) -> DataFrame:
     """Add ``_file`` and ``_row``, which together identify a row of a Parquet scan."""
     return df.select(
