@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightloom.functions.dates import ORDER_TS_OUTPUT_PATTERN
 from freightloom.operators.projection import standardise_names
@@ -19,13 +20,21 @@ from freightloom.sources.messages import ORDER_TOPIC
 AS_OF = "2001-08-02 00:00:00"
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One test table; its schema is read from the file once, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest table; the test files hold it in one row group, read by one task."""
-    return spread_small(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    identity = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return spread_small(table(spark, sf_dir, "lineitem"), *identity)
 
 
 def _text(value: Column | str, type_name: str | None = None) -> Column:

@@ -19,6 +19,10 @@ MONTH_NAMES = (
 )
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -29,7 +33,10 @@ def parse_order_ts(text: Column | str, lenient: bool = False) -> Column:
     Unreadable text fails the query, or becomes NULL if ``lenient``.
     """
     text = _column(text)
-    parsed = F.try_to_timestamp(text, F.lit(ORDER_TS_PATTERN)).cast("timestamp_ntz")
+    # Parsed as an instant at offset zero, so that no time of day is lost to the
+    # daylight-saving gaps of the session's zone.
+    instant = F.try_to_timestamp(F.concat(text, F.lit(" Z")), F.lit(f"{ORDER_TS_PATTERN} X"))
+    parsed = F.timestamp_add("SECOND", F.unix_seconds(instant), _epoch())
     if lenient:
         return parsed
     complaint = F.concat(F.lit("not an order date: "), text)
@@ -55,7 +62,8 @@ def as_of_column(as_of: Column | dt.datetime | str | None) -> Column:
 
 def whole_days_between(start: Column | str, end: Column | str) -> Column:
     """Full 24-hour periods from ``start`` to ``end``, negative if ``end`` comes first."""
-    return F.timestamp_diff("DAY", _column(start), _column(end))
+    start, end = (_column(c).cast("timestamp_ntz") for c in (start, end))
+    return F.extract(F.lit("DAY"), end - start).cast("bigint")
 
 
 def batch_tag(ts: Column | str) -> Column:

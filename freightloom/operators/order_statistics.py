@@ -52,19 +52,21 @@ def _span_table(df: DataFrame, spans: Sequence[_Span]) -> DataFrame:
     )
 
 
-def _in_spans(df: DataFrame, values: DataFrame, spans: Sequence[_Span]) -> DataFrame:
+def _in_spans(df: DataFrame, spans: Sequence[_Span]) -> DataFrame:
+    """Cells of the columns that have spans, kept if they lie in one."""
+    values = cells(df, sorted({s.column for s in spans}))
     inside = (F.col("column") == F.col("span_column")) & F.col("value").between(F.col("low"), F.col("high"))
     return values.join(_span_table(df, spans), inside, "inner")
 
 
-def _narrow(df: DataFrame, values: DataFrame, spans: Sequence[_Span], buckets: int) -> list[_Span]:
+def _narrow(df: DataFrame, spans: Sequence[_Span], buckets: int) -> list[_Span]:
     """One histogram round: shrink each span to the bucket that holds its rank."""
     # Halving first keeps the width of the span finite.
     offset = F.col("value") / 2 - F.col("low") / 2
     width = F.col("high") / 2 - F.col("low") / 2
     bucket = F.least(F.lit(buckets - 1), F.floor(F.try_divide(offset, width) * buckets)).alias("bucket")
     histogram = (
-        _in_spans(df, values, spans)
+        _in_spans(df, spans)
         .groupBy("column", "low", "high", bucket)
         .agg(
             F.count("*").alias("n"),
@@ -96,24 +98,20 @@ def _narrow(df: DataFrame, values: DataFrame, spans: Sequence[_Span], buckets: i
     return narrowed
 
 
-def _locate(
-    df: DataFrame, values: DataFrame, spans: Sequence[_Span], leaf_rows: int, buckets: int
-) -> list[_Span]:
+def _locate(df: DataFrame, spans: Sequence[_Span], leaf_rows: int, buckets: int) -> list[_Span]:
     for _ in range(MAX_ROUNDS):
         wide = [s for s in spans if s.rows > leaf_rows and s.low < s.high and not s.final
                 and math.isfinite(s.low) and math.isfinite(s.high)]
         if not wide:
             break
-        narrowed = {(s.column, s.rank): s for s in _narrow(df, values, wide, buckets)}
+        narrowed = {(s.column, s.rank): s for s in _narrow(df, wide, buckets)}
         spans = [narrowed.get((s.column, s.rank), s) for s in spans]
     return list(spans)
 
 
-def _values_at(df: DataFrame, values: DataFrame, spans: Sequence[_Span]) -> DataFrame:
+def _values_at(df: DataFrame, spans: Sequence[_Span]) -> DataFrame:
     """``(column, rank, at_rank)`` for every span: count equal values, then walk them in order."""
-    counted = (
-        _in_spans(df, values, spans).groupBy("column", "low", "high", "value").agg(F.count("*").alias("n"))
-    )
+    counted = _in_spans(df, spans).groupBy("column", "low", "high", "value").agg(F.count("*").alias("n"))
     in_order = Window.partitionBy("column", "low", "high").orderBy("value")
     walked = counted.withColumn("upto", F.sum("n").over(in_order))
     wanted = df.sparkSession.createDataFrame(
@@ -158,7 +156,6 @@ def exact_quantiles(
     per narrowing round. Columns without any value are absent from the result.
     """
     spark = df.sparkSession
-    values = cells(df, columns)
     extents = extents or column_extents(df, columns)
     wanted, spans = [], {}
     for column, (n, low, high) in extents.items():
@@ -173,8 +170,8 @@ def exact_quantiles(
     schema = "column string, probability double, lower bigint, upper bigint, fraction double"
     if not wanted:
         return spark.createDataFrame([], "column string, probability double, quantile double")
-    located = _locate(df, values, list(spans.values()), leaf_rows, buckets)
-    at = _values_at(df, values, located)
+    located = _locate(df, list(spans.values()), leaf_rows, buckets)
+    at = _values_at(df, located)
     # Both ranks are looked up in one pass over the few rows of ``at``.
     positions = F.broadcast(spark.createDataFrame(wanted, schema))
     matched = at.join(positions, "column").filter(
@@ -202,6 +199,5 @@ def value_at_rank(
     n, low, high = (extents or column_extents(df, [column]))[column]
     if n <= rank:
         return None
-    values = cells(df, [column])
-    located = _locate(df, values, [_Span(column, rank, low, high, 0, n)], leaf_rows, buckets)
-    return _values_at(df, values, located).first()["at_rank"]
+    located = _locate(df, [_Span(column, rank, low, high, 0, n)], leaf_rows, buckets)
+    return _values_at(df, located).first()["at_rank"]
