@@ -120,7 +120,9 @@ def _infer_types(df: DataFrame) -> dict[str, str]:
         value = F.col(quoted(c))
         checks += [
             F.count(value).alias(f"_n{i}"),
-            F.bool_and(value.rlike(_NUMBER) & value.try_cast("bigint").isNotNull()).alias(f"_long{i}"),
+            F.bool_and(
+                value.isNull() | (value.rlike(_NUMBER) & value.try_cast("bigint").isNotNull())
+            ).alias(f"_long{i}"),
             F.bool_and(value.rlike(_NUMBER)).alias(f"_double{i}"),
             F.bool_and(value.isin("True", "False", "TRUE", "FALSE", "true", "false")).alias(f"_bool{i}"),
         ]
@@ -146,8 +148,9 @@ def read_csv_inferred(
 ) -> DataFrame:
     """CSV records with column types inferred from all values.
 
-    Dates stay text. Texts that stand for a missing value become NULL. Types are
-    checked over whole columns, which takes one extra pass over the file.
+    Dates stay text. Texts that stand for a missing value become NULL, and a
+    whole-number column keeps its type despite them. Types are checked over
+    whole columns, which takes one extra pass over the file.
     """
     text = read_csv_strings(spark, path, multi_line=multi_line)
     text = text.select(
