@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from freightloom.operators.joins import attach_totals
 from freightloom.schema import all_text
 from freightloom.session import scratch_dir
 from freightloom.sources import decode_messages, encode_messages, read_json_records
@@ -45,8 +46,8 @@ def decoded_orders(spark, sf_dir: str) -> DataFrame:
     return decode_messages(order_messages(spark, sf_dir), all_text(MESSAGE_COLUMNS))
 
 
-def drain(stream: DataFrame, path: str, checkpoint: str, file_format: str = "parquet"):
-    running = land(stream, path, checkpoint, file_format)
+def drain(stream: DataFrame, path: str, checkpoint: str, file_format: str = "parquet", **options):
+    running = land(stream, path, checkpoint, file_format, **options)
     running.awaitTermination()
     return running
 
@@ -101,7 +102,9 @@ def dedup(spark, sf_dir):
     """Every event is delivered twice and lands once."""
     stream = read_stream(spark, sf_dir, "events").select(*EVENT_COLUMNS)
     path = scratch_dir(spark, "landed")
-    drain(dedupe_stream(stream.union(stream), ["event_id"]), path, scratch_dir(spark, "checkpoint"))
+    once = dedupe_stream(stream.union(stream), ["event_id"])
+    cores = spark.sparkContext.defaultParallelism
+    drain(once, path, scratch_dir(spark, "checkpoint"), state_partitions=cores)
     return spark.read.parquet(path)
 
 
@@ -135,4 +138,4 @@ def batch_metrics(spark, sf_dir):
     landed = landed_file_metrics(spark.read.parquet(path)).agg(
         F.sum("n_rows").alias("rows_landed"), F.max("n_columns").alias("n_columns")
     )
-    return read.crossJoin(landed)
+    return attach_totals(landed, read)

@@ -34,5 +34,10 @@ def attach_dimension(
 
 
 def attach_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
-    """Put the one row of a keyless aggregate beside every row."""
-    return df.crossJoin(F.broadcast(totals))
+    """Put the one row of a keyless aggregate beside every row.
+
+    A scalar subquery: it runs once, its values become constants of the outer
+    query, and nothing is joined. More than one row is an error.
+    """
+    one_row = totals.select(F.struct(*totals.columns)).scalar()
+    return df.withColumn("_totals", one_row).select(*df.columns, "_totals.*")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .projection import quoted
 
 BUCKETS = 1024
-LEAF_ROWS = 4_000_000
+LEAF_ROWS = 100_000
 MAX_ROUNDS = 12
 
 
@@ -36,27 +36,29 @@ class _Span:
 
 
 def cells(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Numeric columns as ``(column, value)`` rows without missing values. No shuffle."""
+    """Numeric columns as ``(position, value)`` rows without missing values. No shuffle.
+
+    ``position`` is the column's place in ``columns``; fixed-width keys keep the
+    aggregations over cells cheap.
+    """
     pairs = [
-        F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("value")) for c in columns
+        F.struct(F.lit(i).alias("position"), F.col(quoted(c)).cast("double").alias("value"))
+        for i, c in enumerate(columns)
     ]
-    long = df.select(F.explode(F.array(*pairs)).alias("cell")).select("cell.column", "cell.value")
+    long = df.select(F.inline(F.array(*pairs)))
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def _span_table(df: DataFrame, spans: Sequence[_Span]) -> DataFrame:
-    """Distinct spans; a handful per column, so safe to broadcast."""
-    rows = sorted({(s.column, s.low, s.high) for s in spans})
-    return F.broadcast(
-        df.sparkSession.createDataFrame(rows, "span_column string, low double, high double")
-    )
+def _in_spans(df: DataFrame, spans: Sequence[_Span]) -> tuple[DataFrame, list[str]]:
+    """Cells that lie in a span, with the span's ends, and the columns by position.
 
-
-def _in_spans(df: DataFrame, spans: Sequence[_Span]) -> DataFrame:
-    """Cells of the columns that have spans, kept if they lie in one."""
-    values = cells(df, sorted({s.column for s in spans}))
-    inside = (F.col("column") == F.col("span_column")) & F.col("value").between(F.col("low"), F.col("high"))
-    return values.join(_span_table(df, spans), inside, "inner")
+    Spans are a handful per column, so safe to broadcast.
+    """
+    columns = sorted({s.column for s in spans})
+    ends = sorted({(columns.index(s.column), s.low, s.high) for s in spans})
+    table = df.sparkSession.createDataFrame(ends, "span_position int, low double, high double")
+    inside = (F.col("position") == F.col("span_position")) & F.col("value").between(F.col("low"), F.col("high"))
+    return cells(df, columns).join(F.broadcast(table), inside, "inner"), columns
 
 
 def _narrow(df: DataFrame, spans: Sequence[_Span], buckets: int) -> list[_Span]:
@@ -65,9 +67,9 @@ def _narrow(df: DataFrame, spans: Sequence[_Span], buckets: int) -> list[_Span]:
     offset = F.col("value") / 2 - F.col("low") / 2
     width = F.col("high") / 2 - F.col("low") / 2
     bucket = F.least(F.lit(buckets - 1), F.floor(F.try_divide(offset, width) * buckets)).alias("bucket")
+    found, columns = _in_spans(df, spans)
     histogram = (
-        _in_spans(df, spans)
-        .groupBy("column", "low", "high", bucket)
+        found.groupBy("position", "low", "high", bucket)
         .agg(
             F.count("*").alias("n"),
             F.min("value").alias("bucket_low"),
@@ -77,7 +79,7 @@ def _narrow(df: DataFrame, spans: Sequence[_Span], buckets: int) -> list[_Span]:
     )
     by_span: dict[tuple, list] = {}
     for row in histogram:
-        by_span.setdefault((row["column"], row["low"], row["high"]), []).append(row)
+        by_span.setdefault((columns[row["position"]], row["low"], row["high"]), []).append(row)
     narrowed = []
     for span in spans:
         below = span.below
@@ -111,16 +113,17 @@ def _locate(df: DataFrame, spans: Sequence[_Span], leaf_rows: int, buckets: int)
 
 def _values_at(df: DataFrame, spans: Sequence[_Span]) -> DataFrame:
     """``(column, rank, at_rank)`` for every span: count equal values, then walk them in order."""
-    counted = _in_spans(df, spans).groupBy("column", "low", "high", "value").agg(F.count("*").alias("n"))
-    in_order = Window.partitionBy("column", "low", "high").orderBy("value")
+    found, columns = _in_spans(df, spans)
+    counted = found.groupBy("position", "low", "high", "value").agg(F.count("*").alias("n"))
+    in_order = Window.partitionBy("position", "low", "high").orderBy("value")
     walked = counted.withColumn("upto", F.sum("n").over(in_order))
     wanted = df.sparkSession.createDataFrame(
-        [(s.column, s.low, s.high, s.rank, s.rank - s.below) for s in spans],
-        "column string, low double, high double, rank bigint, within bigint",
+        [(s.column, columns.index(s.column), s.low, s.high, s.rank, s.rank - s.below) for s in spans],
+        "column string, position int, low double, high double, rank bigint, within bigint",
     )
     hit = (F.col("within") < F.col("upto")) & (F.col("within") >= F.col("upto") - F.col("n"))
     return (
-        walked.join(F.broadcast(wanted), ["column", "low", "high"], "inner")
+        walked.join(F.broadcast(wanted), ["position", "low", "high"], "inner")
         .filter(hit)
         .select("column", "rank", F.col("value").alias("at_rank"))
     )

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exact_avg, percent_of, value_label
+from .joins import attach_totals
 from .order_statistics import exact_quantiles
 from .projection import quoted
 
@@ -95,7 +96,7 @@ def numeric_summary(
         value = _present(df, c).cast("double")
         aggregates += [
             F.count(value).alias(f"_n{i}"),
-            exact_avg(value, digits).alias(f"_mean{i}"),
+            exact_avg(_present(df, c), digits).alias(f"_mean{i}"),
             F.stddev_samp(value).alias(f"_std{i}"),
             F.min(value).alias(f"_min{i}"),
             F.max(value).alias(f"_max{i}"),
@@ -152,13 +153,16 @@ def _counted_values(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     columns = list(columns or categorical_columns(df))
     numeric = set(numeric_columns(df))
     pairs = []
-    for c in columns:
+    for i, c in enumerate(columns):
         value = _present(df, c)
         if c in numeric:
             value = value + F.lit(0)  # -0.0 and 0.0 are one value
-        pairs.append(F.struct(F.lit(c).alias("column"), value.cast("string").alias("value")))
-    long = df.select(F.explode(F.array(*pairs)).alias("cell")).select("cell.column", "cell.value")
-    return long.groupBy("column", "value").agg(F.count("*").alias("n"))
+        pairs.append(F.struct(F.lit(i).alias("position"), value.cast("string").alias("value")))
+    counted = (
+        df.select(F.inline(F.array(*pairs))).groupBy("position", "value").agg(F.count("*").alias("n"))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    return counted.select(names[F.col("position")].alias("column"), "value", "n")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -178,17 +182,13 @@ def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP
     """
     by_column = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
     ranked = value_counts(df, columns).withColumn("position", F.row_number().over(by_column))
-    total = F.broadcast(df.agg(F.count("*").alias("_total")))
-    return (
-        ranked.filter(F.col("position") <= k)
-        .crossJoin(total)
-        .select(
-            "column",
-            F.col("position").cast("bigint").alias("position"),
-            value_label("value").alias("value"),
-            "n",
-            percent_of("n", "_total").alias("percent"),
-        )
+    total = df.agg(F.count("*").alias("_total"))
+    return attach_totals(ranked.filter(F.col("position") <= k), total).select(
+        "column",
+        F.col("position").cast("bigint").alias("position"),
+        value_label("value").alias("value"),
+        "n",
+        percent_of("n", "_total").alias("percent"),
     )
 
 

@@ -27,14 +27,14 @@ def star_table(
     """
     spec = TABLES[spec] if isinstance(spec, str) else spec
     named = standardise_names(flat)
-    output = extract(named, spec.columns).columns
-    if not output:
-        return extract(named, spec.columns)
-    wanted = list(dict.fromkeys([*output, *spec.keys, *(c for c in spec.tie_break if c in named.columns)]))
-    if not dedupe:
-        return extract(named, spec.columns)
+    table = extract(named, spec.columns)
+    output = table.columns
+    if not output or not dedupe:
+        return table
+    # The key and tie-break may lie outside the table; they are pruned again afterwards.
+    helpers = [c for c in (*spec.keys, *spec.tie_break) if c in named.columns and c not in output]
     return dedupe_by_key(
-        extract(named, wanted),
+        extract(named, [*output, *helpers]) if helpers else table,
         spec.keys,
         spec.tie_break,
         missing_ok=not set(spec.keys) <= set(named.columns),

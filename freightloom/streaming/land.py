@@ -18,6 +18,7 @@ def land(
     interval: str | None = None,
     rows_per_file: int | None = None,
     partition_by: Sequence[str] = (),
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append the stream to files under ``path`` (Parquet, or JSON lines).
 
@@ -26,6 +27,9 @@ def land(
     restart continues where the last committed batch ended. A fresh checkpoint
     replays the source; it needs a fresh ``path`` too, as the old one already
     records its batches as landed.
+    ``state_partitions`` sets how many parts the state of a deduplicating stream
+    is kept in. The first start fixes that for the life of the checkpoint;
+    without it the session's shuffle partitions count.
     """
     writer = (
         stream.writeStream.format(file_format)
@@ -41,7 +45,15 @@ def land(
         writer = writer.trigger(availableNow=True)
     elif interval:
         writer = writer.trigger(processingTime=interval)
-    return writer.start()
+    if not state_partitions:
+        return writer.start()
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    conf.set(key, state_partitions)  # the query takes a copy when it starts
+    try:
+        return writer.start()
+    finally:
+        conf.set(key, before)
 
 
 def batch_progress(query: StreamingQuery) -> DataFrame:
