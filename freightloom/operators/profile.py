@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import exact_avg, percent_of, value_label
+from ..functions import exact_avg, percent_of, rounded_ratio, safe_divide, value_label
 from .joins import attach_totals
 from .order_statistics import exact_quantiles
 from .projection import quoted
@@ -81,6 +81,17 @@ def type_census(df: DataFrame) -> DataFrame:
     )
 
 
+def _mean(df: DataFrame, column: str, digits: int | None) -> Column:
+    """Aggregate: exact mean; whole numbers need no fallback for values beyond the decimal."""
+    value = _present(df, column)
+    if not isinstance(df.schema[column].dataType, T.IntegralType):
+        return exact_avg(value, digits)
+    total = F.sum(value.cast("decimal(20,0)"))
+    if digits is None:
+        return safe_divide(total, F.count(value))
+    return rounded_ratio(total, F.count(value), digits)
+
+
 def numeric_summary(
     df: DataFrame, columns: Sequence[str] | None = None, digits: int | None = 2, approximate: bool = False
 ) -> DataFrame:
@@ -96,7 +107,7 @@ def numeric_summary(
         value = _present(df, c).cast("double")
         aggregates += [
             F.count(value).alias(f"_n{i}"),
-            exact_avg(_present(df, c), digits).alias(f"_mean{i}"),
+            _mean(df, c, digits).alias(f"_mean{i}"),
             F.stddev_samp(value).alias(f"_std{i}"),
             F.min(value).alias(f"_min{i}"),
             F.max(value).alias(f"_max{i}"),
