@@ -27,9 +27,9 @@ def run_batch(
 ) -> list[str]:
     """Rebuild star files, warehouse, staging and marts from the landed records.
 
-    Staging tables are written out, so that the marts, five of which read the
-    orders, do not each deduplicate them again. Every step overwrites its
-    target, so a failed run is repeated as a whole.
+    The star split deduplicates, so staging only casts. The staging tables the
+    marts need are written out, and each mart reads just its columns of them.
+    Every step overwrites its target, so a failed run is repeated as a whole.
     Returns the names of the mart tables.
     """
     bronze = read_bronze(spark, bronze_path)
@@ -40,9 +40,8 @@ def run_batch(
     staged = {}
     for name in STAGED_FOR_MARTS:
         table = f"{database}.stg_{name}"
-        stage(spark.table(f"{database}.{TABLES[name].warehouse_name}"), name).write.mode(
-            "overwrite"
-        ).saveAsTable(table)
+        loaded = spark.table(f"{database}.{TABLES[name].warehouse_name}")
+        stage(loaded, name, unique=True).write.mode("overwrite").saveAsTable(table)
         staged[name] = spark.table(table)
     stage_warehouse(spark, database, [n for n, s in TABLES.items() if s.warehouse_name in names.values()])
     marts = build_marts(staged, as_of=as_of, cap=cap, lenient_dates=lenient_dates)

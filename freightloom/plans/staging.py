@@ -12,18 +12,19 @@ from ..operators.projection import quoted, standardise_names
 from ..schema import TABLES, TableSpec
 
 
-def stage(table: DataFrame, spec: TableSpec | str) -> DataFrame:
+def stage(table: DataFrame, spec: TableSpec | str, unique: bool = False) -> DataFrame:
     """Keep one row per raw key and cast every column, bad values becoming NULL.
 
     Keys are compared as they arrive: ``'1'`` and ``'01'`` stay two rows even
     though both become 1. ``table`` is a warehouse table, or the flat records
     themselves, whose extra columns then help to choose the surviving rows.
+    ``unique`` says that the table already has one row per key, as the star split
+    leaves it; the rows are then cast in place, without a shuffle.
     """
     spec = TABLES[spec] if isinstance(spec, str) else spec
-    named = standardise_names(table)
-    kept = dedupe_by_key(
-        named, spec.keys, spec.tie_break, repeats=spec.repeats, output=spec.columns
-    )
+    kept = standardise_names(table)
+    if not unique:
+        kept = dedupe_by_key(kept, spec.keys, spec.tie_break, repeats=spec.repeats, output=spec.columns)
     return kept.select(
         *[
             safe_cast(F.col(quoted(c)), spec.types.get(c, "string")).alias(spec.staged_name(c))

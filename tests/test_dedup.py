@@ -13,7 +13,7 @@ def test_null_keys_form_one_group(spark):
     assert rows(dedupe_by_key(df, ["k"])) == [("a", 3), ("b", 5), (None, 1)]
 
 
-def test_reference_sample(spark):
+def test_equal_rows_collapse(spark):
     df = spark.createDataFrame([(1, 100), (1, 100), (2, 101)], "Order_Id int, Customer_Id int")
     assert rows(dedupe_by_key(df, ["Order_Id"])) == [(1, 100), (2, 101)]
 

@@ -164,6 +164,12 @@ def test_staging_types(spark):
         stage(flat, "department").collect()
 
 
+def test_staging_a_unique_table_needs_no_shuffle(spark):
+    departments = spark.createDataFrame([("1", "Fan Shop", "EU")], "Department_Id string, Department_Name string, Market string")
+    staged = stage(departments, "department", unique=True)
+    assert rows(staged) == [(1, "Fan Shop", "EU")] and "Exchange" not in plan_of(staged)
+
+
 def test_typed_order_ts(spark):
     typed = with_order_ts(orders_frame(spark, [{"order_id": 1, "order_date": "3/4/2019 5:06"}]))
     assert typed.select("order_ts", "order_year", "order_month").first() == (dt.datetime(2019, 3, 4, 5, 6), 2019, 3)
