@@ -40,7 +40,7 @@ def parse_order_ts(text: Column | str, lenient: bool = False) -> Column:
     if lenient:
         return parsed
     complaint = F.concat(F.lit("not an order date: "), text)
-    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(complaint)).otherwise(parsed)
+    return F.coalesce(parsed, F.when(text.isNotNull(), F.raise_error(complaint)))
 
 
 def now_utc() -> Column:
