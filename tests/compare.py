@@ -56,7 +56,10 @@ def main() -> None:
 
     sf_dir, parts = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        master="local[8]", spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8",
+        master="local[8]",
+        spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
+        spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")

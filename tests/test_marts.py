@@ -165,7 +165,9 @@ def test_staging_types(spark):
 
 
 def test_staging_a_unique_table_needs_no_shuffle(spark):
-    departments = spark.createDataFrame([("1", "Fan Shop", "EU")], "Department_Id string, Department_Name string, Market string")
+    departments = spark.createDataFrame(
+        [("1", "Fan Shop", "EU")], "Department_Id string, Department_Name string, Market string"
+    )
     staged = stage(departments, "department", unique=True)
     assert rows(staged) == [(1, "Fan Shop", "EU")] and "Exchange" not in plan_of(staged)
 
