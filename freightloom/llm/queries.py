@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, simhash
+from . import fingerprint, html, mixing, packing, quality, sharding, simhash, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,3 +50,50 @@ def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 4096 ids."""
     return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_rans_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from the token files: place, number and checksum of their ids."""
+    return tokenfile.token_files(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as read back from the archives."""
+    read = warc.archived(_table(spark, sf_dir, "pages"))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op5_warc_round_trip"] = """
+WITH payloads AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), digests AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM payloads
+), firsts AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM digests
+)
+SELECT
+  page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM firsts
+"""
+
+
+@query
+def op10_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extracted(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_uniform_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.uniform_shards(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
