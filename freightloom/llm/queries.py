@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html, mixing, packing, quality, sharding, simhash, tokenfile, warc
+from . import fingerprint, html, mixing, neighbours, packing, quality, sharding, simhash, tokenfile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,3 +97,9 @@ def op7_uniform_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, and their likeness."""
     return fingerprint.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every 100th one."""
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
