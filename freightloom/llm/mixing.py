@@ -44,7 +44,8 @@ def exponent(sources: DataFrame, target_entropy: float | None = None, max_repeat
     ``target_entropy`` is a part of the logarithm of the number of sources, which exponent 0 always reaches.
     ``max_repeats`` limits how much more often the most repeated source is read than the least repeated one;
     a source is read in proportion to ``p ** (exponent - 1)``. If both are given, the exponent of the entropy
-    is raised as far as the repetition limit needs. No source or a single one gives 1.
+    is raised as far as the repetition limit needs; with the repetition limit alone it starts at 0. No limit, no
+    source or a single one gives 1.
     """
     total, least, most, count = sources.agg(F.sum("tokens"), F.min("tokens"), F.max("tokens"), F.count(F.lit(1))).first()
     if not count or count == 1:
@@ -75,7 +76,9 @@ def exponent(sources: DataFrame, target_entropy: float | None = None, max_repeat
     def too_often(tried: list[float]) -> list[bool]:
         return [(most / least) ** (1 - a) > max_repeats for a in tried]
 
-    found = 1.0 if target_entropy is None else bisect(entropies)
+    found = 1.0 if max_repeats is None else 0.0
+    if target_entropy is not None:
+        found = bisect(entropies)
     if max_repeats is not None and (most / least) ** (1 - found) > max_repeats:
         found = min(1.0, bisect(too_often) + POINTS**-ROUNDS)
     return found
