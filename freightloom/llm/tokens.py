@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 #: Words whose ids a worker keeps; the table starts anew beyond it.
-KEPT_WORDS = 900_000
+KEPT_WORDS = 500_000
 #: Bytes of text split at once, which bounds a task's memory; a longer text is cut at spaces.
 TEXT_BYTES = 1 << 22
 
