@@ -19,7 +19,7 @@ group. Components are found by alternating large-star and small-star rounds on w
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +59,7 @@ def simhash(text: str | None, shingle_words: int = SHINGLE_WORDS) -> int:
     digest, counts = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for start in range(0, total, _HASHES_AT_ONCE):
         size = min(_HASHES_AT_ONCE, total - start)
-        counts += _bit_counts([digest(s, HASH_SEED) for s, _ in zip(shingles, range(size))])
+        counts += _bit_counts([digest(s, HASH_SEED) for s in islice(shingles, size)])
     return int.from_bytes(np.packbits(2 * counts > total).tobytes(), "big")
 
 

@@ -77,26 +77,28 @@ def _encode_blocks(numbers: np.ndarray, table: Table) -> list[tuple[list[tuple[i
     """Checkpoints and words of each row of ``numbers`` (symbol numbers; rows x steps x lanes)."""
     rows, steps, lanes = numbers.shape
     frequency, before = table.frequency.astype(np.uint64), table.before
-    limit = frequency << np.uint64(63 - PRECISION)
-    state = np.full((rows, lanes), _LOW, np.uint64)
-    words = np.empty((rows, steps * lanes), np.uint32)
-    flat, row_start = words.reshape(-1), np.arange(rows) * steps * lanes
-    left = np.full(rows, steps * lanes)
+    by_step = np.ascontiguousarray(numbers.transpose(1, 0, 2), np.intp).reshape(steps, rows * lanes)
+    state = np.full(rows * lanes, _LOW, np.uint64)
+    words = np.empty(rows * steps * lanes, np.uint32)
+    left = (np.arange(rows) + 1) * (steps * lanes)  # where each row's words start, from the end backwards
+    first = left - steps * lanes
     notes: list[tuple[np.ndarray, np.ndarray]] = []
     for step in range(steps - 1, -1, -1):
-        symbol = numbers[:, step]
-        full = state >= limit[symbol]
-        placed = np.cumsum(full, axis=1)
-        left -= placed[:, -1]
-        flat[((row_start + left)[:, None] + placed - 1)[full]] = state[full]
-        state = np.where(full, state >> _WORD, state)
-        share = frequency[symbol]
+        share = frequency.take(by_step[step])
+        full = state >= share << np.uint64(63 - PRECISION)
+        placed = full.reshape(rows, lanes).cumsum(axis=1)
+        left = left - placed[:, -1]
+        words[((left - 1)[:, None] + placed).ravel()[full]] = state[full].astype(np.uint32)
+        state >>= full * _WORD
         quotient = state // share
-        state = (quotient << _SHIFT) + (state - quotient * share) + before[symbol]
+        state += (quotient << _SHIFT) - quotient * share
+        state += before.take(by_step[step])
         if step % CHECKPOINT_STEPS == 0:
-            notes.append((left.copy(), state.copy()))
+            notes.append((left, state.reshape(rows, lanes).copy()))
     notes.reverse()
-    return [([(int(at[r] - left[r]), states[r]) for at, states in notes], words[r, left[r] :]) for r in range(rows)]
+    return [
+        ([(int(at[r] - left[r]), states[r]) for at, states in notes], words[left[r] : first[r] + steps * lanes]) for r in range(rows)
+    ]
 
 
 def encode(ids: np.ndarray, table: Table) -> list[bytes]:
@@ -124,23 +126,25 @@ def encode(ids: np.ndarray, table: Table) -> list[bytes]:
 def _decode_segments(words: np.ndarray, place: np.ndarray, state: np.ndarray, steps: int, table: Table, slots: np.ndarray) -> np.ndarray:
     """Symbol numbers (segments x steps x lanes) from each segment's place in ``words`` and its states."""
     frequency, before = table.frequency.astype(np.uint64), table.before
-    out = np.empty((len(state), steps, LANES), np.int32)
+    segments = len(state)
+    out = np.empty((steps, segments * LANES), np.int32)
+    state = state.ravel()
     for step in range(steps):
         slot = state & _MASK
-        symbol = slots[slot.astype(np.int64)]
-        out[:, step] = symbol
-        state = frequency[symbol] * (state >> _SHIFT) + slot - before[symbol]
+        symbol = slots.take(slot.view(np.int64))
+        out[step] = symbol
+        state = frequency.take(symbol) * (state >> _SHIFT) + slot - before.take(symbol)
         short = state < _LOW
-        taken = np.cumsum(short, axis=1)
-        read = words[np.minimum(place[:, None] + taken - 1, len(words) - 1)]
-        state = np.where(short, (state << _WORD) | read, state)
+        taken = short.reshape(segments, LANES).cumsum(axis=1)
+        read = words.take(((place - 1)[:, None] + taken).ravel()[short])
+        state[short] = (state[short] << _WORD) | read
         place = place + taken[:, -1]
-    return out
+    return out.reshape(steps, segments, LANES).transpose(1, 0, 2)
 
 
 def decode(data: bytes, table: Table, places: np.ndarray) -> Iterator[np.ndarray]:
     """Ids of the blocks at ``places`` in ``data``, several blocks at a time, verified."""
-    slots = np.repeat(np.arange(len(table.symbols), dtype=np.int32), table.frequency)
+    slots = np.repeat(np.arange(len(table.symbols)), table.frequency)
     head_size, note_size = 16, 4 + 8 * LANES
     for start in range(0, len(places), TOGETHER):
         group, words, at, states, used = [], [], [], [], 0

@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 #: Words whose ids a worker keeps; the table starts anew beyond it.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 2_000_000
 #: Bytes of text split at once, which bounds a task's memory; a longer text is cut at spaces.
-TEXT_BYTES = 1 << 22
+TEXT_BYTES = 1 << 23
 
 # The tokenizer's own pieces. A Latin-1 word can be cut into them here, as lower case and normal form
 # change such letters one by one; other words go to the library whole.
@@ -36,10 +36,37 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letters[b] for b in chr(c).encode()) for c in range(256)}
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """``starts[k] .. starts[k] + sizes[k] - 1`` for every k, one after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+class _Bank:
+    """Ids of strings, each string by its number, one after the other in one array."""
+
+    def __init__(self) -> None:
+        self._strings = pa.array([], pa.large_string())
+        self._ids = np.empty(1 << 16, np.uint32)
+        self._ends = np.zeros(1 << 14, np.int64)  # of string number k, at k + 1
+
+    def __len__(self) -> int:
+        return len(self._strings)
+
+    def append(self, strings: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        count, used = len(self), int(self._ends[len(self)])
+        self._strings = pa.concat_arrays([self._strings, strings])
+        if len(self._ids) < used + len(ids):
+            self._ids = np.resize(self._ids, 2 * (used + len(ids)))
+        if len(self._ends) <= len(self):
+            self._ends = np.resize(self._ends, 2 * len(self) + 2)
+        self._ids[used : used + len(ids)] = ids
+        self._ends[count + 1 : len(self) + 1] = used + np.cumsum(sizes)
+
+    def numbers(self, strings: pa.Array) -> np.ndarray:
+        """The strings' numbers; -1 for those that are not here."""
+        return np.array(pc.fill_null(pc.index_in(strings, value_set=self._strings), -1))
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the strings, one string after the other, and how many each has."""
+        starts, sizes = self._ends[numbers], self._ends[numbers + 1] - self._ends[numbers]
+        ends = np.cumsum(sizes)
+        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+        return self._ids[places], sizes
 
 
 class WordEncoder:
@@ -49,66 +76,63 @@ class WordEncoder:
         self._library = Tokenizer.from_file(vocabulary)
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._letters = _byte_letters()
-        self._forget()
-
-    def _forget(self) -> None:
-        self._pieces: dict[str, bytes] = {"\n": b""}
-        self._numbers: dict[str, int] = {}
-        self._bank = np.empty(1 << 16, np.uint32)
-        self._ends = np.zeros(1 << 14, np.int64)  # of word number k in the bank, at k + 1
-
-    def _append(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        count = len(self._numbers)
-        used = int(self._ends[count])
-        self._numbers.update(zip(words, range(count, count + len(words))))
-        if len(self._bank) < used + len(ids):
-            self._bank = np.resize(self._bank, 2 * (used + len(ids)))
-        if len(self._ends) <= count + len(words):
-            self._ends = np.resize(self._ends, 2 * (count + len(words)) + 2)
-        self._bank[used : used + len(ids)] = ids
-        self._ends[count + 1 : count + 1 + len(words)] = used + np.cumsum(sizes)
-
-    def _learn(self, words: list[str]) -> None:
+        self._words, self._pieces = _Bank(), _Bank()
+
+    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces, one piece after the other, and how many each has."""
+        coded = pieces.dictionary_encode()
+        numbers = self._pieces.numbers(coded.dictionary)
+        new = numbers < 0
+        if new.any():
+            strings = coded.dictionary.filter(pa.array(new))
+            ids, sizes = [], []
+            for piece in strings.to_pylist():
+                tokens = [] if piece == "\n" else self._library.model.tokenize(piece.translate(self._letters))
+                ids += [token.id for token in tokens]
+                sizes.append(len(tokens))
+            numbers[new] = np.arange(len(self._pieces), len(self._pieces) + len(sizes))
+            self._pieces.append(strings, np.array(ids, np.uint32), np.array(sizes))
+        return self._pieces.of(numbers[coded.indices.to_numpy()])
+
+    def _learn(self, strings: pa.Array) -> None:
         """Add words that are not in the table yet."""
+        words = strings.to_pylist()
         joined = "\n".join(words)
         if not _PLAIN.fullmatch(joined) or any(s in joined for s in self._special):
-            odd = [w for w in words if not _PLAIN.fullmatch(w) or any(s in w for s in self._special)]
-            ids = [np.array(e.ids, np.uint32) for e in self._library.encode_batch_fast(odd, add_special_tokens=False)]
-            self._append(odd, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
-            words = [w for w in words if w not in self._numbers]
-            joined = "\n".join(words)
-            if not words:
-                return
+            odd = np.array([not _PLAIN.fullmatch(w) or any(s in w for s in self._special) for w in words])
+            own = strings.filter(pa.array(odd))
+            ids = [np.array(e.ids, np.uint32) for e in self._library.encode_batch_fast(own.to_pylist(), add_special_tokens=False)]
+            self._words.append(own, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+            strings = strings.filter(pa.array(~odd))
+            joined = "\n".join(strings.to_pylist())
+        if not len(strings):
+            return
         flat = _PIECES.findall(joined.lower())
-        tokenize = self._library.model.tokenize
-        for piece in set(flat).difference(self._pieces):
-            self._pieces[piece] = np.array([t.id for t in tokenize(piece.translate(self._letters))], "<u4").tobytes()
-        held = list(map(self._pieces.__getitem__, flat))
-        sizes = np.cumsum(np.fromiter(map(len, held), np.int64, len(held)) // 4)
-        breaks = np.flatnonzero(np.fromiter(map("\n".__eq__, flat), bool, len(flat)))
-        ends = sizes[np.append(breaks, len(flat) - 1)] if held else np.zeros(len(words), np.int64)
-        self._append(words, np.frombuffer(b"".join(held), "<u4"), np.diff(ends, prepend=0))
-
-    def _number(self, words: list[str]) -> np.ndarray:
-        known = self._numbers
-        missing = [w for w in words if w not in known]
-        if missing:
-            if len(known) + len(missing) > KEPT_WORDS and len(known):
-                self._forget()
-                missing = words
-            self._learn(missing)
-        return np.fromiter(map(self._numbers.__getitem__, words), np.int64, len(words))
+        pieces = pa.array(flat, pa.large_string())
+        ids, sizes = self._encode_pieces(pieces)
+        breaks = np.asarray(pc.equal(pieces, "\n").to_numpy(zero_copy_only=False), bool)
+        self._words.append(strings, ids, np.diff(np.append(np.cumsum(sizes)[breaks], len(ids)), prepend=0))
+
+    def _number(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct words, which are learned if they are new."""
+        numbers = self._words.numbers(words)
+        missing = numbers < 0
+        if missing.any():
+            if len(self._words) + missing.sum() > KEPT_WORDS and len(self._words):
+                self._words, self._pieces = _Bank(), _Bank()
+                missing[:] = True
+            self._learn(words.filter(pa.array(missing)))
+            numbers = self._words.numbers(words)
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty), and each text's number of ids."""
         words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
         per_text = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
-        number = self._number(coded.dictionary.to_pylist())
-        starts, sizes = self._ends[number], self._ends[number + 1] - self._ends[number]
-        ids = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(self._bank[_ranges(starts, sizes)])
-        ).take(coded.indices)
+        number = self._number(coded.dictionary)  # may start the table anew
+        ids, sizes = self._words.of(number)
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids)).take(coded.indices)
         ends = ids.offsets.to_numpy()
         bounds = ends[np.concatenate([[0], np.cumsum(per_text)])]
         return ids.flatten().to_numpy(), np.diff(bounds)

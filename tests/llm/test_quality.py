@@ -1,0 +1,72 @@
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from freightloom.llm import quality
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, sf_dir):
+    folder = sf_dir.replace("0.001", "0.01")
+    return spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(labelled):
+    return quality.fit(*labelled)
+
+
+def test_held_out_rows_by_crc(spark):
+    rows = spark.range(50).select("id", quality.held_out(F.col("id")).alias("out")).collect()
+    assert all(r.out == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+
+
+def test_features_are_words_and_ngrams():
+    buckets, owner = quality.features(["abc abc", "", "x"])
+    # Each "abc": the word, <ab abc bc>, <abc abc>, <abc>; and one mark for the repetition. "x": the word and <x>.
+    assert np.bincount(owner, minlength=3).tolist() == [2 * 7 + 1, 0, 2]
+    assert (buckets >= 0).all() and (buckets < quality.BUCKETS).all()
+
+
+def test_scores_do_not_depend_on_batches(model, labelled):
+    texts = [r.text for r in labelled[0].limit(40).collect()] + [None, "", " \n", "a" * 100]
+    together = model.scores(texts)
+    assert np.allclose(together, [model.scores([t])[0] for t in texts], rtol=0, atol=1e-12)
+
+
+def test_long_texts_are_scored_whole(model, monkeypatch):
+    text = "good words only " * 300 + "junk$$$ " * 300
+    whole = model.scores([text])[0]
+    monkeypatch.setattr(quality, "PIECE", 64)
+    assert model.scores([text])[0] == pytest.approx(whole, abs=1e-2)
+
+
+def test_accuracy_on_held_out_rows(labelled):
+    docs, labels = labelled
+    found = quality.quality_scores(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    assert len(found) > 50
+    assert (found["predicted"] == found["quality"]).mean() >= 0.97
+    good, bad = (found.loc[found["quality"] == k, "score"].to_numpy() for k in (1, 0))
+    assert (good[:, None] > bad).mean() >= 0.98
+    assert found["score"].between(0, 1).all()
+
+
+def test_held_out_labels_do_not_matter(labelled, model):
+    docs, labels = labelled
+    turned = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = quality.fit(docs, turned)
+    assert np.array_equal(again.weight, model.weight) and again.bias == model.bias
+
+
+def test_odd_rows(odd_docs, no_docs, spark, model):
+    labels = spark.createDataFrame([(0, 1), (0, 1), (2, 0), (3, 1), (11, 0), (None, 1), (6, None), (7, 5)], "doc_id long, quality int")
+    found = quality.quality_scores(odd_docs, labels).collect()
+    assert len(found) == odd_docs.count()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in found)
+    assert all(r.held_out for r in found if r.doc_id is None)
+    assert quality.quality_scores(no_docs, labels).count() == 0
+    assert {r.score for r in quality.quality_scores(odd_docs, labels.where("false")).collect()} == {0.5}
+    kept = quality.accepted(odd_docs, labels)
+    assert kept.columns == odd_docs.columns and kept.count() == sum(r.predicted for r in found)
