@@ -72,3 +72,16 @@ def flags(spark, sf_dir):
     return flag_duplicates(line_items(spark, sf_dir), LINE_KEYS, LINE_TIE).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "duplicate_flag"
     )
+
+
+@query(
+    "dedup_flag_copies",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+    row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) > 1 AS duplicate_flag
+    FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+        UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)""",
+)
+def flag_copies(spark, sf_dir):
+    """Every record delivered twice."""
+    lines = line_items(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return flag_duplicates(lines.union(lines), LINE_KEYS, ["l_partkey", "l_suppkey"])

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from freightloom.functions.dates import ORDER_TS_OUTPUT_PATTERN
 from freightloom.operators.projection import standardise_names
 from freightloom.plans.staging import stage
-from freightloom.sources import spread_small
 from freightloom.sources.messages import ORDER_TOPIC
 
 # The day on which ages are measured: just after the newest order.
@@ -32,9 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The largest table; the test files hold it in one row group, read by one task."""
-    identity = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    return spread_small(table(spark, sf_dir, "lineitem"), *identity)
+    """The largest table."""
+    return table(spark, sf_dir, "lineitem")
 
 
 def _text(value: Column | str, type_name: str | None = None) -> Column:

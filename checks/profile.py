@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from freightloom.operators import profile
 from freightloom.operators.dedup import duplicate_groups
+from freightloom.operators.order_statistics import column_extents, values_at_ranks
 from freightloom.sources import write_data_dictionary
 from freightloom.session import scratch_dir
 
@@ -21,20 +24,24 @@ def gappy_orders(spark, sf_dir):
         F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"),
         F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
         F.when(F.col("o_orderkey") % 10 != 0, F.col("o_totalprice")).alias("o_totalprice"),
+        F.when(F.col("o_orderkey") % 11 != 0, F.col("o_orderdate")).alias("o_orderdate"),
         "o_orderpriority",
     )
 
 
 GAPPY = """(SELECT o_orderkey, CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS o_custkey,
     NULLIF(o_orderstatus, 'P') AS o_orderstatus,
-    CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS o_totalprice, o_orderpriority FROM orders)"""
+    CASE WHEN o_orderkey % 10 <> 0 THEN o_totalprice END AS o_totalprice,
+    CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate END AS o_orderdate, o_orderpriority FROM orders)"""
 GAPPY_COLUMNS = {
     "o_orderkey": "bigint",
     "o_custkey": "bigint",
     "o_orderstatus": "string",
     "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
     "o_orderpriority": "string",
 }
+KINDS = {"string": "categorical", "timestamp_ntz": "other"}
 
 
 def _per_column(template: str, columns) -> str:
@@ -52,7 +59,7 @@ def shape(spark, sf_dir):
         "SELECT '{c}' AS \"column\", '{t}' AS data_type, '{k}' AS kind, COUNT({c}) AS non_null, "
         f"COUNT(*) AS total FROM {GAPPY}",
         [
-            (c, {"t": t, "k": "categorical" if t == "string" else "numeric"})
+            (c, {"t": t, "k": KINDS.get(t, "numeric")})
             for c, t in GAPPY_COLUMNS.items()
         ],
     ),
@@ -91,6 +98,45 @@ def numeric(spark, sf_dir):
     return profile.numeric_summary(line_items(spark, sf_dir))
 
 
+SPREAD = """(SELECT CASE WHEN l_orderkey % 997 = 0 THEN CAST('Infinity' AS DOUBLE)
+    ELSE CAST('1e' || (l_partkey % 500 - 250) AS DOUBLE) * l_linenumber END AS v FROM lineitem)"""
+
+
+@query(
+    "profile_quantiles_extreme",
+    f"""SELECT 'v' AS "column", p AS probability, quantile AS quantile FROM (
+    SELECT 0.25 AS p, quantile_disc(v, 0.25) AS quantile FROM {SPREAD}
+    UNION ALL SELECT 0.5, quantile_disc(v, 0.5) FROM {SPREAD}
+    UNION ALL SELECT 0.999, quantile_disc(v, 0.999) FROM {SPREAD})""",
+)
+def quantiles_extreme(spark, sf_dir):
+    """Values over five hundred magnitudes, some infinite; the lower neighbour of each quantile."""
+    spread = F.when(F.col("l_orderkey") % 997 == 0, F.lit(float("inf"))).otherwise(
+        F.concat(F.lit("1e"), (F.col("l_partkey") % 500 - 250).cast("string")).cast("double") * F.col("l_linenumber")
+    )
+    values = line_items(spark, sf_dir).select(spread.alias("v"))
+    extents = column_extents(values, ["v"])
+    # Rank of the smallest value that at least the share p of all values does not exceed.
+    ranks = {p: max(0, math.ceil(p * extents["v"][0]) - 1) for p in (0.25, 0.5, 0.999)}
+    found = values_at_ranks(values, {"v": list(ranks.values())}, extents)
+    rows = [("v", p, found["v", rank]) for p, rank in ranks.items()]
+    return spark.createDataFrame(rows, "column string, probability double, quantile double")
+
+
+@query("profile_numeric_without_numbers", """SELECT 'x' AS "column", CAST(0 AS BIGINT) AS count, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS std,
+    0.0::DOUBLE AS min, 0.0::DOUBLE AS q25, 0.0::DOUBLE AS median, 0.0::DOUBLE AS q75, 0.0::DOUBLE AS max, 0.0::DOUBLE AS range,
+    0.0::DOUBLE AS iqr FROM part WHERE p_name IS NULL AND p_name IS NOT NULL""")
+def numeric_without_numbers(spark, sf_dir):
+    """A table of text columns has no numeric summary."""
+    return profile.numeric_summary(table(spark, sf_dir, "part").select("p_name", "p_brand"))
+
+
+@query("profile_distinct_without_text", """SELECT 'x' AS "column", CAST(0 AS BIGINT) AS distinct_values FROM part
+    WHERE p_name IS NULL AND p_name IS NOT NULL""")
+def distinct_without_text(spark, sf_dir):
+    return profile.distinct_counts(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+
+
 TEXT_PART_COLUMNS = ("p_name", "p_brand", "p_type")
 
 
@@ -147,7 +193,7 @@ def missing_total(spark, sf_dir):
 
 @query(
     "profile_quality_summary",
-    f"""{MISSING} SELECT MAX(total) AS n_rows, CAST(5 AS BIGINT) AS n_columns, CAST(3 AS BIGINT) AS numeric_columns,
+    f"""{MISSING} SELECT MAX(total) AS n_rows, CAST(6 AS BIGINT) AS n_columns, CAST(3 AS BIGINT) AS numeric_columns,
     CAST(2 AS BIGINT) AS categorical_columns, CAST(SUM(missing) AS BIGINT) AS missing_cells,
     {rounded_ratio('SUM(missing) * 100', 'SUM(total)', 4)} AS missing_percent,
     {rounded_ratio('SUM(total - missing) * 100', 'SUM(total)')} AS completeness_percent FROM missing""",
@@ -168,8 +214,8 @@ def quality_summary(spark, sf_dir):
                 c,
                 {
                     "t": t,
-                    "lo": "'-'" if t == "string" else f"printf('%.2f', CAST(MIN({c}) AS DOUBLE))",
-                    "hi": "'-'" if t == "string" else f"printf('%.2f', CAST(MAX({c}) AS DOUBLE))",
+                    "lo": "'-'" if t in KINDS else f"printf('%.2f', CAST(MIN({c}) AS DOUBLE))",
+                    "hi": "'-'" if t in KINDS else f"printf('%.2f', CAST(MAX({c}) AS DOUBLE))",
                 },
             )
             for c, t in GAPPY_COLUMNS.items()

@@ -22,7 +22,7 @@ from freightloom.operators.monthly import by_month, month_columns, previous_valu
 from freightloom.operators.projection import union_all_by_name
 from freightloom.plans import marts
 
-from .fixture import AS_OF, staged, table
+from .fixture import AS_OF, line_items, staged, table
 from .marts import SHIPMENT_AVERAGES, TURNOVER
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
@@ -193,6 +193,31 @@ def sum_product(spark, sf_dir):
     return staged(spark, sf_dir, "order").groupBy("product_card_id").agg(value.alias("inventory_value"))
 
 
+@query(
+    "agg_sum_small",
+    """SELECT l_shipmode AS flag, CAST(SUM(l_quantity) AS DOUBLE) / 1073741824 AS total,
+    CAST(SUM(l_quantity) AS DOUBLE) / 1073741824 / COUNT(*) AS mean FROM
+    (SELECT l_returnflag || l_linestatus AS l_shipmode, l_quantity FROM lineitem) GROUP BY ALL""",
+)
+def sum_small(spark, sf_dir):
+    """Amounts around 1e-9, far below the decimals of an amount; halvings, so that doubles add up exactly."""
+    small = F.col("l_quantity") / F.lit(2**30)
+    return line_items(spark, sf_dir).groupBy(F.concat("l_returnflag", "l_linestatus").alias("flag")).agg(
+        exact_sum(small).alias("total"), exact_avg(small).alias("mean")
+    )
+
+
+@query(
+    "agg_sum_product_fractional",
+    """SELECT l_suppkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_quantity / 8 AS DECIMAL(10,3))) AS DOUBLE)
+    AS inventory_value FROM lineitem GROUP BY ALL""",
+)
+def sum_product_fractional(spark, sf_dir):
+    """Quantities in eighths."""
+    value = exact_sum_product("l_extendedprice", F.col("l_quantity") / 8)
+    return line_items(spark, sf_dir).groupBy("l_suppkey").agg(value.alias("inventory_value"))
+
+
 @query(
     "agg_ratio",
     over_staged(
@@ -294,12 +319,38 @@ def lag(spark, sf_dir):
     ),
 )
 def cap_ordered(spark, sf_dir):
+    """The reference size, which takes all staged orders of the smaller test tables."""
     orders = staged(spark, sf_dir, "order")
     return capped(orders, 50_000, ["order_id"]).select(
         "order_id", "department_id", "product_card_id", "order_status"
     )
 
 
+@query(
+    "limit_cap_staged",
+    over_staged(
+        """SELECT order_id, department_id, product_card_id, order_status FROM stg_order
+        ORDER BY order_id NULLS FIRST LIMIT 1000""",
+        "order",
+    ),
+)
+def cap_staged(spark, sf_dir):
+    return capped(staged(spark, sf_dir, "order"), 1_000, ["order_id"]).select(
+        "order_id", "department_id", "product_card_id", "order_status"
+    )
+
+
+@query(
+    "limit_cap_text_key",
+    """SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+    ORDER BY l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 5000""",
+)
+def cap_text_key(spark, sf_dir):
+    """Text first: a few flags that a third of all rows share, then numbers."""
+    order = ["l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return capped(line_items(spark, sf_dir).select(order), 5_000, order)
+
+
 @query(
     "limit_head",
     "SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 5",

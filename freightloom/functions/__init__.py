@@ -15,12 +15,23 @@ from .scalar import (
     safe_divide,
     value_label,
 )
-from .sums import AMOUNT, exact_avg, exact_sum, exact_sum_product, rounded_ratio
+from .sums import (
+    AMOUNT,
+    decimal_sum,
+    decimal_sum_product,
+    exact_avg,
+    exact_sum,
+    exact_sum_product,
+    rounded_ratio,
+    sum_of_parts,
+)
 
 __all__ = [
     "AMOUNT",
     "age_bucket",
     "batch_tag",
+    "decimal_sum",
+    "decimal_sum_product",
     "exact_avg",
     "exact_sum",
     "exact_sum_product",
@@ -32,6 +43,7 @@ __all__ = [
     "rounded_ratio",
     "safe_cast",
     "safe_divide",
+    "sum_of_parts",
     "value_label",
     "whole_days_between",
 ]

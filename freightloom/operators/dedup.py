@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from .projection import missing_columns, quoted
 
+# Copies of one row that a task writes out at a time when duplicates are flagged.
+PORTION = 65_536
+
 
 def _tie_order(df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] | None) -> list[str]:
     """Columns that decide among rows of one key.
@@ -36,6 +39,7 @@ def dedupe_by_key(
     missing_ok: bool = False,
     repeats: bool = False,
     output: Sequence[str] | None = None,
+    ranked_last: Sequence[str] = (),
 ) -> DataFrame:
     """Keep the first row of each key in ``tie_break`` order (all columns by default).
 
@@ -48,6 +52,8 @@ def dedupe_by_key(
         sorting every record.
     output
         Columns to return, if the tie-break needs columns the result does not.
+    ranked_last
+        Columns that decide among rows which tie on a complete tie-break.
     missing_ok
         Return the input when a key column is absent instead of raising.
     """
@@ -63,29 +69,37 @@ def dedupe_by_key(
     if repeats:
         df = df.distinct()
     by_key = Window.partitionBy(*[F.col(quoted(k)) for k in keys])
-    order = [F.col(quoted(c)) for c in _tie_order(df, keys, tie_break)] or [F.lit(1)]
+    decisive = _tie_order(df, keys, tie_break)
+    decisive += [c for c in ranked_last if c not in keys and c not in decisive]
+    order = [F.col(quoted(c)) for c in decisive] or [F.lit(1)]
     kept = df.withColumn("_rank", F.row_number().over(by_key.orderBy(*order))).filter("_rank = 1")
     return kept.select(*[F.col(quoted(c)) for c in (output or df.columns)])
 
 
 def flag_duplicates(
-    df: DataFrame, keys: Sequence[str], tie_break: Sequence[str], flag: str = "duplicate_flag"
+    df: DataFrame, keys: Sequence[str], tie_break: Sequence[str] = (), flag: str = "duplicate_flag"
 ) -> DataFrame:
-    """Mark all rows but the first of each key instead of dropping them.
+    """Mark all rows but the first of each key, in ``tie_break`` order, instead of dropping them.
 
-    ``tie_break`` must tell the rows of a key apart, e.g. topic, partition and
-    offset of landed messages, or the columns of ``sources.with_row_locator``.
-    The first rows are joined back on key *and* tie-break, which are unique
-    together, so no task receives a whole hot key.
+    Rows that tie are ranked by their other columns. Equal rows are counted
+    before they are shuffled; one of them can be a key's first, the others are
+    its copies. The first rows are joined back on all columns, which are unique
+    then, and copies are written out again in portions, so neither a hot key
+    nor a row with many copies gathers in one task.
     """
-    identity = list(dict.fromkeys([*keys, *tie_break]))
-    first = dedupe_by_key(df.select(*[F.col(quoted(c)) for c in identity]), keys, tie_break)
-    first = first.select(*[F.col(quoted(c)).alias(f"_first_{i}") for i, c in enumerate(identity)])
+    columns = [F.col(quoted(c)) for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    first = dedupe_by_key(counted.drop("_copies"), keys, tie_break, ranked_last=df.columns)
+    first = first.select(*[F.col(quoted(c)).alias(f"_first_{i}") for i, c in enumerate(df.columns)])
     same = F.lit(True)
-    for i, c in enumerate(identity):
-        same = same & df[quoted(c)].eqNullSafe(first[f"_first_{i}"])
-    marked = df.join(first.withColumn("_is_first", F.lit(True)), same, "left")
-    return marked.select(*[df[quoted(c)] for c in df.columns], F.col("_is_first").isNull().alias(flag))
+    for i, c in enumerate(df.columns):
+        same = same & counted[quoted(c)].eqNullSafe(first[f"_first_{i}"])
+    marked = counted.join(first.withColumn("_is_first", F.lit(True)), same, "left")
+    portions = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(PORTION).cast("bigint"))
+    spread = marked.withColumn("_from", F.explode(portions)).repartition(*columns, F.col("_from"))
+    upto = F.least(F.col("_from") + PORTION, "_copies") - 1
+    copies = spread.withColumn("_copy", F.explode(F.sequence("_from", upto)))
+    return copies.select(*columns, (F.col("_is_first").isNull() | (F.col("_copy") > 0)).alias(flag))
 
 
 def key_counts(df: DataFrame, keys: Sequence[str], count: str = "n") -> DataFrame:

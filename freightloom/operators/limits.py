@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .order_statistics import column_extents, value_at_rank
+from .projection import quoted
 
-# A top-n sends up to n rows per task to one task. From this many rows on, and
-# this large an n, rows past the n-th are filtered out beforehand.
-PREFILTER_N = 1_000
-PREFILTER_ROWS = 4_000_000
+# Keys sampled per round, and how many of them are counted against.
+SAMPLE_KEYS = 4_096
+PIVOTS = 32
 
 
 def head(df: DataFrame, n: int = 5, order_by: Sequence[str | Column] = ()) -> DataFrame:
@@ -26,23 +26,59 @@ def top_k(df: DataFrame, metric: str, k: int, tie_break: Sequence[str] = ()) ->
     return df.orderBy(F.col(metric).desc_nulls_last(), *tie_break).limit(k)
 
 
-def capped(
-    df: DataFrame, n: int | None, order_by: Sequence[str], prefilter_rows: int = PREFILTER_ROWS
-) -> DataFrame:
+def _key(df: DataFrame, order_by: Sequence[str]) -> Column:
+    """The order columns as one value; structs compare like rows, missing values first."""
+    return F.struct(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(order_by)])
+
+
+def _literal(df: DataFrame, order_by: Sequence[str], values: Sequence) -> Column:
+    return F.struct(
+        *[F.lit(v).cast(df.schema[c].dataType).alias(f"k{i}") for i, (c, v) in enumerate(zip(order_by, values))]
+    )
+
+
+def capped(df: DataFrame, n: int | None, order_by: Sequence[str]) -> DataFrame:
     """At most ``n`` rows, the first ones in ``order_by`` order; ``None`` keeps all.
 
-    For a large ``n`` and a numeric first column, the rows are counted right
-    away. If there are many, the n-th smallest value is looked up by a
-    distributed selection and larger ones are filtered out, so that the final
-    top-n sees about ``n`` rows rather than ``n`` per task.
+    A plain limit would send n rows from every task to one. Instead the key of
+    the n-th row is closed in on: rows are counted against keys from a small
+    sample, and what lies strictly between two of them is looked at next, until
+    it is as small as a sample or all of one key. Rows before it are kept by a
+    filter, and only those few are put in order. Runs jobs right away: a count,
+    and a sample and a count per round, each of which leaves about a hundredth
+    of the rows. Order columns may have any type that has an order.
     """
     if n is None:
         return df
-    first = order_by[0]
-    if n > PREFILTER_N and isinstance(df.schema[first].dataType, (T.IntegralType, T.FractionalType)):
-        extents = column_extents(df, [first])
-        if extents[first][0] > prefilter_rows:
-            bound = value_at_rank(df, first, n - 1, extents)
-            if bound is not None:
-                df = df.filter(F.col(first).isNull() | (F.col(first) <= F.lit(bound)))
-    return df.orderBy(*order_by).limit(n)
+    key = _key(df, order_by)
+    literal = functools.cache(lambda values: _literal(df, order_by, values))
+    low, high, before, rows = None, None, 0, df.count()  # keys strictly between; rows before, rows between
+
+    def between() -> DataFrame:
+        above = F.lit(True) if low is None else key > literal(low)
+        return df.filter(above if high is None else above & (key < literal(high)))
+
+    def cut(rest: DataFrame) -> DataFrame:
+        return rest if low is None else df.filter(key <= literal(low)).unionByName(rest)
+
+    while rows > SAMPLE_KEYS and before + rows > n:
+        picked = between().select(key.alias("key")).sample(min(1.0, SAMPLE_KEYS / rows)).distinct()
+        sample = [tuple(row["key"]) for row in picked.orderBy("key").collect()]
+        # Pivots lie close together where the n-th row is expected, and reach the ends further out.
+        expected = (n - before) / rows * len(sample)
+        steps = [math.copysign(k * k * len(sample) / PIVOTS**2, k) for k in range(-PIVOTS, PIVOTS + 1)]
+        places = sorted({min(max(0, round(expected + s)), len(sample) - 1) for s in steps}) if sample else []
+        pivots = [sample[p] for p in places]
+        counts = [F.count_if(test) for p in pivots for test in (key < literal(p), key <= literal(p))]
+        found = between().agg(F.count(F.lit(1)), *counts).first()
+        ends = [before, *(before + c for c in found[1:]), before + found[0]]
+        part = next((i for i in range(1, len(ends)) if ends[i] >= n), len(ends) - 1)
+        if part % 2 == 0:  # the n-th row has a pivot's key, as have all rows of this part
+            pivot = pivots[part // 2 - 1]
+            same = df.filter(key == literal(pivot)).limit(n - ends[part - 1])
+            return df.filter(key < literal(pivot)).unionByName(same)
+        low, high = pivots[part // 2 - 1] if part > 1 else low, pivots[part // 2] if part // 2 < len(pivots) else high
+        before, rows = ends[part - 1], ends[part] - ends[part - 1]
+    if before + rows <= n and high is None:
+        return df
+    return cut(between().orderBy(*[F.col(quoted(c)) for c in order_by]).limit(n - before))

@@ -21,7 +21,9 @@ from .order_statistics import exact_quantiles
 from .projection import quoted
 
 TOP_VALUES = 10
+PARTS = 64
 QUARTILES = (0.25, 0.5, 0.75)
+MEASURES = ("mean", "std", "min", "q25", "median", "q75", "max", "range", "iqr")
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -47,6 +49,11 @@ def _rows_per_column(one_row: DataFrame, structs: Sequence[Column]) -> DataFrame
     return one_row.select(F.inline(F.array(*structs)))
 
 
+def _no_columns(df: DataFrame, schema: str) -> DataFrame:
+    """The report on no columns at all."""
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def shape(df: DataFrame) -> DataFrame:
     """Number of rows and columns."""
     return df.agg(F.count("*").alias("n_rows")).withColumn(
@@ -102,6 +109,8 @@ def numeric_summary(
     extra pass. ``digits=None`` leaves values unrounded.
     """
     columns = list(columns or numeric_columns(df))
+    if not columns:
+        return _no_columns(df, "column string, count bigint, " + ", ".join(f"{m} double" for m in MEASURES))
     aggregates = [F.lit(0).alias("_none")]
     for i, c in enumerate(columns):
         value = _present(df, c).cast("double")
@@ -162,6 +171,8 @@ def numeric_summary(
 def _counted_values(df: DataFrame, columns: Sequence[str] | None) -> DataFrame:
     """``(column, value, n)`` with values as text; missing values are counted under NULL."""
     columns = list(columns or categorical_columns(df))
+    if not columns:
+        return _no_columns(df, "column string, value string, n bigint")
     numeric = set(numeric_columns(df))
     pairs = []
     for i, c in enumerate(columns):
@@ -181,18 +192,41 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return _counted_values(df, columns).filter(F.col("value").isNotNull())
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Number of distinct values per column, missing ones ignored."""
+def distinct_counts(
+    df: DataFrame, columns: Sequence[str] | None = None, relative_error: float | None = None
+) -> DataFrame:
+    """Number of distinct values per column, missing ones ignored.
+
+    Exact counts shuffle every distinct value. With ``relative_error`` each
+    column is counted by a sketch of fixed size, in one pass without a shuffle
+    of values.
+    """
+    if relative_error is not None:
+        return _approximate_distinct_counts(df, list(columns or categorical_columns(df)), relative_error)
     return _counted_values(df, columns).groupBy("column").agg(F.count("value").alias("distinct_values"))
 
 
+def _approximate_distinct_counts(df: DataFrame, columns: Sequence[str], relative_error: float) -> DataFrame:
+    if not columns:
+        return _no_columns(df, "column string, distinct_values bigint")
+    sketches = [F.approx_count_distinct(_present(df, c), relative_error).alias(f"_{i}") for i, c in enumerate(columns)]
+    rows = [F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("distinct_values")) for i, c in enumerate(columns)]
+    return _rows_per_column(df.agg(*sketches), rows)
+
+
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, k: int = TOP_VALUES) -> DataFrame:
     """The ``k`` most frequent values per column, with their share of all rows.
 
-    Ties go to the smaller value. Labels are cut after ranking.
+    Ties go to the smaller value. Labels are cut after ranking. Values are ranked
+    in parts of each column first, so that for any ``k`` the ranking of a column
+    sees ``k`` values per part and not all distinct ones.
     """
-    by_column = Window.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
-    ranked = value_counts(df, columns).withColumn("position", F.row_number().over(by_column))
+    order = [F.col("n").desc(), F.col("value")]
+    part = F.pmod(F.xxhash64("value"), F.lit(PARTS))
+    in_part = F.row_number().over(Window.partitionBy("column", part).orderBy(*order))
+    candidates = value_counts(df, columns).withColumn("position", in_part).filter(F.col("position") <= k)
+    in_column = F.row_number().over(Window.partitionBy("column").orderBy(*order))
+    ranked = candidates.withColumn("position", in_column)
     total = df.agg(F.count("*").alias("_total"))
     return attach_totals(ranked.filter(F.col("position") <= k), total).select(
         "column",

@@ -1,21 +1,18 @@
 """Reading and writing files, tables and message batches."""
 
 from .files import (
-    assert_has_files,
     read_bronze,
     read_csv_inferred,
     read_csv_strings,
     read_json_records,
     read_parquet_glob,
     register_json_table,
-    spread_small,
     with_row_locator,
 )
 from .messages import decode_messages, encode_messages
 from .sinks import load_full_refresh, write_data_dictionary, write_tables
 
 __all__ = [
-    "assert_has_files",
     "decode_messages",
     "encode_messages",
     "load_full_refresh",
@@ -25,7 +22,6 @@ __all__ = [
     "read_json_records",
     "read_parquet_glob",
     "register_json_table",
-    "spread_small",
     "with_row_locator",
     "write_data_dictionary",
     "write_tables",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,23 +17,15 @@ MISSING_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_REPLACEMENT_CHARACTER = "�"
+# The byte sequences of well-formed UTF-8, each byte as a character of its own.
+_WELL_FORMED = (
+    r"[\x00-\x7f]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}"
+    r"|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}"
+)
+_UNEVEN = "_uneven_record"
 _NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def assert_has_files(spark: SparkSession, path: str) -> None:
-    """Raise ``FileNotFoundError`` unless the path (or glob) exists and holds files."""
-    try:
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        found = listed.select("path").limit(1).count() > 0
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"path does not exist: {path}") from error
-        raise
-    if not found:
-        raise FileNotFoundError(f"path holds no files: {path}")
-
-
 def read_parquet_glob(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """All Parquet files under a path or glob as one table.
 
@@ -43,22 +35,18 @@ def read_parquet_glob(spark: SparkSession, path: str, merge_schema: bool = False
 
 
 def read_bronze(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """Landed order records; fails if nothing has landed."""
-    assert_has_files(spark, path)
-    return read_parquet_glob(spark, path, merge_schema)
+    """Landed order records; raises ``FileNotFoundError`` if nothing has landed.
 
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Let all cores work on a scan with fewer splits than there are cores.
-
-    A small file, or one with a single row group, is read by one task, and so is
-    all work up to the next shuffle. Scans with at least one split per core,
-    that is all large ones, come back unchanged.
+    The scan's own listing of the files tells, so they are listed once.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    try:
+        return read_parquet_glob(spark, path, merge_schema)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise FileNotFoundError(f"path does not exist: {path}") from error
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            raise FileNotFoundError(f"path holds no files: {path}") from error
+        raise
 
 
 def with_row_locator(df: DataFrame) -> DataFrame:
@@ -70,45 +58,52 @@ def with_row_locator(df: DataFrame) -> DataFrame:
     )
 
 
-def _quotes_span_lines(spark: SparkSession, path: str) -> bool:
-    """Whether some line has an odd number of quotes, i.e. a quoted line break."""
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+def _decoded(value: Column) -> Column:
+    """Text whose characters are the bytes of UTF-8 as real text, without bytes that are not UTF-8."""
+    clean = F.regexp_replace(value, f"((?:{_WELL_FORMED})+)|[\\x80-\\xff]", "$1")
+    text = F.decode(F.encode(clean, "ISO-8859-1"), "UTF-8")
+    return F.when(value.rlike(r"[\x80-\xff]"), text).otherwise(value)
 
 
 def read_csv_strings(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] | None = None,
-    multi_line: bool | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV records with a header, every value a string and absent values ``''``.
+    """CSV records with a header, every value a string.
 
-    Bytes that are not UTF-8 are dropped. Files with line breaks inside quotes
-    cannot be split among tasks, so unless ``multi_line`` says which it is, a
-    scan of the lines finds out whether there are any.
+    An empty value is ``''``; a field that a short record lacks is NULL. Bytes
+    that are not UTF-8 are dropped: the file is read with one character a byte,
+    and the bytes of each value are decoded then.
+    ``multi_line`` is for files with line breaks inside quotes; such files
+    cannot be split, so each is read by one task.
     ``columns`` gives the header if it is known, which saves reading it first.
     """
-    if multi_line is None:
-        multi_line = _quotes_span_lines(spark, path)
     reader = (
         spark.read.option("header", True)
-        .option("encoding", "UTF-8")
+        .option("encoding", "ISO-8859-1")
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", _UNEVEN)
     )
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    raw = reader.csv(path)
+    if columns is None:
+        names = reader.csv(path).columns
+    else:
+        names = [c.encode().decode("latin-1") for c in columns]
+    fields = [T.StructField(c, T.StringType()) for c in [*names, _UNEVEN]]
+    raw = reader.schema(T.StructType(fields)).csv(path)
+    # A record with too few or too many fields comes along as a whole, to count its fields.
+    unquoted = F.regexp_replace(F.col(_UNEVEN), r'"(?:[^"]|"")*"', "")
+    held = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    raw = raw.withColumn("_held", F.coalesce(held, F.lit(len(names))))
     return raw.select(
         *[
-            F.coalesce(
-                F.replace(F.col(quoted(c)), F.lit(_REPLACEMENT_CHARACTER), F.lit("")), F.lit("")
-            ).alias(c)
-            for c in raw.columns
+            F.when(F.col("_held") > i, F.coalesce(_decoded(F.col(quoted(c))), F.lit("")))
+            .alias(c.encode("latin-1").decode(errors="ignore"))
+            for i, c in enumerate(names)
         ]
     )
 
@@ -144,7 +139,7 @@ def read_csv_inferred(
     spark: SparkSession,
     path: str,
     missing: Sequence[str] = MISSING_TEXTS,
-    multi_line: bool | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV records with column types inferred from all values.
 

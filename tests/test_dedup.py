@@ -3,6 +3,7 @@ import collections
 import pytest
 from helpers import plan_of, rows
 
+from freightloom.operators import dedup
 from freightloom.operators.dedup import dedup_report, dedupe_by_key, duplicate_groups, flag_duplicates
 from freightloom.plans.staging import stage
 from freightloom.sources import with_row_locator
@@ -58,6 +59,22 @@ def test_flags_mark_all_but_the_first(spark):
     )
 
 
+def test_flags_mark_exact_copies(spark):
+    df = spark.createDataFrame([("k", 1, "x"), ("k", 1, "x"), ("k", 1, "a"), ("k", 2, "x"), ("k", 2, "x"), (None, None, None)] + [(None, None, None)], "k string, v int, w string")
+    assert rows(flag_duplicates(df, ["k"], ["v"])) == sorted(
+        [("k", 1, "a", False), ("k", 1, "x", True), ("k", 1, "x", True), ("k", 2, "x", True), ("k", 2, "x", True),
+         (None, None, None, False), (None, None, None, True)], key=repr)
+    assert flag_duplicates(df.limit(0), ["k"], ["v"]).count() == 0
+
+
+def test_flags_with_a_third_of_all_rows_equal(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "PORTION", 100)
+    df = spark.range(9_000).selectExpr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k", "1 AS v")
+    flagged = flag_duplicates(df, ["k"], ["v"])
+    assert flagged.count() == 9_000 and flagged.filter("NOT duplicate_flag").count() == 6_001
+    assert flagged.filter("k = 0 AND NOT duplicate_flag").count() == 1
+
+
 def test_flags_tell_equal_rows_apart_by_locator(spark, tmp_path):
     spark.createDataFrame([("a",)] * 40 + [("b",)] * 2, "k string").repartition(3).write.parquet(
         str(tmp_path / "t")

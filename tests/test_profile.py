@@ -4,14 +4,14 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import rows, values
+from helpers import plan_of, rows, values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from freightloom.operators import profile
+from freightloom.operators import limits, order_statistics, profile
 from freightloom.operators.limits import capped, head, top_k
-from freightloom.operators.order_statistics import exact_quantiles, value_at_rank
+from freightloom.operators.order_statistics import column_extents, exact_quantiles, values_at_ranks
 from freightloom.sources import write_data_dictionary
 
 
@@ -94,39 +94,69 @@ def test_approximate_summary_has_the_same_columns(gappy):
         [1e300, -1e300] + [x / 7 for x in range(500)],
         [5e-324, 0.0, 1e-323] * 30,
         [-math.inf, math.inf] + [float(x) for x in range(100)],
+        [math.inf] * 70 + [-math.inf] * 30,
+        [10.0**x for x in range(-300, 300)] * 9,
+        [1.0] * 5000 + [2.0] * 5000,
+        [1.0] * 4999 + [2.0] * 5001 + [3.0, 0.0],
     ],
 )
-def test_narrowing_finds_exact_quantiles(spark, data):
-    """Tiny leaves and few buckets force several rounds."""
+def test_narrowing_finds_exact_quantiles(spark, data, monkeypatch):
+    """A coarse sketch forces several rounds."""
+    monkeypatch.setattr(order_statistics, "ACCURACY", 50)
+    monkeypatch.setattr(order_statistics, "GRID", 25)
     df = spark.createDataFrame([(float(x),) for x in data], "x double")
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    found = exact_quantiles(df, ["x"], probabilities, leaf_rows=10, buckets=8)
+    found = exact_quantiles(df, ["x"], probabilities)
     got = {r["probability"]: r["quantile"] for r in found.collect()}
     with np.errstate(invalid="ignore"):
         for p in probabilities:
-            assert got[p] == pytest.approx(np.quantile(np.array(data, dtype=float), p), rel=1e-12, nan_ok=True), p
+            want = np.quantile(np.array(data, dtype=float), p)
+            if np.isnan(want):  # between equal infinities; the value itself is as good
+                assert math.isinf(got[p])
+            else:
+                assert got[p] == pytest.approx(want, rel=1e-12), p
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.floats(-1e9, 1e9, allow_nan=False), min_size=1, max_size=60), st.floats(0, 1))
 def test_quantiles_by_property(spark, data, p):
     df = spark.createDataFrame([(x,) for x in data], "x double")
-    found = exact_quantiles(df, ["x"], [p], leaf_rows=3, buckets=4).first()["quantile"]
+    found = exact_quantiles(df, ["x"], [p]).first()["quantile"]
     assert found == pytest.approx(np.quantile(data, p), rel=1e-9, abs=1e-6)
 
 
-def test_value_at_rank(spark):
+def test_values_at_ranks(spark):
     df = spark.createDataFrame([(x,) for x in [5, 3, 3, 9, None]], "x bigint")
-    assert [value_at_rank(df, "x", r, leaf_rows=1, buckets=2) for r in range(5)] == [3.0, 3.0, 5.0, 9.0, None]
+    found = values_at_ranks(df, {"x": range(5)}, column_extents(df, ["x"]))
+    assert found == {("x", 0): 3.0, ("x", 1): 3.0, ("x", 2): 5.0, ("x", 3): 9.0}
 
 
-def test_cap_with_and_without_prefilter(spark):
-    df = spark.createDataFrame([(x % 997, x) for x in range(3000)] + [(None, -1)], "k bigint, v int")
-    want = [(r.k, r.v) for r in df.orderBy("k", "v").limit(1500).collect()]
-    for prefilter_rows in (10, 10**9):
-        got = capped(df, 1500, ["k", "v"], prefilter_rows=prefilter_rows)
-        assert [(r.k, r.v) for r in got.collect()] == want
-    assert capped(df, None, ["k"]) is df
+def test_no_task_holds_a_column(spark):
+    df = spark.range(10_000).select(F.col("id").cast("double").alias("x"))
+    assert "Window" not in plan_of(exact_quantiles(df, ["x"], [0.5]))
+    assert "Window" not in plan_of(capped(df, 5_000, ["x"]))
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 1500, 2999, 3000, 3001, 9000])
+@pytest.mark.parametrize("order", [["k", "v"], ["t", "v"], ["d", "k", "v"], ["same", "v"], ["same"]])
+def test_cap_for_any_order_columns(spark, monkeypatch, n, order):
+    monkeypatch.setattr(limits, "SAMPLE_KEYS", 50)
+    monkeypatch.setattr(limits, "PIVOTS", 4)
+    df = spark.range(3000).select(
+        F.when(F.col("id") != 7, F.col("id") % 97).alias("k"), F.col("id").cast("int").alias("v"),
+        F.concat(F.lit("order-"), F.col("id") % 13).alias("t"), F.date_add(F.lit("2020-01-01"), (F.col("id") % 31).cast("int")).alias("d"),
+        F.lit(1.5).alias("same"),
+    )
+    got = capped(df, n, order)
+    assert got.count() == min(n, 3000)
+    if order != ["same"]:
+        assert rows(got.select(order)) == rows(df.orderBy(*order).limit(n).select(order))
+
+
+def test_cap_of_nothing(spark):
+    df = spark.range(0)
+    assert capped(df, 5, ["id"]).count() == 0
+    assert capped(df, None, ["id"]) is df
 
 
 def test_head_and_top_k(spark):
@@ -149,3 +179,27 @@ def test_dictionary_round_trip(spark, gappy, tmp_path):
 def test_zero_and_negative_zero_are_one_value(spark):
     df = spark.createDataFrame([(0.0,), (-0.0,)], "v double")
     assert rows(profile.distinct_counts(df, ["v"])) == [("v", 1)]
+
+
+def test_tables_without_text_or_numbers(spark):
+    text, number = spark.createDataFrame([("a",)], "s string"), spark.createDataFrame([(1,)], "n int")
+    assert profile.numeric_summary(text).collect() == []
+    assert profile.numeric_summary(text).columns == profile.numeric_summary(number).columns
+    assert profile.numeric_summary(text).dtypes == profile.numeric_summary(number).dtypes
+    for report in (profile.distinct_counts, profile.top_values, profile.value_counts):
+        assert report(number).collect() == []
+        assert report(number).dtypes == report(text).dtypes
+    assert profile.distinct_counts(number, relative_error=0.05).collect() == []
+
+
+def test_approximate_distinct_counts(spark):
+    df = spark.range(5000).select((F.col("id") % 700).cast("string").alias("a"), F.lit("x").alias("b"))
+    found = dict(rows(profile.distinct_counts(df, relative_error=0.02)))
+    assert found["b"] == 1 and abs(found["a"] - 700) < 70
+
+
+def test_many_top_values(spark):
+    df = spark.range(4000).select((F.col("id") % 3000).cast("string").alias("a"))
+    found = [(r.value, r.n) for r in profile.top_values(df, k=2000).orderBy("position").collect()]
+    want = sorted(((str(v), 2 if v < 1000 else 1) for v in range(3000)), key=lambda x: (-x[1], x[0]))[:2000]
+    assert found == want

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from freightloom.plans.analyses import between_dates, nested_records
 from freightloom.schema import RAW_ORDER_SCHEMA, all_text, struct_of
 from freightloom.sources import (
-    assert_has_files,
     decode_messages,
     encode_messages,
     load_full_refresh,
@@ -17,10 +16,8 @@ from freightloom.sources import (
     read_json_records,
     read_parquet_glob,
     register_json_table,
-    spread_small,
     write_tables,
 )
-from freightloom.sources.files import _quotes_span_lines
 
 
 def write(path, data):
@@ -40,15 +37,21 @@ def test_csv_drops_bytes_that_are_not_utf8(spark, tmp_path):
     assert rows(read_csv_strings(spark, path)) == [("So", "été")]
 
 
-def test_csv_with_line_breaks_inside_quotes(spark, tmp_path):
-    path = write(tmp_path / "o.csv", 'a,b\n1,"two\nlines"\n2,x\n')
-    assert _quotes_span_lines(spark, path)
-    assert rows(read_csv_strings(spark, path)) == [("1", "two\nlines"), ("2", "x")]
+def test_csv_keeps_genuine_replacement_characters(spark, tmp_path):
+    path = write(tmp_path / "o.csv", "a,ключ\n".encode() + "x\ufffdy,".encode() + b"\xff\xf0\x9f\x98\x80\xe3\n")
+    df = read_csv_strings(spark, path)
+    assert df.columns == ["a", "ключ"] and rows(df) == [("x\ufffdy", "😀")]
+
+
+def test_csv_short_records_lack_fields(spark, tmp_path):
+    path = write(tmp_path / "o.csv", 'a,b,c\n1\n2,\n"3,3",x\n4,,\n5,6,7,8\n"6\n')
+    found = sorted(map(tuple, read_csv_strings(spark, path).collect()))
+    assert found[:5] == [("1", None, None), ("2", "", None), ("3,3", "x", None), ("4", "", ""), ("5", "6", "7")]
 
 
-def test_csv_without_them_stays_splittable(spark, tmp_path):
-    path = write(tmp_path / "o.csv", 'a,b\n1,"x ""y"" z"\n')
-    assert not _quotes_span_lines(spark, path)
+def test_csv_with_line_breaks_inside_quotes(spark, tmp_path):
+    path = write(tmp_path / "o.csv", 'a,b\n1,"two\nlines"\n2,x\n')
+    assert rows(read_csv_strings(spark, path, multi_line=True)) == [("1", "two\nlines"), ("2", "x")]
 
 
 def test_csv_with_known_header(spark, tmp_path):
@@ -72,12 +75,11 @@ def test_csv_inference_follows_whole_columns(spark, tmp_path):
 
 def test_guard(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="does not exist"):
-        assert_has_files(spark, str(tmp_path / "absent"))
+        read_bronze(spark, str(tmp_path / "absent"))
     (tmp_path / "empty").mkdir()
     with pytest.raises(FileNotFoundError, match="no files"):
-        assert_has_files(spark, str(tmp_path / "empty"))
+        read_bronze(spark, str(tmp_path / "empty"))
     spark.range(1).write.parquet(str(tmp_path / "full"))
-    assert_has_files(spark, str(tmp_path / "full"))
     assert read_bronze(spark, str(tmp_path / "full")).count() == 1
 
 
@@ -172,10 +174,3 @@ def test_date_filter_reaches_the_scan(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     plan = plan_of(between_dates(orders, "o_orderdate", "1997-01-01", "1998-01-01").select("o_orderkey"))
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
-
-
-def test_spread_leaves_wide_scans_alone(spark):
-    narrow, wide = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 64)
-    assert spread_small(wide) is wide
-    spread = spread_small(narrow, "id")
-    assert "Exchange" in plan_of(spread) and spread.count() == 100
