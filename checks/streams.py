@@ -10,7 +10,14 @@ from freightloom.schema import all_text
 from freightloom.session import scratch_dir
 from freightloom.sources import decode_messages, encode_messages, read_json_records
 from freightloom.sources.messages import ORDER_TOPIC
-from freightloom.streaming import batch_progress, clean_and_stamp, dedupe_stream, land, landed_file_metrics
+from freightloom.streaming import (
+    clean_and_stamp,
+    dedupe_stream,
+    land,
+    land_counted,
+    landed_batches,
+    landed_file_metrics,
+)
 
 from .fixture import table
 from .registry import query
@@ -100,11 +107,12 @@ def replay(spark, sf_dir):
 @query("stream_dedup", PLAIN_EVENTS)
 def dedup(spark, sf_dir):
     """Every event is delivered twice and lands once."""
-    stream = read_stream(spark, sf_dir, "events").select(*EVENT_COLUMNS)
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    stream = read_stream(session, sf_dir, "events").select(*EVENT_COLUMNS)
     path = scratch_dir(spark, "landed")
     once = dedupe_stream(stream.union(stream), ["event_id"])
-    cores = spark.sparkContext.defaultParallelism
-    drain(once, path, scratch_dir(spark, "checkpoint"), state_partitions=cores)
+    drain(once, path, scratch_dir(spark, "checkpoint"))
     return spark.read.parquet(path)
 
 
@@ -127,15 +135,25 @@ def clean_stamp(spark, sf_dir):
 
 @query(
     "stream_batch_metrics",
-    """SELECT COUNT(*) AS rows_read, COUNT(*) AS rows_landed, CAST(5 AS BIGINT) AS n_columns FROM events""",
+    """SELECT COUNT(*) AS rows_read, COUNT(*) AS rows_landed, CAST(120 AS BIGINT) AS batches, CAST(2 AS BIGINT) AS n_columns
+    FROM events""",
 )
 def batch_metrics(spark, sf_dir):
-    path = scratch_dir(spark, "landed")
-    finished = drain(
-        read_stream(spark, sf_dir, "events").select(*EVENT_COLUMNS), path, scratch_dir(spark, "checkpoint")
+    """Over a hundred micro-batches, with a restart in between."""
+    folder = scratch_dir(spark, "events-in")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    parts = events.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(120))).repartition("part")
+    parts.filter("part < 70").write.partitionBy("part").parquet(folder)
+    path, metrics, checkpoint = (scratch_dir(spark, p) for p in ("landed", "metrics", "checkpoint"))
+    reader = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    stream = reader.parquet(f"{folder}/part=*")
+    land_counted(stream, path, metrics, checkpoint).awaitTermination()
+    parts.filter("part >= 70").write.mode("append").partitionBy("part").parquet(folder)
+    land_counted(stream, path, metrics, checkpoint).awaitTermination()
+    counted = landed_batches(spark, metrics).agg(
+        F.sum("n_rows").alias("rows_read"), F.count("*").alias("batches")
     )
-    read = batch_progress(finished).agg(F.sum("input_rows").alias("rows_read"))
-    landed = landed_file_metrics(spark.read.parquet(path)).agg(
+    landed = landed_file_metrics(spark.read.schema(events.schema).parquet(f"{path}/*")).agg(
         F.sum("n_rows").alias("rows_landed"), F.max("n_columns").alias("n_columns")
     )
-    return attach_totals(landed, read)
+    return attach_totals(landed, counted)

@@ -21,9 +21,14 @@ def month_columns(ts: Column | str) -> tuple[Column, Column]:
     return F.year(ts).cast("bigint").alias("year"), F.month(ts).cast("bigint").alias("month")
 
 
+def order_time(df: DataFrame, date_text: str = "order_date", lenient: bool = False) -> Column:
+    """The order's timestamp: the typed column of a stored staging table, or else the parsed text."""
+    return F.col("order_ts") if "order_ts" in df.columns else parse_order_ts(date_text, lenient)
+
+
 def by_month(df: DataFrame, date_text: str = "order_date", lenient: bool = False, extra: Sequence[Column] = ()):
-    """Group by year and month of a date text (and by ``extra`` columns)."""
-    with_ts = df.withColumn("_ts", parse_order_ts(date_text, lenient))
+    """Group by year and month of the order (and by ``extra`` columns)."""
+    with_ts = df.withColumn("_ts", order_time(df, date_text, lenient))
     return with_ts.groupBy(*month_columns("_ts"), *extra)
 
 

@@ -1,18 +1,52 @@
-"""The batch run: landed records to star files, warehouse tables, staging and marts."""
+"""The batch run: landed records to star files, warehouse tables, staging, marts and checks.
+
+Every step reads what the step before has stored. A run may take only records
+newer than the last run's newest one: its survivors of each key are merged with
+those kept from before, which gives the tables a run over all records gives.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..schema import TABLES
+from ..functions import parse_order_ts
+from ..operators import quality
+from ..operators.dedup import dedupe_by_key
+from ..operators.projection import quoted, standardise_names, union_all_by_name
+from ..schema import MART_SCHEMAS, TABLES
 from ..sources import load_full_refresh, read_bronze, write_tables
+from .analyses import high_water_mark, newer_than
 from .marts import build_marts
-from .staging import stage, stage_warehouse
-from .star import split_star
+from .staging import ORDER_PARTS, stage, with_order_ts
+from .star import star_survivors
+
+ORDER_DATE = "Order_Date"
+MARKS = "batch_marks"
+FINDINGS = "quality_findings"
+
 
-STAGED_FOR_MARTS = ("order", "shipping", "product", "department")
+def last_mark(spark: SparkSession, database: str) -> tuple[int, dt.datetime] | None:
+    """Number and high-water mark of the last finished run."""
+    if not spark.catalog.tableExists(f"{database}.{MARKS}"):
+        return None
+    row = spark.table(f"{database}.{MARKS}").orderBy(F.col("run").desc()).first()
+    return (row["run"], row["mark"]) if row else None
+
+
+def _survivors(bronze: DataFrame, kept: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """First record of each key and table, among new records and the survivors of earlier runs."""
+    merged = {}
+    for spec in TABLES.values():
+        new = star_survivors(bronze, spec)
+        if new.columns and spec.star_name in kept:
+            both = union_all_by_name([kept[spec.star_name], new])
+            new = dedupe_by_key(both, spec.keys, spec.tie_break, missing_ok=True)
+        merged[spec.star_name] = new
+    return merged
 
 
 def run_batch(
@@ -24,27 +58,112 @@ def run_batch(
     cap: int | None = None,
     partitions: int | None = None,
     lenient_dates: bool = False,
+    incremental: bool = False,
 ) -> list[str]:
-    """Rebuild star files, warehouse, staging and marts from the landed records.
+    """Rebuild star files, warehouse, staging and marts from the landed records, and check them.
 
-    The star split deduplicates, so staging only casts. The staging tables the
-    marts need are written out, and each mart reads just its columns of them.
-    Every step overwrites its target, so a failed run is repeated as a whole.
-    Returns the names of the mart tables.
+    ``incremental`` reads only records ordered after the last finished run's
+    newest one (records that land later but are older are left to the next full
+    run); without an earlier run it reads all. Orders are staged with a typed
+    timestamp, in folders by year and month, so that date filters skip folders;
+    each staging table is stored once and also readable as the view ``stg_<table>``.
+    Every step overwrites its target and the mark is written last, so a failed
+    run is repeated as a whole. Findings of the checks are in the table
+    ``quality_findings``. Returns the names of the mart tables.
     """
-    bronze = read_bronze(spark, bronze_path)
-    written = write_tables(split_star(bronze), star_path, partitions=partitions)
-    names = {s.star_name: s.warehouse_name for s in TABLES.values() if s.star_name in written}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    bronze = standardise_names(read_bronze(spark, bronze_path))
+    ordered = parse_order_ts(ORDER_DATE, lenient_dates)
+    before = last_mark(spark, database)
+    kept: dict[str, DataFrame] = {}
+    if incremental and before:
+        bronze = newer_than(bronze.withColumn("_ts", ordered), "_ts", before[1]).drop("_ts")
+        kept = _read_survivors(spark, star_path, before[0])
+    run = before[0] + 1 if before else 1
+
+    # Survivors keep the columns that chose them, for later merges; star files do not.
+    folder = _survivor_folder(star_path, run)
+    survived = write_tables(_survivors(bronze, kept), folder, partitions=partitions)
+    by_star_name = {spec.star_name: spec for spec in TABLES.values()}
+    star = {}
+    for name in survived:
+        found = spark.read.parquet(f"{folder}/{name}")
+        star[name] = found.select(*[F.col(quoted(c)) for c in by_star_name[name].columns if c in found.columns])
+    write_tables(star, star_path, partitions=partitions)
+    names = {name: by_star_name[name].warehouse_name for name in survived}
     load_full_refresh(spark, star_path, database, names)
+
     staged = {}
-    for name in STAGED_FOR_MARTS:
-        table = f"{database}.stg_{name}"
-        loaded = spark.table(f"{database}.{TABLES[name].warehouse_name}")
-        stage(loaded, name, unique=True).write.mode("overwrite").saveAsTable(table)
-        staged[name] = spark.table(table)
-    stage_warehouse(spark, database, [n for n, s in TABLES.items() if s.warehouse_name in names.values()])
+    for name, spec in TABLES.items():
+        if spec.star_name in names:
+            staged[name] = _store_staged(spark, database, name, lenient_dates)
     marts = build_marts(staged, as_of=as_of, cap=cap, lenient_dates=lenient_dates)
     for name, mart in marts.items():
         mart.write.mode("overwrite").saveAsTable(f"{database}.{name}")
+    stored = {name: spark.table(f"{database}.{name}") for name in marts}
+    check_build(staged, stored).write.mode("overwrite").saveAsTable(f"{database}.{FINDINGS}")
+
+    mark = high_water_mark(staged["order"], "order_ts")
+    spark.createDataFrame([(run, mark)], "run bigint, mark timestamp_ntz").write.mode("append").saveAsTable(
+        f"{database}.{MARKS}"
+    )
     return [f"{database}.{name}" for name in marts]
+
+
+def _survivor_folder(star_path: str, run: int) -> str:
+    return f"{star_path.rstrip('/')}/_survivors/{run}"
+
+
+def _read_survivors(spark: SparkSession, star_path: str, run: int) -> dict[str, DataFrame]:
+    found = {}
+    for spec in TABLES.values():
+        try:
+            found[spec.star_name] = read_bronze(spark, f"{_survivor_folder(star_path, run)}/{spec.star_name}")
+        except FileNotFoundError:
+            continue  # the table's columns have not landed yet
+    return found
+
+
+def _store_staged(spark: SparkSession, database: str, name: str, lenient_dates: bool) -> DataFrame:
+    """Cast the unique warehouse table once, store it and make it readable as a view."""
+    table = f"{database}.stg_{name}"
+    staged = stage(spark.table(f"{database}.{TABLES[name].warehouse_name}"), name, unique=True)
+    writer = staged.write
+    if name == "order":
+        # One task per folder, or several for a large one.
+        writer = with_order_ts(staged, lenient_dates).hint("rebalance", *ORDER_PARTS).write.partitionBy(*ORDER_PARTS)
+    writer.mode("overwrite").saveAsTable(table)
+    spark.table(table).createOrReplaceTempView(f"stg_{name}")
+    return spark.table(table)
+
+
+def check_build(staged: Mapping[str, DataFrame], marts: Mapping[str, DataFrame]) -> DataFrame:
+    """Findings ``(check, table_name, subject, n_rows, failures)`` on staging tables and marts.
+
+    Keys must be present and unique after the cast, and tables must have the
+    declared columns and types. Rows without failures are findings too.
+    """
+    found = []
+    for name, df in staged.items():
+        spec = TABLES[name]
+        keys = [spec.staged_name(k) for k in spec.keys if spec.staged_name(k) in df.columns]
+        if keys:
+            missing = quality.not_null(df, keys).withColumnRenamed("column", "subject")
+            repeated = quality.unique(df, keys).select(
+                F.lit(", ".join(keys)).alias("subject"), "n_rows", F.col("repeated_keys").alias("failures")
+            )
+            found += [_finding("not_null", name, missing), _finding("unique", name, repeated)]
+        found.append(_finding("contract", name, _contract(df.drop(*ORDER_PARTS, "order_ts"), spec.staged_schema)))
+    for name, df in marts.items():
+        found.append(_finding("contract", name, _contract(df, MART_SCHEMAS[name])))
+    return union_all_by_name(found)
+
+
+def _contract(df: DataFrame, contract) -> DataFrame:
+    return quality.schema_contract(df, contract).select(
+        F.col("column").alias("subject"), F.col("n_values").alias("n_rows"), (F.col("status") != "ok").cast("bigint").alias("failures")
+    )
+
+
+def _finding(check: str, table: str, rows: DataFrame) -> DataFrame:
+    return rows.select(F.lit(check).alias("check"), F.lit(table).alias("table_name"), "subject", "n_rows", "failures")

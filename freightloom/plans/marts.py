@@ -18,7 +18,6 @@ from ..functions import (
     exact_avg,
     exact_sum,
     exact_sum_product,
-    parse_order_ts,
     rounded_ratio,
     safe_divide,
     sum_of_parts,
@@ -27,7 +26,7 @@ from ..functions import (
 from ..functions.dates import as_of_column
 from ..operators.joins import attach_dimension, attach_totals, with_month_name
 from ..operators.limits import capped
-from ..operators.monthly import MONTH_KEYS, by_month, month_columns, previous_value, running_total
+from ..operators.monthly import MONTH_KEYS, by_month, month_columns, order_time, previous_value, running_total
 
 # Fixed value: the status that counts as fulfilled.
 COMPLETED = "COMPLETED"
@@ -124,7 +123,7 @@ def inventory_by_age(
 
     Amounts come as double and, in ``*_exact``, as decimal where a decimal holds them.
     """
-    orders = orders.withColumn("_ts", parse_order_ts("order_date", lenient_dates))
+    orders = orders.withColumn("_ts", order_time(orders, lenient=lenient_dates))
     age = age_bucket(whole_days_between("_ts", as_of_column(as_of))).alias("age_range")
     return orders.groupBy(*month_columns("_ts"), age).agg(
         exact_sum_product("order_item_product_price", "order_item_quantity").alias("value"),

@@ -11,6 +11,9 @@ from ..operators.monthly import month_columns
 from ..operators.projection import quoted, standardise_names
 from ..schema import TABLES, TableSpec
 
+# Folders of a stored order table.
+ORDER_PARTS = ("order_year", "order_month")
+
 
 def stage(table: DataFrame, spec: TableSpec | str, unique: bool = False) -> DataFrame:
     """Keep one row per raw key and cast every column, bad values becoming NULL.
@@ -33,11 +36,17 @@ def stage(table: DataFrame, spec: TableSpec | str, unique: bool = False) -> Data
     )
 
 
-def stage_warehouse(spark: SparkSession, database: str, names=None) -> dict[str, DataFrame]:
-    """Staging tables over the warehouse, as temporary views named ``stg_<table>``."""
+def stage_warehouse(
+    spark: SparkSession, database: str, names=None, unique: bool = False
+) -> dict[str, DataFrame]:
+    """Staging tables over the warehouse, as temporary views named ``stg_<table>``.
+
+    ``unique`` spares every read of a view the deduplication, for warehouse
+    tables that the star split has left with one row per key.
+    """
     staged = {}
     for name in names or TABLES:
-        staged[name] = stage(spark.table(f"{database}.{TABLES[name].warehouse_name}"), name)
+        staged[name] = stage(spark.table(f"{database}.{TABLES[name].warehouse_name}"), name, unique)
         staged[name].createOrReplaceTempView(f"stg_{name}")
     return staged
 
@@ -51,6 +60,6 @@ def with_order_ts(orders: DataFrame, lenient: bool = False) -> DataFrame:
     year, month = month_columns("order_ts")
     return (
         orders.withColumn("order_ts", parse_order_ts("order_date", lenient))
-        .withColumn("order_year", year)
-        .withColumn("order_month", month)
+        .withColumn(ORDER_PARTS[0], year)
+        .withColumn(ORDER_PARTS[1], month)
     )

@@ -43,6 +43,19 @@ def star_table(
     )
 
 
+def star_survivors(flat: DataFrame, spec: TableSpec) -> DataFrame:
+    """The first record of each key with the table's columns and those that chose it.
+
+    The helpers are kept so that survivors of several runs can be merged.
+    """
+    named = standardise_names(flat)
+    if not any(c in named.columns for c in spec.columns):
+        return select_present(named, spec.columns)
+    kept = list(dict.fromkeys([*spec.columns, *spec.keys, *spec.tie_break]))
+    table = select_present(named, kept)
+    return dedupe_by_key(table, spec.keys, spec.tie_break, missing_ok=True, repeats=spec.repeats)
+
+
 def split_star(flat: DataFrame, dedupe: bool = True, extract: Extractor = select_present) -> dict[str, DataFrame]:
     """All seven star tables by their file names.
 

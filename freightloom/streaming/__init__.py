@@ -2,14 +2,15 @@
 
 from .clean import clean_and_stamp, dedupe_stream
 from .kafka import kafka_source_options, publish, read_topic
-from .land import batch_progress, land, landed_file_metrics
+from .land import land, land_counted, landed_batches, landed_file_metrics
 
 __all__ = [
-    "batch_progress",
     "clean_and_stamp",
     "dedupe_stream",
     "kafka_source_options",
     "land",
+    "land_counted",
+    "landed_batches",
     "landed_file_metrics",
     "publish",
     "read_topic",

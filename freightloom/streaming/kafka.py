@@ -12,23 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.messages import ORDER_KEY, ORDER_TOPIC, encode_messages
 
-# Fixed value: rows per flush of the micro-batch landing.
-FLUSH_ROWS = 20_000
+# Rows of one micro-batch. A topic's backlog is then taken in many batches, not as one.
+MAX_ROWS_PER_TRIGGER = 2_000_000
 
 
 def kafka_source_options(
     servers: str,
     topic: str = ORDER_TOPIC,
     start: str = "earliest",
-    max_rows_per_trigger: int | None = None,
+    max_rows_per_trigger: int | None = MAX_ROWS_PER_TRIGGER,
     group_id: str | None = None,
 ) -> dict[str, str]:
     """Source options. Offsets live in the query's checkpoint, not in the group.
 
     ``start`` counts for a new checkpoint only: replaying a topic means starting
     from ``earliest`` with a fresh checkpoint folder.
-    ``max_rows_per_trigger`` bounds a micro-batch (``FLUSH_ROWS`` gives the small
-    files of a single consumer); by default a trigger takes all there is.
+    ``max_rows_per_trigger`` bounds a micro-batch; with ``None`` a trigger takes
+    all there is.
     """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": start}
     if max_rows_per_trigger:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
 def land(
@@ -18,7 +18,6 @@ def land(
     interval: str | None = None,
     rows_per_file: int | None = None,
     partition_by: Sequence[str] = (),
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Append the stream to files under ``path`` (Parquet, or JSON lines).
 
@@ -27,9 +26,9 @@ def land(
     restart continues where the last committed batch ended. A fresh checkpoint
     replays the source; it needs a fresh ``path`` too, as the old one already
     records its batches as landed.
-    ``state_partitions`` sets how many parts the state of a deduplicating stream
-    is kept in. The first start fixes that for the life of the checkpoint;
-    without it the session's shuffle partitions count.
+    The state of a deduplicating stream is kept in as many parts as its session
+    has shuffle partitions at the first start; read the stream in a session of
+    its own (``spark.newSession()``) to choose another number.
     """
     writer = (
         stream.writeStream.format(file_format)
@@ -41,25 +40,50 @@ def land(
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    return _triggered(writer, drain, interval).start()
+
+
+def _triggered(writer: DataStreamWriter, drain: bool, interval: str | None) -> DataStreamWriter:
     if drain:
-        writer = writer.trigger(availableNow=True)
-    elif interval:
-        writer = writer.trigger(processingTime=interval)
-    if not state_partitions:
-        return writer.start()
-    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
-    before = conf.get(key)
-    conf.set(key, state_partitions)  # the query takes a copy when it starts
-    try:
-        return writer.start()
-    finally:
-        conf.set(key, before)
-
-
-def batch_progress(query: StreamingQuery) -> DataFrame:
-    """Rows per micro-batch of a query, from the progress reports Spark retains."""
-    rows = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
-    return SparkSession.active().createDataFrame(rows, "batch_id bigint, input_rows bigint")
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=interval) if interval else writer
+
+
+def land_counted(
+    stream: DataFrame,
+    path: str,
+    metrics: str,
+    checkpoint: str,
+    file_format: str = "parquet",
+    drain: bool = True,
+    interval: str | None = None,
+    rows_per_file: int | None = None,
+) -> StreamingQuery:
+    """Land like ``land``, and keep a row of metrics per micro-batch under ``metrics``.
+
+    Each batch is a folder ``batch_id=<n>`` under both paths. A batch that is
+    repeated after a failure replaces its folder, so records land once and counts
+    stay complete over any number of batches and restarts.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        folder = f"{path.rstrip('/')}/batch_id={batch_id}"
+        writer = batch.write.mode("overwrite").format(file_format)
+        if rows_per_file:
+            writer = writer.option("maxRecordsPerFile", rows_per_file)
+        writer.save(folder)
+        landed = batch.sparkSession.read.schema(batch.schema).format(file_format).load(folder)
+        counted = landed.agg(F.count("*").alias("n_rows"))
+        counted.write.mode("overwrite").parquet(f"{metrics.rstrip('/')}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _triggered(writer, drain, interval).start()
+
+
+def landed_batches(spark: SparkSession, metrics: str) -> DataFrame:
+    """Rows landed by every micro-batch so far, ``(batch_id, n_rows)``."""
+    found = spark.read.schema("n_rows bigint, batch_id bigint").parquet(metrics)
+    return found.select("batch_id", "n_rows")
 
 
 def landed_file_metrics(landed: DataFrame) -> DataFrame:

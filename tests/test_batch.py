@@ -1,5 +1,7 @@
+import pytest
 from checks.fixture import AS_OF, flat_orders
 from helpers import plan_of, rows
+from pyspark.sql import functions as F
 
 from freightloom.plans import marts
 from freightloom.plans.batch import run_batch
@@ -19,6 +21,10 @@ def test_batch_run_from_landed_records_to_marts(spark, sf_dir, tmp_path):
     want = marts.build_marts(staged, as_of=AS_OF)
     for name in MART_SCHEMAS:
         assert rows(spark.table(f"batch_test.{name}")) == rows(want[name]), name
+    assert "Window" not in plan_of(spark.table("stg_shipping"))  # stored, not deduplicated again
+    findings = spark.table("batch_test.quality_findings")
+    assert findings.filter("failures > 0").collect() == []
+    assert {r.check for r in findings.select("check").distinct().collect()} == {"not_null", "unique", "contract"}
     assert spark.table("stg_metadata").columns == TABLES["metadata"].staged_schema.fieldNames()
 
 
@@ -37,3 +43,53 @@ def test_batch_without_metadata_or_customers(spark, sf_dir, tmp_path):
     run_batch(spark, bronze, star, "partial_test", as_of=AS_OF)
     assert {t.name for t in spark.catalog.listTables("partial_test")} >= {"fact_order", "payment_delays"}
     assert not spark.catalog.tableExists("partial_test.dim_metadata")
+
+
+def test_a_month_filter_skips_folders(spark, sf_dir, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    flat_orders(spark, sf_dir).write.parquet(bronze)
+    run_batch(spark, bronze, str(tmp_path / "star"), "pruned_test", as_of=AS_OF)
+    orders = spark.table("pruned_test.stg_order")
+    month = orders.filter((F.col("order_year") == 1997) & (F.col("order_month") == 3))
+    assert 0 < month.count() < orders.count() / 20
+    plan = plan_of(month)
+    assert "PartitionFilters: [isnotnull(order_year" in plan
+    assert len(month.inputFiles()) < len(orders.inputFiles()) or "order_month" in plan
+    assert orders.filter("year(order_ts) <> order_year OR month(order_ts) <> order_month").count() == 0
+
+
+@pytest.fixture(scope="module")
+def delivered(spark, sf_dir):
+    """The records in three deliveries by date."""
+    flat = flat_orders(spark, sf_dir, customers=True).cache()
+    year = F.substring_index(F.split("order date (DateOrders)", " ")[0], "/", -1).cast("int")
+    return [flat.filter(year < 1997), flat.filter((year >= 1997) & (year < 2000)), flat.filter(year >= 2000)], flat
+
+
+def test_incremental_runs_give_what_a_full_run_gives(spark, delivered, tmp_path):
+    deliveries, flat = delivered
+    bronze, whole = str(tmp_path / "bronze"), str(tmp_path / "whole")
+    for part in deliveries:
+        part.write.mode("append").parquet(bronze)
+        run_batch(spark, bronze, str(tmp_path / "star"), "step_test", as_of=AS_OF, incremental=True)
+    flat.write.parquet(whole)
+    run_batch(spark, whole, str(tmp_path / "other"), "whole_test", as_of=AS_OF)
+    tables = [*MART_SCHEMAS, *(f"stg_{name}" for name in TABLES)]
+    for name in tables:
+        assert rows(spark.table(f"step_test.{name}")) == rows(spark.table(f"whole_test.{name}")), name
+    # A run without anything new changes nothing.
+    run_batch(spark, bronze, str(tmp_path / "star"), "step_test", as_of=AS_OF, incremental=True)
+    for name in tables:
+        assert rows(spark.table(f"step_test.{name}")) == rows(spark.table(f"whole_test.{name}")), name
+
+
+def test_findings_name_what_is_wrong(spark, sf_dir, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    flat = flat_orders(spark, sf_dir)
+    broken = flat.limit(1).withColumn("Order Id", F.lit("no number")).withColumn("Product Card Id", F.lit(None).cast("string"))
+    flat.union(broken).write.parquet(bronze)
+    run_batch(spark, bronze, str(tmp_path / "star"), "broken_test", as_of=AS_OF)
+    bad = spark.table("broken_test.quality_findings").filter("failures > 0")
+    assert rows(bad.select("check", "table_name", "subject")) == [
+        ("not_null", "order", "order_id"), ("not_null", "product", "product_card_id"),
+    ]

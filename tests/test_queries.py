@@ -28,6 +28,10 @@ mart_overall_performance mart_payment_delays
 dq_not_null dq_unique dq_castable dq_recency dq_row_counts dq_schema_contract
 doc_delay_histogram doc_performance_by_region doc_monthly_trend doc_lead_time doc_bottleneck doc_open_commitments
 doc_nested_extract doc_incremental_filter src_json_table
+dedup_flag_copies profile_quantiles_extreme profile_numeric_without_numbers profile_distinct_without_text
+agg_sum_small agg_sum_product_fractional limit_cap_staged limit_cap_text_key
+batch_customer_retention_rate batch_financial_commitments batch_fraud_detection batch_inventory_levels
+batch_overall_performance batch_payment_delays batch_incremental
 """.split()
 
 

@@ -1,17 +1,18 @@
 import json
 
 import pytest
-from helpers import rows
+from helpers import rows, values
 from pyspark.sql import functions as F
 
 from freightloom.schema import all_text
 from freightloom.sources import decode_messages, read_json_records
 from freightloom.streaming import (
-    batch_progress,
     clean_and_stamp,
     dedupe_stream,
     kafka_source_options,
     land,
+    land_counted,
+    landed_batches,
     landed_file_metrics,
     publish,
 )
@@ -71,13 +72,30 @@ def test_landing_json_lines_in_bounded_files(spark, folder):
 def test_batches_and_file_metrics(spark, folder):
     for i in range(3):
         deliver(folder, f"{i}.json", [{"id": i, "v": "x"}] * (i + 1))
-    finished = drain(lines(spark, folder, "id int, v string", per_trigger=1), folder)
-    assert sum(n for _, n in rows(batch_progress(finished))) == 6
+    drain(lines(spark, folder, "id int, v string", per_trigger=1), folder)
     metrics = landed_file_metrics(spark.read.parquet(str(folder / "out"))).collect()
     assert sum(m.n_rows for m in metrics) == 6
     assert all(m.n_columns == 2 and m.n_bytes > 0 for m in metrics)
 
 
+def test_counts_are_complete_over_many_batches_and_a_restart(spark, folder):
+    stream = lines(spark, folder, "id int", per_trigger=1)
+    out, metrics, checkpoint = (str(folder / n) for n in ("out", "metrics", "checkpoint"))
+    for start, stop in ((0, 60), (60, 106)):
+        for i in range(start, stop):
+            deliver(folder, f"{i}.json", [{"id": i}])
+        land_counted(stream, out, metrics, checkpoint).awaitTermination()
+    counted = landed_batches(spark, metrics)
+    assert counted.count() == 106 and counted.agg(F.sum("n_rows")).first()[0] == 106
+    assert sorted(values(spark.read.schema("id int").parquet(out).select("id"))) == list(range(106))
+    # A batch whose commit was lost is written again and replaces itself.
+    (folder / "checkpoint" / "commits" / "105").unlink()
+    (folder / "checkpoint" / "commits" / ".105.crc").unlink()
+    land_counted(stream, out, metrics, checkpoint).awaitTermination()
+    assert landed_batches(spark, metrics).agg(F.sum("n_rows")).first()[0] == 106
+    assert spark.read.schema("id int").parquet(out).count() == 106
+
+
 def test_clean_and_stamp(spark, folder):
     deliver(folder, "1.json", [{"id": 1, "v": "x"}, {"id": 2}, {"v": "y"}])
     drain(clean_and_stamp(lines(spark, folder, "id int, v string")), folder)
@@ -129,7 +147,9 @@ def test_messages_decode_in_a_stream(spark, folder):
 def test_kafka_options():
     assert kafka_source_options("b:9092") == {
         "kafka.bootstrap.servers": "b:9092", "subscribe": "supply-chain-orders", "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": "2000000",
     }
+    assert "maxOffsetsPerTrigger" not in kafka_source_options("b:9092", max_rows_per_trigger=None)
     bounded = kafka_source_options("b:9092", start="latest", max_rows_per_trigger=20_000, group_id="g")
     assert bounded["maxOffsetsPerTrigger"] == "20000" and bounded["kafka.group.id"] == "g"
     assert bounded["startingOffsets"] == "latest"
