@@ -16,16 +16,19 @@ from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-#: Words whose ids a worker keeps; the table starts anew beyond it.
-KEPT_WORDS = 2_000_000
+#: Stems of words whose ids a worker keeps; the table starts anew beyond it.
+KEPT_WORDS = 1_000_000
 #: Bytes of text split at once, which bounds a task's memory; a longer text is cut at spaces.
-TEXT_BYTES = 1 << 23
+TEXT_BYTES = 1 << 24
 
 # The tokenizer's own pieces. A Latin-1 word can be cut into them here, as lower case and normal form
 # change such letters one by one; other words go to the library whole.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n")
 _PLAIN = regex.compile(r"[\n!-~¡-ÿ]*")
 
+#: Marks that are split off a word before it is looked up.
+_MARKS = [",", "."]
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -76,62 +79,81 @@ class WordEncoder:
         self._library = Tokenizer.from_file(vocabulary)
         self._special = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._letters = _byte_letters()
-        self._words, self._pieces = _Bank(), _Bank()
-
-    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces, one piece after the other, and how many each has."""
-        coded = pieces.dictionary_encode()
-        numbers = self._pieces.numbers(coded.dictionary)
-        new = numbers < 0
-        if new.any():
-            strings = coded.dictionary.filter(pa.array(new))
-            ids, sizes = [], []
-            for piece in strings.to_pylist():
-                tokens = [] if piece == "\n" else self._library.model.tokenize(piece.translate(self._letters))
-                ids += [token.id for token in tokens]
-                sizes.append(len(tokens))
-            numbers[new] = np.arange(len(self._pieces), len(self._pieces) + len(sizes))
-            self._pieces.append(strings, np.array(ids, np.uint32), np.array(sizes))
-        return self._pieces.of(numbers[coded.indices.to_numpy()])
-
-    def _learn(self, strings: pa.Array) -> None:
-        """Add words that are not in the table yet."""
-        words = strings.to_pylist()
-        joined = "\n".join(words)
+        self._stems = _Bank()
+        marks = [self._library.encode(m, add_special_tokens=False).ids for m in _MARKS]
+        self._marks = np.array([ids[0] for ids in marks], np.uint32) if all(len(ids) == 1 for ids in marks) else None
+
+    def _learn(self, strings: pa.Array) -> np.ndarray:
+        """Add stems that are not in the table yet; their numbers."""
+        stems = strings.to_pylist()
+        first, odd = len(self._stems), np.zeros(len(stems), bool)
+        joined = "\n".join(stems)
         if not _PLAIN.fullmatch(joined) or any(s in joined for s in self._special):
-            odd = np.array([not _PLAIN.fullmatch(w) or any(s in w for s in self._special) for w in words])
+            odd = np.array([not _PLAIN.fullmatch(w) or any(s in w for s in self._special) for w in stems])
             own = strings.filter(pa.array(odd))
             ids = [np.array(e.ids, np.uint32) for e in self._library.encode_batch_fast(own.to_pylist(), add_special_tokens=False)]
-            self._words.append(own, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
+            self._stems.append(own, np.concatenate(ids), np.fromiter(map(len, ids), np.int64, len(ids)))
             strings = strings.filter(pa.array(~odd))
             joined = "\n".join(strings.to_pylist())
+        order = np.argsort(~odd, kind="stable")  # odd ones come first in the table
+        numbers = np.empty(len(odd), np.int64)
+        numbers[order] = first + np.arange(len(odd))
         if not len(strings):
-            return
-        flat = _PIECES.findall(joined.lower())
-        pieces = pa.array(flat, pa.large_string())
-        ids, sizes = self._encode_pieces(pieces)
-        breaks = np.asarray(pc.equal(pieces, "\n").to_numpy(zero_copy_only=False), bool)
-        self._words.append(strings, ids, np.diff(np.append(np.cumsum(sizes)[breaks], len(ids)), prepend=0))
-
-    def _number(self, words: pa.Array) -> np.ndarray:
-        """Numbers of distinct words, which are learned if they are new."""
-        numbers = self._words.numbers(words)
+            return numbers
+        pieces = pa.array(_PIECES.findall(joined.lower()), pa.large_string()).dictionary_encode()
+        tokenize, letters = self._library.model.tokenize, self._letters
+        ids, sizes = [], []
+        for piece in pieces.dictionary.to_pylist():
+            tokens = [] if piece == "\n" else tokenize(piece.translate(letters))
+            ids += [token.id for token in tokens]
+            sizes.append(len(tokens))
+        bank = _Bank()
+        bank.append(pieces.dictionary, np.array(ids, np.uint32), np.array(sizes, np.int64))
+        which = pieces.indices.to_numpy()
+        ids, sizes = bank.of(which)
+        breaks = np.asarray(pc.equal(pieces.dictionary, "\n").to_numpy(zero_copy_only=False), bool)[which]
+        self._stems.append(strings, ids, np.diff(np.append(np.cumsum(sizes)[breaks], len(ids)), prepend=0))
+        return numbers
+
+    def _number(self, stems: pa.Array) -> np.ndarray:
+        """Numbers of distinct stems, which are learned if they are new."""
+        numbers = self._stems.numbers(stems)
         missing = numbers < 0
         if missing.any():
-            if len(self._words) + missing.sum() > KEPT_WORDS and len(self._words):
-                self._words, self._pieces = _Bank(), _Bank()
+            if len(self._stems) + missing.sum() > KEPT_WORDS and len(self._stems):
+                self._stems = _Bank()
                 missing[:] = True
-            self._learn(words.filter(pa.array(missing)))
-            numbers = self._words.numbers(words)
+            numbers[missing] = self._learn(stems.filter(pa.array(missing)))
         return numbers
 
+    def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one word after the other, and how many each has.
+
+        A comma or full stop after a letter is a piece of its own, and A-Z are lowered by the tokenizer
+        anyway, so the table holds lower-case stems.
+        """
+        last = pc.index_in(pc.utf8_slice_codeunits(words, -1), value_set=pa.array(_MARKS, words.type))
+        marked = pc.and_(last.is_valid(), pc.utf8_is_alpha(pc.utf8_slice_codeunits(words, -2, -1)))
+        if self._marks is None:
+            marked = pc.and_(marked, False)
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        # Lower case must not make an ordinary text out to be a special token.
+        stems = pc.if_else(pc.match_substring(stems, "<"), stems, pc.ascii_lower(stems)).dictionary_encode()
+        numbers = self._number(stems.dictionary)[stems.indices.to_numpy()]
+        ids, sizes = self._stems.of(numbers)
+        marked = marked.to_numpy(zero_copy_only=False)
+        if marked.any():
+            which = last.filter(pa.array(marked)).to_numpy()
+            ids = np.insert(ids, np.cumsum(sizes)[marked], self._marks[which])
+            sizes = sizes + marked
+        return ids, sizes
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (null: empty), and each text's number of ids."""
         words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
         per_text = np.diff(words.offsets.to_numpy())
         coded = words.flatten().dictionary_encode()
-        number = self._number(coded.dictionary)  # may start the table anew
-        ids, sizes = self._words.of(number)
+        ids, sizes = self._ids_of(coded.dictionary)
         ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids)).take(coded.indices)
         ends = ids.offsets.to_numpy()
         bounds = ends[np.concatenate([[0], np.cumsum(per_text)])]
