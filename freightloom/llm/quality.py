@@ -33,6 +33,8 @@ SAMPLE_ROWS = 4000
 THRESHOLD = 0.3
 SEED = 7
 
+#: Rows of a batch that a scoring task returns.
+ROWS_BACK = 1000
 #: Code points read at once; texts are cut at white space, so only a longer word is ever cut.
 PIECE = 1 << 19
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -205,9 +207,12 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", keep: list[str
     fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:]] + [f"`{name}` double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = shipped.value.scores(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores)], [*keep, name])
+        for whole in batches:
+            # Texts may go back along with the scores, so they go in small batches.
+            for start in range(0, whole.num_rows, ROWS_BACK):
+                batch = whole.slice(start, ROWS_BACK)
+                scores = shipped.value.scores(batch.column(0).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores)], [*keep, name])
 
     return rows.mapInArrow(run, fields)
 

@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 #: Stems of words whose ids a worker keeps; the table starts anew beyond it.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 500_000
 #: Bytes of text split at once, which bounds a task's memory; a longer text is cut at spaces.
-TEXT_BYTES = 1 << 24
+TEXT_BYTES = 1 << 23
 
 # The tokenizer's own pieces. A Latin-1 word can be cut into them here, as lower case and normal form
 # change such letters one by one; other words go to the library whole.
@@ -201,4 +201,5 @@ def encode_all(texts: pa.Array, vocabulary: str = VOCABULARY, end_id: int | None
         edges = np.concatenate([[0], np.cumsum(counts)])
         out += [np.concatenate([ids[a:b], tail]) for a, b in zip(edges, edges[1:])]
         start = stop
+    pa.default_memory_pool().release_unused()  # workers stay, and later stages need the memory
     return out
