@@ -18,7 +18,7 @@ from freightloom.operators.monthly import month_columns
 from .fixture import AS_OF, table
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
-from .sql import rounded_ratio
+from .sql import AGE_RANGE, rounded_ratio
 
 ISO = "yyyy-MM-dd HH:mm:ss"
 
@@ -119,8 +119,7 @@ def safe_division(spark, sf_dir):
 
 @query(
     "fn_case_bucket",
-    f"""SELECT o_orderkey, CASE WHEN age <= 30 THEN '0-30 days' WHEN age <= 60 THEN '31-60 days'
-    WHEN age <= 90 THEN '61-90 days' ELSE 'Over 90 days' END AS age_range
+    f"""SELECT o_orderkey, {AGE_RANGE} AS age_range
     FROM (SELECT o_orderkey, date_sub('day', o_orderdate, {SQL_AS_OF}) AS age FROM orders)""",
 )
 def case_bucket(spark, sf_dir):

@@ -8,6 +8,7 @@ from .fixture import AS_OF, staged
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
 from .sql import (
+    AGE_RANGE,
     money,
     money_avg,
     money_sum,
@@ -98,8 +99,7 @@ TURNOVER = rounded_ratio(
             {TURNOVER} AS inventory_turnover_ratio
             FROM dated GROUP BY year, month""",
         ages=f"""SELECT year, month,
-            CASE WHEN age <= 30 THEN '0-30 days' WHEN age <= 60 THEN '31-60 days'
-                 WHEN age <= 90 THEN '61-90 days' ELSE 'Over 90 days' END AS age_range,
+            {AGE_RANGE} AS age_range,
             CAST(ROUND({INVENTORY_VALUE}, 2) AS DOUBLE) AS inventory_value
             FROM dated GROUP BY ALL""",
     ),

@@ -104,7 +104,7 @@ SPREAD = """(SELECT CASE WHEN l_orderkey % 997 = 0 THEN CAST('Infinity' AS DOUBL
 
 @query(
     "profile_quantiles_extreme",
-    f"""SELECT 'v' AS "column", p AS probability, quantile AS quantile FROM (
+    f"""SELECT 'v' AS "column", CAST(p AS DOUBLE) AS probability, quantile FROM (
     SELECT 0.25 AS p, quantile_disc(v, 0.25) AS quantile FROM {SPREAD}
     UNION ALL SELECT 0.5, quantile_disc(v, 0.5) FROM {SPREAD}
     UNION ALL SELECT 0.999, quantile_disc(v, 0.999) FROM {SPREAD})""",

@@ -81,7 +81,10 @@ def recency(spark, sf_dir):
     return found.withColumn("newest", F.date_format("newest", "yyyy-MM-dd HH:mm:ss"))
 
 
-COUNTED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+COUNTED_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 @query(

@@ -26,7 +26,7 @@ from .fixture import AS_OF, line_items, staged, table
 from .marts import SHIPMENT_AVERAGES, TURNOVER
 from .registry import query
 from .sql import AS_OF as SQL_AS_OF
-from .sql import money_avg, money_sum, month_of, over_staged, parsed, year_of
+from .sql import AGE_RANGE, money_avg, money_sum, month_of, over_staged, parsed, year_of
 
 YEAR, MONTH = year_of("order_date"), month_of("order_date")
 MONTHLY_CUSTOMERS = f"""SELECT {YEAR} AS year, {MONTH} AS month,
@@ -243,8 +243,7 @@ def global_aggregate(spark, sf_dir):
 @query(
     "agg_age_bucket",
     over_staged(
-        f"""SELECT year, month, CASE WHEN age <= 30 THEN '0-30 days' WHEN age <= 60 THEN '31-60 days'
-            WHEN age <= 90 THEN '61-90 days' ELSE 'Over 90 days' END AS age_range, COUNT(*) AS n_orders,
+        f"""SELECT year, month, {AGE_RANGE} AS age_range, COUNT(*) AS n_orders,
             CAST(SUM(quantity) AS BIGINT) AS quantity
         FROM (SELECT {YEAR} AS year, {MONTH} AS month, order_item_quantity AS quantity,
             date_sub('day', {parsed('order_date')}, {SQL_AS_OF}) AS age FROM stg_order)

@@ -70,23 +70,28 @@ def parquet_scan(spark, sf_dir):
     )
 
 
-EVENT_KIND = struct_of({"event_id": "bigint", "event_type": "string", "value": "double", "props": "string"})
+EVENT_KIND = struct_of(
+    {
+        "event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string", "value": "double",
+        "props": "string",
+    }
+)
+EVENT_TOTALS = """SELECT event_type, COUNT(*) AS n_events, MIN(event_id) AS first_event, MAX(event_id) AS last_event,
+    COUNT(DISTINCT user_id) AS users, {newest} AS newest,
+    CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DOUBLE) AS total FROM {table} GROUP BY event_type"""
 
 
 @query(
     "src_json_table",
-    """SELECT event_type, COUNT(*) AS n_events, MIN(event_id) AS first_event, MAX(event_id) AS last_event,
-    CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DOUBLE) AS total FROM events GROUP BY event_type""",
+    EVENT_TOTALS.format(table="events", newest="strftime(MAX(ts), '%Y-%m-%d %H:%M:%S')"),
 )
 def json_table(spark, sf_dir):
     path = scratch_dir(spark, "events-json")
     table(spark, sf_dir, "events").select(*EVENT_KIND.fieldNames()).write.json(path)
     name = f"landed_events_{uuid.uuid4().hex}"
     register_json_table(spark, name, path, EVENT_KIND)
-    return spark.sql(
-        f"""SELECT event_type, COUNT(*) AS n_events, MIN(event_id) AS first_event, MAX(event_id) AS last_event,
-        CAST(SUM(CAST(value AS DECIMAL(14,2))) AS DOUBLE) AS total FROM {name} GROUP BY event_type"""
-    )
+    newest = "date_format(MAX(ts), 'yyyy-MM-dd HH:mm:ss')"
+    return spark.sql(EVENT_TOTALS.format(table=name, newest=newest))
 
 
 @query(

@@ -213,3 +213,8 @@ def rounded_ratio_even(numerator: str, denominator: str, digits: int = 2) -> str
 def money_units(value: str) -> str:
     """Exact sum of a staged amount in ten-thousandths."""
     return f"CAST(SUM({money(value)}) * 10000 AS HUGEINT)"
+
+
+# Range of an age in whole days, from a column named age.
+AGE_RANGE = """CASE WHEN age <= 30 THEN '0-30 days' WHEN age <= 60 THEN '31-60 days'
+    WHEN age <= 90 THEN '61-90 days' ELSE 'Over 90 days' END"""

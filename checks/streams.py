@@ -22,7 +22,9 @@ from freightloom.streaming import (
 from .fixture import table
 from .registry import query
 
-MESSAGE_COLUMNS = ("Order Id", "Order Customer Id", "Order Status", "Shipping Mode")
+MESSAGE_COLUMNS = (
+    "Order Id", "Order Customer Id", "Order Status", "Sales", "order date (DateOrders)", "Shipping Mode"
+)
 
 
 def read_stream(spark, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,8 @@ def order_messages(spark, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("Order Id"),
         F.col("o_custkey").cast("string").alias("Order Customer Id"),
         F.col("o_orderstatus").alias("Order Status"),
+        F.col("o_totalprice").cast("decimal(14,2)").cast("string").alias("Sales"),
+        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("order date (DateOrders)"),
         F.col("o_orderpriority").alias("Shipping Mode"),
     )
     offset = F.col("key").cast("bigint")
@@ -60,7 +64,8 @@ def drain(stream: DataFrame, path: str, checkpoint: str, file_format: str = "par
 
 
 LANDED_ORDERS = f"""SELECT CAST(o_orderkey AS VARCHAR) AS "Order Id", CAST(o_custkey AS VARCHAR) AS "Order Customer Id",
-    o_orderstatus AS "Order Status", o_orderpriority AS "Shipping Mode", CAST(o_orderkey AS VARCHAR) AS "key",
+    o_orderstatus AS "Order Status", CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) AS "Sales",
+    strftime(o_orderdate, '%-m/%-d/%Y %-H:%M') AS "order date (DateOrders)", o_orderpriority AS "Shipping Mode", CAST(o_orderkey AS VARCHAR) AS "key",
     CAST(o_orderkey AS VARCHAR) AS "offset", CAST(o_orderkey % 8 AS VARCHAR) AS "partition",
     CAST(o_orderkey * 1000 AS VARCHAR) AS "time", '{ORDER_TOPIC}' AS topic FROM orders"""
 
@@ -80,13 +85,19 @@ def land_json(spark, sf_dir):
     return read_json_records(spark, path, stream.schema)
 
 
-EVENT_COLUMNS = ("event_id", "user_id", "event_type", "value", "props")
-PLAIN_EVENTS = f"SELECT {', '.join(EVENT_COLUMNS)} FROM events"
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+# Timestamps are compared as text.
+SHOWN_EVENT = ", ".join(EVENT_COLUMNS).replace("ts,", "strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,")
+PLAIN_EVENTS = f"SELECT {SHOWN_EVENT} FROM events"
+
+
+def shown(events: DataFrame) -> DataFrame:
+    return events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query(
     "stream_replay",
-    f"SELECT {', '.join(EVENT_COLUMNS)}, CAST(1 AS BIGINT) AS landed, CAST(1 AS BIGINT) AS replayed FROM events",
+    f"SELECT {SHOWN_EVENT}, CAST(1 AS BIGINT) AS landed, CAST(1 AS BIGINT) AS replayed FROM events",
 )
 def replay(spark, sf_dir):
     """A restart on the same checkpoint adds nothing; a fresh one replays everything."""
@@ -98,7 +109,7 @@ def replay(spark, sf_dir):
     drain(stream, again, scratch_dir(spark, "checkpoint"))
     first = spark.read.parquet(path).withColumn("run", F.lit("landed"))
     second = spark.read.parquet(again).withColumn("run", F.lit("replayed"))
-    return first.union(second).groupBy(*EVENT_COLUMNS).agg(
+    return shown(first.union(second)).groupBy(*EVENT_COLUMNS).agg(
         F.count_if(F.col("run") == "landed").alias("landed"),
         F.count_if(F.col("run") == "replayed").alias("replayed"),
     )
@@ -113,7 +124,7 @@ def dedup(spark, sf_dir):
     path = scratch_dir(spark, "landed")
     once = dedupe_stream(stream.union(stream), ["event_id"])
     drain(once, path, scratch_dir(spark, "checkpoint"))
-    return spark.read.parquet(path)
+    return shown(spark.read.parquet(path))
 
 
 @query(

@@ -9,7 +9,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import safe_cast
 from ..schema import RENAMES
 
 log = logging.getLogger(__name__)
@@ -44,26 +43,6 @@ def standardise_names(df: DataFrame, renames: Mapping[str, str] = RENAMES) -> Da
     return df.withColumnsRenamed({k: v for k, v in renames.items() if k in df.columns})
 
 
-def safe_typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast the named columns, bad values becoming NULL; other columns pass through."""
-    return df.select(
-        *[
-            safe_cast(F.col(quoted(c)), types[c]).alias(c) if c in types else F.col(quoted(c))
-            for c in df.columns
-        ]
-    )
-
-
-def nested_column(container: str, field: str) -> Column:
-    """One entry of a struct or map column, named after the entry."""
-    return F.col(container)[field].alias(field)
-
-
-def extract_nested(df: DataFrame, container: str, fields: Sequence[str]) -> DataFrame:
-    """Entries of a struct or map column as top-level columns."""
-    return df.select(*[nested_column(container, f) for f in fields])
-
-
 def union_all_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames; columns are matched by name and missing ones are NULL."""
     return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

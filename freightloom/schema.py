@@ -56,7 +56,9 @@ def standard_name(raw: str) -> str:
 
 def struct_of(columns: dict[str, str]) -> T.StructType:
     """Schema from column names and SQL type names."""
-    by_name = {"bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+    by_name = {
+        "bigint": T.LongType(), "double": T.DoubleType(), "string": T.StringType(), "timestamp_ntz": T.TimestampNTZType(),
+    }
     return T.StructType([T.StructField(name, by_name[kind]) for name, kind in columns.items()])
 
 
@@ -94,6 +96,7 @@ class TableSpec:
         return struct_of({self.staged_name(c): self.types.get(c, "string") for c in self.columns})
 
 
+# File names, table names, keys and types.
 TABLES: dict[str, TableSpec] = {
     spec.name: spec
     for spec in (
@@ -182,9 +185,11 @@ RAW_ORDER_SCHEMA = all_text(RAW_COLUMNS)
 
 
 def _schema(declaration: str) -> T.StructType:
+    """Plain columns of a declaration; Spark's own parser would need a running session."""
     return struct_of(dict(column.split() for column in declaration.split(",")))
 
 
+# Mart names, columns and types.
 MART_SCHEMAS: dict[str, T.StructType] = {
     "customer_retention_rate": _schema(
         "year bigint, month_name string, distinct_customers bigint, "

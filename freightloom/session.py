@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -19,12 +20,25 @@ SESSION_CONF = {
 }
 
 
-def build_session(app_name: str = "freightloom", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings this library expects; ``conf`` keys use ``__`` for dots."""
+# A shuffle starts with partitions of about this size; adaptive execution merges small ones, but never splits
+# the partitions of an aggregation or a window.
+PARTITION_MB = 128
+
+
+def build_session(
+    app_name: str = "freightloom", master: str | None = None, shuffle_gb: float = 1_000, **conf: str
+) -> SparkSession:
+    """Session with the settings this library expects; ``conf`` keys use ``__`` for dots.
+
+    ``shuffle_gb`` is the size of the largest shuffle to be expected, compressed. It
+    sets how many partitions a shuffle starts with, before small ones are merged.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = SESSION_CONF | {k.replace("__", "."): v for k, v in conf.items()}
+    initial = max(8, math.ceil(shuffle_gb * 1_000 / PARTITION_MB))
+    sized = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial)}
+    settings = SESSION_CONF | sized | {k.replace("__", "."): v for k, v in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

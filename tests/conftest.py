@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="4",
+        spark__sql__adaptive__coalescePartitions__initialPartitionNum="4",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="8g",

@@ -2,8 +2,6 @@ import pytest
 from helpers import rows
 
 from freightloom.operators.projection import (
-    extract_nested,
-    safe_typed,
     select_present,
     standardise_names,
     union_all_by_name,
@@ -42,17 +40,6 @@ def test_standardise_leaves_other_columns(spark):
     assert standardise_names(df).columns == ["Order_Id", "other", "Shipping_date"]
 
 
-def test_safe_typed(spark):
-    df = spark.createDataFrame([("1", "x", "k")], "`a b` string, c string, d string")
-    typed = safe_typed(df, {"a b": "bigint", "c": "double"})
-    assert rows(typed) == [(1, None, "k")] and [t for _, t in typed.dtypes] == ["bigint", "double", "string"]
-
-
-def test_extract_nested_struct_and_map(spark):
-    df = spark.sql("SELECT named_struct('a', 1, 'b', 2) AS s, map('x', 'y') AS m")
-    assert rows(extract_nested(df, "s", ["b", "a"])) == [(2, 1)]
-    assert rows(extract_nested(df, "m", ["x"])) == [("y",)]
-
 
 def test_union_fills_missing_columns(spark):
     a, b = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([("k", 2)], "y string, x int")
