@@ -51,9 +51,11 @@ def flat_orders(spark: SparkSession, sf_dir: str, customers: bool = False) -> Da
     """
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(3,2)")
+    # Two fact tables meet in a shuffle; the hint keeps small test tables on that plan too.
+    orders = table(spark, sf_dir, "orders").hint("shuffle_hash")
     joined = (
         line_items(spark, sf_dir)
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))

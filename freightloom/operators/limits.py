@@ -46,7 +46,8 @@ def capped(df: DataFrame, n: int | None, order_by: Sequence[str]) -> DataFrame:
     it is as small as a sample or all of one key. Rows before it are kept by a
     filter, and only those few are put in order. Runs jobs right away: a count,
     and a sample and a count per round, each of which leaves about a hundredth
-    of the rows. Order columns may have any type that has an order.
+    of the rows, so store an expensive input first. Order columns may have any
+    type that has an order.
     """
     if n is None:
         return df
