@@ -104,3 +104,46 @@ def test_query_packs_all_documents(spark, sf_dir):
     for r in found:
         sizes[r.sequence_id] += r.length
     assert sum(n < packing.WINDOW for n in sizes.values()) <= len({s >> 32 for s in sizes})
+
+
+def test_weights_are_those_of_the_whole_corpus():
+    """Term 1 is rarer than 2 in the shard and common in the corpus."""
+    documents = [np.array(d, np.uint32) for d in ([1, 2], [1, 3], [2, 4], [2, 5])]
+    holding = np.array([0, 900, 3, 1, 1, 1])
+    assert packing.Index(documents).related(0)[1] == 1
+    assert packing.Index(documents, packing.Statistics(1000, 2.0, holding)).related(0).tolist() == [0, 2, 3, 1]
+
+
+def test_documents_that_share_only_a_late_term_are_found():
+    rare = np.arange(100, 140, dtype=np.uint32)
+    filler = [np.arange(200 + 10 * k, 210 + 10 * k, dtype=np.uint32) for k in range(5)]
+    seed, twin = np.append(rare, 7), np.array([7, 8, 9], np.uint32)
+    documents = [seed, rare.copy(), *filler, twin, np.array([7, 9], np.uint32)]
+    order = [d for d, start, *_ in packing.pack(documents, window=1000) if not start]
+    assert order.index(7) < order.index(2) and order.index(8) < order.index(2)
+
+
+@pytest.mark.parametrize("copies", [1, 8])
+def test_related_documents_meet_at_every_size(spark, copies):
+    """Each topic's documents lie in the same shard or two, of dozens, and repeated rows are divided."""
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}" for a in ("sol", "mer", "tan", "vik", "pol", "rud") for b in ("ane", "ort", "ish", "umo", "eck")]
+    topics = ["zebra", "violin", "glacier", "pepper", "comet", "tulip", "anchor", "walrus", "marble", "saddle", "lantern", "oyster"]
+    rows = []
+    for k, topic in enumerate(topics):
+        for j in range(8 * copies):
+            rows.append((100 * k + j, " ".join([*rng.choice(words, 60), topic])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    shards = defaultdict(set)
+    every = set()
+    for r in packing.packed(docs, shard_bytes=4000 * copies).collect():
+        shards[r.doc_id // 100].add(r.sequence_id >> 32)
+        every.add(r.sequence_id >> 32)
+    assert len(every) >= 10
+    assert np.mean([len(s) for s in shards.values()]) <= 3
+
+
+def test_a_row_repeated_often_fills_several_shards(spark):
+    docs = spark.createDataFrame([(1, "the same words again and again")] * 400, "doc_id long, text string").repartition(4)
+    found = packing.packed(docs, shard_bytes=2000).collect()
+    assert len({r.sequence_id >> 32 for r in found}) >= 6 and sum(r.length for r in found) == 400 * found[0].doc_tokens
