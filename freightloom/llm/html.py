@@ -3,7 +3,8 @@
 The standard library's streaming parser sends its events to a collector that cuts the page into lines, one
 for each block (paragraph, heading, list item, cell ...). Elements that never hold main text by their
 meaning (menus, page headers and footers, sidebars, notices, adverts, forms, scripts, styles, reader
-comments) are left out as their events arrive. Every line has a ratio, its characters over its tags; the
+comments) are left out as their events arrive, also those whose class, id or role says so; a name that merely
+contains such a word does not. Every line has a ratio, its characters over its tags; the
 ratios are smoothed along the page by a Gaussian and split in two clusters at a threshold. Regions, the
 containers of lines in the upper cluster, are kept with all their lines, so that a short paragraph between
 long ones is not lost.
@@ -15,6 +16,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -33,13 +35,27 @@ LEFT_OUT = frozenset(
     "aside audio button canvas datalist dialog embed fieldset footer form head iframe input label menu nav noscript object option"
     " script select style svg template textarea title video".split()
 )
-#: The same by the words of an element's class, id or role.
+#: The same by an element's class, id or role, if a name is made of such words, ends with one, or has none but
+#: such and ``LAYOUT_NAMES``. Within an article an id is mostly an anchor: all its words must be such, and that of a
+#: heading says nothing.
 LEFT_OUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment commentlist comments consent contentinfo cookie cookies"
     " copyright disqus footer gdpr header masthead menu modal nav navbar navigation navigator newsletter notice notification overlay"
     " pager pagination popup promo promotion related replies reply respond search share sharing sidebar signup skip social sponsor"
     " sponsored subscribe toolbar widget".split()
 )
+LAYOUT_NAMES = frozenset(
+    "area articles bar block body bottom box btn button buttons card cards center col column container content form group grid heading holder"
+    " icon icons inner item items left link links list module outer panel post posts region results right row section slot stories strip text"
+    " title tools top unit wrap wrapper zone".split()
+)
+#: Words that turn a name into a statement about the page or its subject, and such that do so in the first place.
+_MODIFIERS, _SUBJECTS = frozenset("has no not with without".split()), frozenset("category format status tag type".split())
+#: Names of main text, beside which a compound such as ``right-sidebar`` is one about the page too.
+_MAIN_NAMES = frozenset("content entry hentry main page post".split())
+#: In an article, the names of these do not count, and those of the second group leave it to their own ratio.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NAMELESS, _DOUBTED = _HEADINGS | {"blockquote"}, frozenset(("p", "pre"))
 #: Elements without content, which never have an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements of which an open one ends where another of its group starts.
@@ -50,13 +66,26 @@ SIGMA = 1.0
 _NAMES = re.compile(r"[a-z]+")
 
 
+@lru_cache(1 << 14)
+def name_evidence(name: str) -> int:
+    """2 if a class, id or role is made of left-out words, 1 if it is a compound that means one, else 0."""
+    words = _NAMES.findall(name)
+    found = LEFT_OUT_NAMES.intersection(words)
+    if not found or words[0] in _SUBJECTS or not _MODIFIERS.isdisjoint(words):
+        return 0
+    if LEFT_OUT_NAMES.issuperset(words):
+        return 2
+    return int(words[-1] in LEFT_OUT_NAMES or all(w in found or w in LAYOUT_NAMES for w in words))
+
+
 class Line:
-    __slots__ = ("tags", "text", "region")
+    __slots__ = ("tags", "text", "region", "doubted")
 
     def __init__(self, region: int) -> None:
         self.text: list[str] = []
         self.tags = 0
         self.region = region
+        self.doubted = False  # its element's name speaks against it
 
 
 class Collector(HTMLParser):
@@ -82,13 +111,23 @@ class Collector(HTMLParser):
             return True
         if tag in _HOLDS_MAIN or not attrs:
             return False
-        for name, value in attrs:
-            if value and name in ("class", "id", "role"):
-                words = LEFT_OUT_NAMES.intersection(_NAMES.findall(value.lower()))
-                if words and not (self._article and words == {"header"}):  # an article's own header holds its title
-                    return True
+        if not (self._article and (tag in _NAMELESS or tag in _DOUBTED)) and self._named(tag, attrs):
+            return True
         return any(name == "hidden" or (name == "aria-hidden" and value == "true") for name, value in attrs)
 
+    def _named(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+        """Whether the names of an element say that it is to be left out."""
+        for name, value in attrs:
+            if not value or name not in ("class", "id", "role") or (name == "id" and tag in _HEADINGS):
+                continue
+            names = value.lower().split()
+            if self._article:  # an article's own header holds its title
+                names = [n for n in names if LEFT_OUT_NAMES.intersection(_NAMES.findall(n)) != {"header"}]
+            whole = (name == "id" and self._article) or not _MAIN_NAMES.isdisjoint(names)
+            if any(name_evidence(n) > whole for n in names):
+                return True
+        return False
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if self._skipped:
             name, depth = self._skipped
@@ -109,6 +148,8 @@ class Collector(HTMLParser):
         if tag == "br":
             self._line.text.append(" ")
         self._line.tags += 1
+        if tag in _DOUBTED and attrs:
+            self._line.doubted = self._named(tag, attrs)
         if tag in VOID:
             return
         self._open.append((tag, self._region))
@@ -208,7 +249,10 @@ def main_text(html: str | None) -> str:
     # A container of a single line is a paragraph by another name and belongs to the region around it.
     places = [collector.parents[line.region] if lines[line.region] == 1 else line.region for line, _ in held]
     regions = {place for place, value in zip(places, values) if value >= cut}
-    return "\n\n".join(text for (_, text), place in zip(held, places) if place in regions)
+    return "\n\n".join(
+        text for (line, text), place in zip(held, places)
+        if place in regions and not (line.doubted and len(text) / (line.tags + 1) < cut)
+    )
 
 
 def extracted(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

@@ -49,6 +49,28 @@ def test_pages_without_an_article_element(wrap):
     assert found == TEXT
 
 
+@pytest.mark.parametrize("names", ['class="content has-sidebar"', 'class="post no-comments"', 'id="search-results-study"', 'class="content right-sidebar"', 'class="page-without-ads"'])
+def test_names_that_merely_contain_a_word(names):
+    body = ARTICLE.removeprefix("<article>").removesuffix("</article>")
+    assert html.main_text(page(f"{NOISE['menu']}<div {names}>{body}</div>{NOISE['footer']}")) == TEXT
+
+
+def test_anchors_and_paragraphs_of_an_article():
+    inside = (
+        f'<h2 id="related-work">Related work</h2><p>{LONG}</p><section id="social-history"><h3 id="search">Search</h3><p>{LONG}</p></section>'
+        f'<p class="share">{LONG}</p>'
+    )
+    found = html.main_text(page(ARTICLE.replace("</article>", inside + "</article>")))
+    assert found == "\n\n".join([TEXT, "Related work", LONG.strip(), "Search", LONG.strip(), LONG.strip()])
+    links = '<p class="share"><a href="/a">A</a> <a href="/b">B</a> <a href="/c">C</a></p>'
+    assert html.main_text(page(ARTICLE.replace("<p>Short.", links + "<p>Short."))) == TEXT
+
+
+def test_compounds_that_mean_noise():
+    for name in ("comments-area", "related-posts", "site-footer", "ad-slot-300", "share_buttons", "nav-menu"):
+        assert html.main_text(page(f'{ARTICLE}<div class="{name}"><p>{LONG}</p></div>')) == TEXT, name
+
+
 def test_blocks_white_space_and_references():
     body = "<article><p> one\n two&nbsp;&amp;\tthree <b>bo</b>ld<br>next</p>loose text<p><b>open<br><p>after &lt;x&gt; &eacute;&#233;&#xe9;</p><ul><li>a<li>b</ul><p></p></article>"
     assert html.main_text(page(body)) == "one two & three bold next\n\nloose text\n\nopen\n\nafter <x> ééé\n\na\n\nb"
