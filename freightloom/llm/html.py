@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Container, Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
@@ -88,17 +88,57 @@ class Line:
         self.doubted = False  # its element's name speaks against it
 
 
-class Collector(HTMLParser):
-    """Turns parser events into lines."""
+class Unclosed(HTMLParser):
+    """Finds the start tags, by number, that no end tag belongs to."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
+        self.starts = 0
+        self.unclosed: dict[int, str] = {}
+        self._open: list[tuple[str, int]] = []
+        self._count: Counter[str] = Counter()
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in VOID:
+            self._open.append((tag, self.starts))
+            self._count[tag] += 1
+        self.starts += 1
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.starts += 1
+
+    def handle_endtag(self, tag: str) -> None:
+        while self._count[tag]:
+            name, number = self._open.pop()
+            self._count[name] -= 1
+            if name == tag:
+                return
+            self.unclosed[number] = name
+
+    def close(self) -> None:
+        super().close()
+        self.unclosed.update((number, name) for name, number in self._open)
+
+
+class Collector(HTMLParser):
+    """Turns parser events into lines.
+
+    ``left_open`` has the start tags, by number, of which a left-out one ends where an article, main or body starts.
+    """
+
+    def __init__(self, left_open: Container[int] = ()) -> None:
+        super().__init__(convert_charrefs=True)
+        self.left_open = left_open
+        self.holders: list[tuple[int, str]] = []  # left-out elements that such a start was left out with
+        self.found_main = False
+        self._starts = 0
         self.lines: list[Line] = []
         self.parents = [0]  # by region: the region around it
         self._open: list[tuple[str, int]] = []  # element, region before it
         self._region = 0
         self._article = 0  # open articles or mains
         self._skipped: tuple[str, int] | None = None  # element left out, and how many of its name are open
+        self._skipped_start = 0
         self._line = Line(0)
 
     def _break(self) -> None:
@@ -109,6 +149,8 @@ class Collector(HTMLParser):
     def _left_out(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in LEFT_OUT or (tag == "header" and not self._article):
             return True
+        if tag == "article":
+            return self._named(tag, attrs)
         if tag in _HOLDS_MAIN or not attrs:
             return False
         if not (self._article and (tag in _NAMELESS or tag in _DOUBTED)) and self._named(tag, attrs):
@@ -123,28 +165,33 @@ class Collector(HTMLParser):
             names = value.lower().split()
             if self._article:  # an article's own header holds its title
                 names = [n for n in names if LEFT_OUT_NAMES.intersection(_NAMES.findall(n)) != {"header"}]
-            whole = (name == "id" and self._article) or not _MAIN_NAMES.isdisjoint(names)
+            whole = (name == "id" and (self._article or tag == "article")) or not _MAIN_NAMES.isdisjoint(names)
             if any(name_evidence(n) > whole for n in names):
                 return True
         return False
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        number, self._starts = self._starts, self._starts + 1
         if self._skipped:
             name, depth = self._skipped
-            if tag == name and tag not in VOID:
-                self._skipped = (name, depth + 1)
+            ends = tag in ("article", "main", "body") and name not in ("script", "style")
+            if ends and (self._skipped_start in self.left_open or (tag, name) == ("body", "head")):
+                self._skipped = None  # an element left open does not swallow the article
+            else:
+                if ends:
+                    self.holders.append((self._skipped_start, name))
+                if tag == name and tag not in VOID:
+                    self._skipped = (name, depth + 1)
                 return
-            if tag not in ("article", "main", "body") or name in ("script", "style"):
-                return
-            self._skipped = None  # an element left open does not swallow the article
         if tag in BLOCKS:
             self._close_before(tag)
             self._break()
         if self._left_out(tag, attrs):
             if tag not in VOID:
                 self._break()
-                self._skipped = (tag, 1)
+                self._skipped, self._skipped_start = (tag, 1), number
             return
+        self.found_main |= tag in ("article", "main")
         if tag == "br":
             self._line.text.append(" ")
         self._line.tags += 1
@@ -232,13 +279,44 @@ def threshold(values: list[float]) -> float:
     return min((low + high) / 2, max(values))
 
 
+def _collected(html: str, left_open: Container[int] = ()) -> Collector:
+    collector = Collector(left_open)
+    collector.feed(html)
+    collector.close()
+    return collector
+
+
+def collected(html: str) -> Collector:
+    """The page's lines. What a left-out element holds is left out too, unless it is never closed.
+
+    Of several elements of a name, end tags close the inner ones. A page that has no other article and leaves an
+    element around a left-out one of the same name open is taken to have left that one open.
+    """
+    collector = _collected(html)
+    if not collector.holders:
+        return collector
+    tags = Unclosed()
+    tags.feed(html)
+    tags.close()
+    left_open = set(tags.unclosed)
+    if not left_open:
+        return collector
+    collector = _collected(html, left_open)
+    if collector.holders and not collector.found_main:
+        first: dict[str, int] = {}
+        for number, name in sorted(tags.unclosed.items()):
+            first.setdefault(name, number)
+        taken = {number for number, name in collector.holders if first.get(name, number) < number}
+        if taken:
+            return _collected(html, left_open | taken)
+    return collector
+
+
 def main_text(html: str | None) -> str:
     """Blocks of the page's main text in page order, joined by an empty line; empty if it has none."""
     if not html:
         return ""
-    collector = Collector()
-    collector.feed(html)
-    collector.close()
+    collector = collected(html)
     texts = [" ".join("".join(line.text).split()) for line in collector.lines]
     held = [(line, text) for line, text in zip(collector.lines, texts) if text]
     if not held:

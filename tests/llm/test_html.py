@@ -71,6 +71,44 @@ def test_compounds_that_mean_noise():
         assert html.main_text(page(f'{ARTICLE}<div class="{name}"><p>{LONG}</p></div>')) == TEXT, name
 
 
+ARTICLES_OF_NO_MAIN_TEXT = {
+    "comments": f'<section id="comments"><article class="comment"><p>{LONG}</p></article><p>{LONG}</p></section>',
+    "promo in aside": f'<aside><article class="promo"><p>{LONG}</p></article><p>{LONG}</p></aside>',
+    "plain card in aside": f"<aside><article><h3>Card</h3><p>{LONG}</p></article><article><p>{LONG}</p></article><p>{LONG}</p></aside>",
+    "related": f'<div class="related"><div><article><p>{LONG}</p></article></div><p>{LONG}</p></div>',
+    "comment alone": f'<article class="comment"><p>{LONG}</p></article>',
+    "footer": f"<footer><main><p>{LONG}</p></main>{LONG}</footer>",
+}
+
+
+@pytest.mark.parametrize("name", ARTICLES_OF_NO_MAIN_TEXT)
+def test_articles_within_left_out_elements(name):
+    noise = ARTICLES_OF_NO_MAIN_TEXT[name]
+    assert html.main_text(page(noise + ARTICLE)) == TEXT
+    assert html.main_text(page(ARTICLE + noise)) == TEXT
+    assert html.main_text(page(ARTICLE.replace("<p>Short.", noise + "<p>Short."))) == TEXT
+
+
+@pytest.mark.parametrize("tags", ['<div class="ad">Buy', '<section class="ad"><div>Buy</div>', "<nav><ul><li>A", '<div class="ad"><div class="ad">Buy'])
+def test_elements_left_open_do_not_swallow_the_article(tags):
+    assert html.main_text(page(tags + ARTICLE)) == TEXT
+    assert html.main_text(page(f'<div id="page">{tags}{ARTICLE}</div>')) == TEXT
+    assert html.main_text(page(tags + ARTICLE + ARTICLES_OF_NO_MAIN_TEXT["comments"])) == TEXT
+    assert html.main_text(f"<head><title>T</title><body>{tags}{ARTICLE}") == TEXT
+
+
+def test_many_open_elements_take_linear_time():
+    import time
+
+    def seconds(n):
+        begin = time.perf_counter()
+        html.main_text(page('<div class="ad">x<article><aside>' * n))
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    assert seconds(8000) < 40 * seconds(1000) + 0.5
+
+
 def test_blocks_white_space_and_references():
     body = "<article><p> one\n two&nbsp;&amp;\tthree <b>bo</b>ld<br>next</p>loose text<p><b>open<br><p>after &lt;x&gt; &eacute;&#233;&#xe9;</p><ul><li>a<li>b</ul><p></p></article>"
     assert html.main_text(page(body)) == "one two & three bold next\n\nloose text\n\nopen\n\nafter <x> ééé\n\na\n\nb"
