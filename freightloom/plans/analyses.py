@@ -127,6 +127,14 @@ def newer_than(df: DataFrame, ts: str, mark: dt.datetime | str | None) -> DataFr
     return df if mark is None else df.filter(F.col(ts) > F.lit(mark).cast(df.schema[ts].dataType))
 
 
+def not_before(df: DataFrame, ts: str, mark: dt.datetime | str | None) -> DataFrame:
+    """Rows at or after a high-water mark and those without a time; all rows if there is no mark yet.
+
+    For runs whose results do not change when a row is read again.
+    """
+    return df if mark is None else df.filter(F.col(ts).isNull() | (F.col(ts) >= F.lit(mark).cast(df.schema[ts].dataType)))
+
+
 def high_water_mark(df: DataFrame, ts: str):
     """Newest timestamp, to be kept as the mark of the next incremental run."""
     return df.agg(F.max(ts)).first()[0]

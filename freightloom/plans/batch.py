@@ -1,8 +1,8 @@
 """The batch run: landed records to star files, warehouse tables, staging, marts and checks.
 
 Every step reads what the step before has stored. A run may take only records
-newer than the last run's newest one: its survivors of each key are merged with
-those kept from before, which gives the tables a run over all records gives.
+not older than the last run's newest one: its survivors of each key are merged
+with those kept from before, which gives the tables a run over all records gives.
 """
 
 from __future__ import annotations
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from ..functions import parse_order_ts
 from ..operators import quality
 from ..operators.dedup import dedupe_by_key
-from ..operators.projection import quoted, standardise_names, union_all_by_name
+from ..operators.projection import missing_columns, quoted, standardise_names, union_all_by_name
 from ..schema import MART_SCHEMAS, TABLES
 from ..sources import load_full_refresh, read_bronze, write_tables
-from .analyses import high_water_mark, newer_than
+from .analyses import high_water_mark, not_before
 from .marts import build_marts
 from .staging import ORDER_PARTS, stage, with_order_ts
 from .star import star_survivors
@@ -37,14 +37,21 @@ def last_mark(spark: SparkSession, database: str) -> tuple[int, dt.datetime] | N
     return (row["run"], row["mark"]) if row else None
 
 
-def _survivors(bronze: DataFrame, kept: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """First record of each key and table, among new records and the survivors of earlier runs."""
+def _survivors(bronze: DataFrame, kept: Mapping[str, DataFrame], everything: DataFrame) -> dict[str, DataFrame]:
+    """First record of each key and table, among new records and the survivors of earlier runs.
+
+    A table without its key keeps all records, so records that are read again would be added
+    again; it is made from everything that has landed.
+    """
     merged = {}
     for spec in TABLES.values():
         new = star_survivors(bronze, spec)
         if new.columns and spec.star_name in kept:
             both = union_all_by_name([kept[spec.star_name], new])
-            new = dedupe_by_key(both, spec.keys, spec.tie_break, missing_ok=True)
+            if missing_columns(both, spec.keys):
+                new = star_survivors(everything, spec)
+            else:
+                new = dedupe_by_key(both, spec.keys, spec.tie_break)
         merged[spec.star_name] = new
     return merged
 
@@ -62,9 +69,10 @@ def run_batch(
 ) -> list[str]:
     """Rebuild star files, warehouse, staging and marts from the landed records, and check them.
 
-    ``incremental`` reads only records ordered after the last finished run's
-    newest one (records that land later but are older are left to the next full
-    run); without an earlier run it reads all. Orders are staged with a typed
+    ``incremental`` reads only records ordered at the time of the last finished
+    run's newest one or later, and those without a readable order date (records
+    that land later but are older are left to the next full run); without an
+    earlier run it reads all. Orders are staged with a typed
     timestamp, in folders by year and month, so that date filters skip folders;
     each staging table is stored once and also readable as the view ``stg_<table>``.
     Every step overwrites its target and the mark is written last, so a failed
@@ -72,18 +80,18 @@ def run_batch(
     ``quality_findings``. Returns the names of the mart tables.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    bronze = standardise_names(read_bronze(spark, bronze_path))
+    everything = bronze = standardise_names(read_bronze(spark, bronze_path))
     ordered = parse_order_ts(ORDER_DATE, lenient_dates)
     before = last_mark(spark, database)
     kept: dict[str, DataFrame] = {}
     if incremental and before:
-        bronze = newer_than(bronze.withColumn("_ts", ordered), "_ts", before[1]).drop("_ts")
+        bronze = not_before(bronze.withColumn("_ts", ordered), "_ts", before[1]).drop("_ts")
         kept = _read_survivors(spark, star_path, before[0])
     run = before[0] + 1 if before else 1
 
     # Survivors keep the columns that chose them, for later merges; star files do not.
     folder = _survivor_folder(star_path, run)
-    survived = write_tables(_survivors(bronze, kept), folder, partitions=partitions)
+    survived = write_tables(_survivors(bronze, kept, everything), folder, partitions=partitions)
     by_star_name = {spec.star_name: spec for spec in TABLES.values()}
     star = {}
     for name in survived:
