@@ -7,7 +7,8 @@ even mixture, that reads no source more than so many times as often as another).
 the table of sources; one Spark job tries many exponents at once, and nothing but sums leaves it.
 
 The weights are realised as budgeted permutations of blocks: a source's documents are dealt into blocks of
-about ``block_tokens``; each epoch runs through all blocks in an order of its own, and the last one stops
+about ``block_tokens``, or a ``LEAST_BLOCKS``-th of a small source's tokens, so that what is read meets the budget
+within such a part or a document; each epoch runs through all blocks in an order of its own, and the last one stops
 where the source's budget is used up. The order is that of a hash, so whether a block is taken is a
 comparison with its source's cutoff, and texts are never shuffled. The cutoff comes from sums over ranges of
 the order first and over one range's blocks then, so the blocks of a source that holds a third of all
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from .store import stored
 
 BLOCK_TOKENS = 1 << 16
+#: Blocks of a source at least, as far as its documents go.
+LEAST_BLOCKS = 1024
 MAX_REPEATS = 2.0
 SEED = 11
 #: Points tried by one job, and jobs; they leave an interval of POINTS ** -ROUNDS.
@@ -124,7 +127,7 @@ def mixed(
     # A billionth more than the budget keeps rounding from taking a document off a whole epoch.
     plan = by_source.withColumn("_mix_weight", weight).withColumn("_mix_budget", budget * weight * (1 + 1e-9))
     plan = plan.withColumn("_mix_epochs", F.floor(F.col("_mix_budget") / F.col("tokens")).cast("long")).withColumn(
-        "_mix_blocks", F.ceil(F.col("tokens") / block_tokens).cast("long")
+        "_mix_blocks", F.greatest(F.ceil(F.col("tokens") / block_tokens).cast("long"), F.lit(LEAST_BLOCKS).cast("long"))
     )
     plan = plan.withColumn("_mix_left", F.col("_mix_budget") - F.col("_mix_epochs") * F.col("tokens"))
     plan = stored(plan.drop("tokens"), "mix-plan")

@@ -101,3 +101,16 @@ def test_query_reads_every_document(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source").toPandas()
     assert set(found["doc_id"]) == set(docs["doc_id"])
     assert found.groupby("source")["weight"].first().sum() == pytest.approx(1.0)
+
+
+def test_query_meets_its_weights_within_a_few_documents(spark, sf_dir):
+    from freightloom.llm.queries import QUERIES
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", mixing.token_count(F.col("text")).alias("tokens"))
+    found = QUERIES["op6_temperature_mixing"](spark, sf_dir).join(docs, "doc_id").toPandas()
+    once = found[found["epoch"] == 0].groupby("source")["tokens"]
+    have, longest, weight = once.sum(), once.max(), found.groupby("source")["weight"].first()
+    budget = (have / weight).max() * weight
+    short = budget - found.groupby("source")["tokens"].sum()
+    assert len(have) > 1 and (budget / have).max() > 1.2
+    assert (short >= -1e-6 * budget).all() and (short <= 3 * longest).all()
