@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html, mixing, neighbours, packing, quality, sharding, simhash, tokenfile, warc
+from . import fingerprint, html, manifest, mixing, neighbours, packing, quality, sharding, simhash, tokenfile, warc
+from .manifest_sql import MANIFEST_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,3 +104,12 @@ def op9_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pruned_graph_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every 100th one."""
     return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document; a third of them are checked with a changed text."""
+    return manifest.checked(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_merkle_manifest"] = MANIFEST_SQL
