@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, html, manifest, mixing, neighbours, packing, quality, sharding, simhash, tokenfile, warc
+from . import fingerprint, html, manifest, mixing, neighbours, packing, quality, sharding, simhash, tokenfile, toxicity, warc, whitening
 from .manifest_sql import MANIFEST_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_merkle_manifest"] = MANIFEST_SQL
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every usable embedding, a row per component."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))

@@ -1,0 +1,113 @@
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from freightloom.llm import whitening
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(vectors):
+    """Integers, exact deviations and covariance, and numpy's eigenvalues."""
+    x = [[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in v] for v in vectors]
+    n, d = len(x), len(x[0])
+    sums = [sum(column) for column in zip(*x)]
+    deviations = [sum((n * c - s) ** 2 for c, s in zip(row, sums)) for row in x]
+    mean = [Fraction(s, n) for s in sums]
+    covariance = [[float(sum((r[i] - mean[i]) * (r[j] - mean[j]) for r in x) / n) for j in range(d)] for i in range(d)]
+    return np.array(x), deviations, np.array(covariance)
+
+
+def check(rows, vectors, components=32):
+    x, deviations, covariance = brute(vectors)
+    values, vecs = np.linalg.eigh(covariance)
+    values, vecs = values[::-1], vecs[:, ::-1]
+    k = min(components, int((values > 1e-12 * values[0]).sum()))
+    got = {(r.vec_id, r.component): r for r in rows}
+    assert len(got) == len(rows) == len(vectors) * k
+    table = np.array([[got[i, c + 1].whitened for c in range(k)] for i in range(len(vectors))])
+    mean = np.array([float(Fraction(int(s), len(x))) for s in x.sum(0)])
+    want = (x - mean) @ vecs[:, :k] / np.sqrt(values[:k])
+    signs = np.sign((table * want).sum(0))
+    assert np.allclose(table, want * signs, rtol=1e-7, atol=1e-7)
+    for (i, c), r in got.items():
+        assert r.n == len(vectors) and r.deviation == deviations[i]
+        assert r.explained == pytest.approx(values[c - 1] / np.trace(covariance), rel=1e-9)
+        assert r.identity_error <= 1e-9
+
+
+def test_cholesky_and_jacobi_give_eigenvectors():
+    rng = np.random.default_rng(1)
+    for rank, size in [(6, 6), (3, 6), (1, 4), (40, 40)]:
+        base = rng.normal(size=(size, rank)) * 10.0 ** rng.integers(-3, 3, rank)
+        matrix = base @ base.T
+        factor = whitening.pivoted_cholesky(matrix)
+        assert factor.shape[1] <= size and np.allclose(factor @ factor.T, matrix, rtol=1e-10, atol=1e-10 * np.trace(matrix))
+        values, vectors = whitening.jacobi(factor)
+        want = np.linalg.eigvalsh(matrix)[::-1]
+        assert np.allclose(values, want[: len(values)], rtol=1e-9, atol=1e-12 * want[0])
+        assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-12)
+        assert np.allclose(matrix @ vectors, vectors * values, atol=1e-10 * want[0])
+
+
+def test_cholesky_of_nothing():
+    assert whitening.pivoted_cholesky(np.zeros((3, 3))).shape == (3, 0)
+    values, vectors = whitening.jacobi(np.zeros((3, 0)))
+    assert len(values) == 0 and vectors.shape == (3, 0)
+
+
+def test_equals_brute_force(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vectors = [r.embedding for r in table.orderBy("vec_id").collect()]
+    check(whitening.whitened(table.repartition(7)).collect(), vectors)
+
+
+def test_far_from_the_origin_and_unequal_spreads(spark):
+    rng = np.random.default_rng(2)
+    vectors = (rng.normal(size=(300, 6)) * [1e3, 30, 5, 1, 1, 0] + [1e4, -1e4, 0, 3, 3, 5]).astype(np.float32)
+    vectors[:, 4] = vectors[:, 3]  # entries that repeat another, and constant ones, add no component
+    table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], SCHEMA)
+    check(whitening.whitened(table).collect(), vectors.tolist())
+
+
+def test_result_does_not_depend_on_partitions(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    one, many = whitening.fit(table.coalesce(1)), whitening.fit(table.repartition(13))
+    assert one.sums == many.sums and np.array_equal(one.values, many.values) and np.array_equal(one.vectors, many.vectors)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (1, [2.0, -1.0]), (2, [0.0, 0.0]), (3, None), (4, [nan, 1.0]), (5, [inf, 0.0]), (6, [None, 1.0]),
+        (7, []), (8, [1.0, 2.0, 3.0]), (9, [5.0, 5.0]), (9, [5.0, 5.0]), (None, [1.0, 1.0]),
+    ]
+    table = spark.createDataFrame(rows, SCHEMA).withColumn("v", F.lit(1)).withColumn("place", F.lit(2)).withColumn("n", F.lit(3))
+    found = whitening.whitened(table).collect()
+    assert sorted({(r.vec_id is None, r.vec_id or 0) for r in found}) == [(False, 0), (False, 1), (False, 2), (False, 9), (True, 0)]
+    assert len(found) == 6 * 2 and {r.n for r in found} == {6}
+    assert sum(r.vec_id == 9 for r in found) == 4
+    _, deviations, _ = brute([v for i, v in rows if i in (0, 1, 2, 9, None)])
+    assert sorted(r.deviation for r in found if r.component == 1) == sorted(deviations)
+    assert all(r.identity_error < 1e-12 for r in found)
+
+
+def test_empty_and_constant_tables(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert whitening.whitened(empty).count() == 0 and whitening.whitened(empty).columns[0] == "vec_id"
+    assert whitening.whitened(spark.createDataFrame([(0, None)], SCHEMA)).count() == 0
+    assert whitening.whitened(spark.createDataFrame([(k, [1.0, 2.0]) for k in range(3)], SCHEMA)).count() == 0
+
+
+def test_deviation_beyond_a_long_is_null():
+    model = whitening.Whitening(10**9, (0, 0), np.zeros(2, np.int64), np.ones(1), np.ones((2, 1)), 1.0)
+    assert model.deviations(np.array([[3, 0], [4, 0], [1, 1]])) == [9 * 10**18, None, 2 * 10**18]
+
+
+def test_too_large_entries_are_refused(spark):
+    table = spark.createDataFrame([(0, [1e30, 1.0]), (1, [0.0, 2.0])], SCHEMA)
+    with pytest.raises(Exception, match="cannot be scaled exactly"):
+        whitening.whitened(table).collect()
