@@ -109,6 +109,81 @@ def test_many_open_elements_take_linear_time():
     assert seconds(8000) < 40 * seconds(1000) + 0.5
 
 
+UNBALANCED = [
+    "<b>{}</i>", "<b>{}<div></div>", "<li><div>{}<b><li></li>", "{}<!--", "{}<!-- -", "{}<a ", '{}<a x="', "{}<a x='>", '{}<a "', "{}</", "{}</a ",
+    "{}<!", "{}<?", "{}<![CDATA[", "{}<p", "{}<script>", "{}</script", "{}<style>", "{}<textarea>", "{}&", "{}&#", "{}<a b=c d='e", "{}<p>", "{}<table><tr><td>",
+    "{}<nav>", '{}<div class="ad">', "{}<article>", "{}<svg>", "{}<h1>", '{}<div class="share">x',
+]
+
+
+@pytest.mark.parametrize("ends", ["", ">", "--", "x>y"])
+@pytest.mark.parametrize("tag", UNBALANCED)
+def test_unbalanced_tags_take_linear_time(tag, ends):
+    """A megabyte of any of them takes seconds; a quadratic way takes minutes."""
+    import time
+
+    before, after = tag.split("{}")
+    unit = max(1, len(before) + len(after))
+    count = 250_000 // unit
+    begin = time.perf_counter()
+    html.main_text(before * count + after * count + ends)
+    assert time.perf_counter() - begin < 2.5
+
+
+def test_the_article_decides():
+    other = f"<div><p>{LONG}{LONG}</p><p>{LONG}{LONG}</p></div>"
+    one = f"<article><p>{LONG}</p></article>"
+    for text in (one + other, other + one):
+        assert html.main_text(page(text)) == LONG.strip()
+    two = "<article><h1>Title</h1><p>A few words here.</p><p>And some more.</p></article>"
+    assert html.main_text(page(two + other)) == "Title\n\nA few words here.\n\nAnd some more."
+    # Several articles are kept, whatever their lengths.
+    long = f"<article><p>{LONG}{LONG}{LONG}</p><p>{LONG}</p></article>"
+    assert html.main_text(page(f"<article><p>{LONG}</p><p>{LONG}</p></article>" + long)) == "\n\n".join([LONG.strip()] * 2 + [(LONG * 3).strip(), LONG.strip()])
+
+
+def test_a_main_element_decides_where_no_article_is():
+    menu = "<div>Home News Shop</div>"
+    assert html.main_text(page(f"{menu}<main><p>{LONG}</p></main><div>Imprint</div>")) == LONG.strip()
+    assert html.main_text(page(f"{menu}<main><p>{LONG}</p><article><p>Card.</p></article><article><p>Card two.</p></article></main>")) == "\n\n".join(
+        [LONG.strip(), "Card.", "Card two."]
+    )
+
+
+def test_sections_of_short_paragraphs_are_kept():
+    text = f"<section><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></section><section><h2>Short part</h2><p>One line.</p><p>Two lines.</p></section>"
+    assert html.main_text(page(NOISE["menu"] + text + NOISE["footer"])) == "\n\n".join(["Title", LONG.strip(), LONG.strip(), "Short part", "One line.", "Two lines."])
+
+
+def test_body_of_a_page_builder():
+    body = ARTICLE.removeprefix("<article>").removesuffix("</article>")
+    names = "elementor-element elementor-widget elementor-widget-theme-post-content"
+    menu = '<div class="elementor-widget elementor-widget-nav-menu"><a href="/a">Home</a> <a href="/b">News</a></div>'
+    assert html.main_text(page(f'{menu}<div class="{names}"><div class="elementor-widget-container">{body}</div></div>')) == TEXT
+
+
+@pytest.mark.parametrize("name", ["share", "related", "search-results", "notice", "widget", "social-modal"])
+def test_names_that_may_mean_something_else_never_beat_a_dense_block(name):
+    body = ARTICLE.removeprefix("<article>").removesuffix("</article>")
+    assert html.main_text(page(f'{NOISE["menu"]}<div class="{name}">{body}</div>{NOISE["footer"]}')) == TEXT
+    # Beside main text they hold.
+    assert html.main_text(page(f'<div>{body}</div><div class="{name}"><p>{LONG}</p></div>')) == TEXT
+    assert html.main_text(page(f'{ARTICLE}<div class="{name}"><p>{LONG * 9}</p></div>')) == TEXT
+
+
+def test_left_out_elements_within_a_paragraph_leave_it_whole():
+    for tag in ("<script>x()</script>", "<svg><text>t</text></svg>", '<span class="ad">Buy</span>', "<button>Go</button>", "<style>p{}</style>", "<select><option>1</select>"):
+        assert html.main_text(page(f"<article><p>Water {tag}is wet.</p></article>")) == "Water is wet.", tag
+    assert html.main_text(page("<article>One<nav>menu</nav>two</article>")) == "One\n\ntwo"
+
+
+def test_quotes_and_comments_without_an_end():
+    assert html.main_text(page(f'<article><p>{LONG}</p><p>a < b and c > d</p><!-- never ends <p>x</p></article>')) == f"{LONG.strip()}\n\na < b and c > d"
+    assert html.main_text(f'<article><p>{LONG}</p><a href="x>link</a><p>After.</p></article>').startswith(LONG.strip())
+    assert html.main_text("<p>one</p><!-- a --><p>two</p><!-- b --!><p>three <") == "one\n\ntwo\n\nthree <"
+    assert html.main_text("<p>one <!--> two</p>") == "one two"
+
+
 def test_blocks_white_space_and_references():
     body = "<article><p> one\n two&nbsp;&amp;\tthree <b>bo</b>ld<br>next</p>loose text<p><b>open<br><p>after &lt;x&gt; &eacute;&#233;&#xe9;</p><ul><li>a<li>b</ul><p></p></article>"
     assert html.main_text(page(body)) == "one two & three bold next\n\nloose text\n\nopen\n\nafter <x> ééé\n\na\n\nb"
