@@ -37,6 +37,8 @@ CHECKPOINT_STEPS = 256
 FILE_IDS = 1 << 23
 #: Frequencies add up to 2 ** PRECISION.
 PRECISION = 20
+#: Most tasks that read files back.
+READING_TASKS = 1 << 15
 #: Blocks coded or decoded side by side.
 TOGETHER = 128
 
@@ -249,7 +251,9 @@ def write_corpus(
             yield close()
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # A third of all ids may be null: equal ids are spread by how their texts begin, which keeps them in order.
+    ordered = rows.withColumn("start", F.substring("text", 1, 64)).repartitionByRange("id", "start")
+    ordered = ordered.sortWithinPartitions("id", "text").select("id", "text")
     files = stored(ordered.mapInArrow(run, "part long, number long, name string, n_ids long, n_docs long"), "token-files")
     before = F.sum("n_ids").over(Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1))
     return files.select("name", F.coalesce(before, F.lit(0)).alias("first_id"), "n_ids", "n_docs")
@@ -273,7 +277,9 @@ def read_corpus(spark: SparkSession, files: DataFrame, folder: str) -> DataFrame
                     [pa.array(keys, pa.int64()), pa.array(starts), pa.array(lengths), pa.array(sums)], ["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
 
-    spread = files.select("name", "first_id").repartition(F.xxhash64("name"))
+    # One task a file, whatever few bytes their names have; beyond the bound a task reads several, one by one.
+    tasks = max(1, min(files.count(), READING_TASKS))
+    spread = files.select("name", "first_id").repartitionByRange(tasks, "first_id", "name")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

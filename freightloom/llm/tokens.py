@@ -82,6 +82,7 @@ class WordEncoder:
         self._stems = _Bank()
         marks = [self._library.encode(m, add_special_tokens=False).ids for m in _MARKS]
         self._marks = np.array([ids[0] for ids in marks], np.uint32) if all(len(ids) == 1 for ids in marks) else None
+        self._apart: dict[str, bool] = {"": False}
 
     def _learn(self, strings: pa.Array) -> np.ndarray:
         """Add stems that are not in the table yet; their numbers."""
@@ -126,22 +127,40 @@ class WordEncoder:
             numbers[missing] = self._learn(stems.filter(pa.array(missing)))
         return numbers
 
+    def mark_apart(self, letter: str) -> bool:
+        """Whether a mark after this character is a piece of its own.
+
+        The library's normal form can end a letter in a combining mark, which joins the punctuation after it,
+        so the library itself is asked, once for each character.
+        """
+        if letter not in self._apart:
+            ids = [self._library.encode(letter + m, add_special_tokens=False).ids for m in ["", *_MARKS]]
+            self._apart[letter] = letter.isalpha() and all(i == [*ids[0], mark] for i, mark in zip(ids[1:], self._marks.tolist()))
+        return self._apart[letter]
+
+    def _marked(self, words: pa.Array, last: pa.Array) -> np.ndarray:
+        """Which words end in a mark that is a piece of its own."""
+        marked = last.is_valid().to_numpy(zero_copy_only=False)
+        if self._marks is None or not marked.any():
+            return np.zeros(len(words), bool)
+        before = pc.utf8_slice_codeunits(words.filter(pa.array(marked)), -2, -1).dictionary_encode()
+        apart = np.array([self.mark_apart(c) for c in before.dictionary.to_pylist()], bool)
+        marked[marked] = apart[before.indices.to_numpy()]
+        return marked
+
     def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words, one word after the other, and how many each has.
 
-        A comma or full stop after a letter is a piece of its own, and A-Z are lowered by the tokenizer
+        A comma or full stop after most letters is a piece of its own, and A-Z are lowered by the tokenizer
         anyway, so the table holds lower-case stems.
         """
         last = pc.index_in(pc.utf8_slice_codeunits(words, -1), value_set=pa.array(_MARKS, words.type))
-        marked = pc.and_(last.is_valid(), pc.utf8_is_alpha(pc.utf8_slice_codeunits(words, -2, -1)))
-        if self._marks is None:
-            marked = pc.and_(marked, False)
-        stems = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        marked = self._marked(words, last)
+        stems = pc.if_else(pa.array(marked), pc.utf8_slice_codeunits(words, 0, -1), words)
         # Lower case must not make an ordinary text out to be a special token.
         stems = pc.if_else(pc.match_substring(stems, "<"), stems, pc.ascii_lower(stems)).dictionary_encode()
         numbers = self._number(stems.dictionary)[stems.indices.to_numpy()]
         ids, sizes = self._stems.of(numbers)
-        marked = marked.to_numpy(zero_copy_only=False)
         if marked.any():
             which = last.filter(pa.array(marked)).to_numpy()
             ids = np.insert(ids, np.cumsum(sizes)[marked], self._marks[which])

@@ -38,8 +38,8 @@ _CHUNK = 1 << 20
 _PIECE = 1 << 16
 _DATE = "2000-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Longest head of named fields that the reader accepts.
-_HEAD_BYTES = 1 << 20
+#: Most tasks that read ranges back.
+READING_TASKS = 1 << 15
 
 
 class CorruptArchive(ValueError):
@@ -171,7 +171,7 @@ class Record:
 
 
 def parse(data: bytes, offset: int = 0) -> Record:
-    end = data.find(b"\r\n\r\n", 0, _HEAD_BYTES)
+    end = data.find(b"\r\n\r\n")
     if end < 0:
         raise CorruptArchive(f"no end of the fields of the record at {offset}")
     lines = data[:end].decode("utf-8", "surrogatepass").split("\r\n")[1:]
@@ -255,7 +255,9 @@ def read_archives(spark: SparkSession, files: DataFrame, folder: str, range_byte
 
     ranges = files.select("name", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"), "bytes")
     ranges = ranges.select("name", "start", F.least(F.col("start") + range_bytes, "bytes").alias("stop"))
-    return ranges.repartition(F.xxhash64("name", "start")).mapInArrow(run, fields)
+    # One task a range, whatever few bytes their names have; beyond the bound a task reads several, one by one.
+    tasks = max(1, min(ranges.count(), READING_TASKS))
+    return ranges.repartitionByRange(tasks, "name", "start").mapInArrow(run, fields)
 
 
 def archived(pages: DataFrame, id_column: str = "page_id", html: str = "html", range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -30,6 +30,27 @@ def test_ids_are_the_librarys(library, monkeypatch, limits):
     tokens._encoders.clear()
 
 
+def test_every_letter_before_a_mark(library):
+    """Marks after any letter of Unicode, alone and at a word's end: normal form may end a letter in a combining mark."""
+    letters = [chr(c) for c in range(0x110000) if chr(c).isalpha()]
+    texts = [f"{c}{m} ab{c}{m}" for m in ",." for c in letters]
+    tokens._encoders.clear()
+    chunks = [texts[k : k + 5000] for k in range(0, len(texts), 5000)]
+    for chunk in chunks:
+        want = [e.ids for e in library.encode_batch_fast(chunk, add_special_tokens=False)]
+        got = [ids.tolist() for ids in tokens.encode_all(pa.array(chunk), end_id=None)]
+        assert got == want, next((t for t, a, b in zip(chunk, got, want) if a != b))
+    apart = tokens.encoder(tokens.VOCABULARY)._apart
+    assert not apart["\u095c"] and apart["a"] and apart["\u00e9"]
+    tokens._encoders.clear()
+
+
+def test_words_of_several_scripts_before_marks(library):
+    texts = ["पहाड़, सड़क. बढ़ना, पढ़.", "পাহাড়, বড়. আষাঢ়.", "ਗੜ੍ਹ, ਲੜਾਈ. ਜ਼ਮੀਨ,", "שָׁלוֹם, שׁ. שׂ, יִ.", "ADLİ, İSTANBULLULARDANDI. KEDİ.", "가각, 힣. 나, ㄱ.", "ΟΔΟΣ, ΣΑΣ. ς,"]
+    for text, ids in zip(texts, tokens.encode_all(pa.array(texts), end_id=None)):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("size", [1, 2, 31, 32, 33, 8192, 8193, 32768, 32769, 70_001])
 def test_coding_round_trip(size):
     ids = np.minimum(np.random.default_rng(size).zipf(1.3, size), 49_407).astype(np.uint32)
@@ -94,3 +115,24 @@ def test_query_equals_the_library(spark, sf_dir, library):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = QUERIES["op2_rans_token_files"](spark, sf_dir).collect()
     assert sorted(map(tuple, found)) == expected(rows, library)
+
+
+def test_files_are_read_by_as_many_tasks(spark, tmp_path):
+    docs = spark.range(200).selectExpr("id as doc_id", "repeat('word ', 50) as text").repartition(3)
+    folder = f"file://{tmp_path}"
+    files = tokenfile.write_corpus(docs, folder, file_ids=200)
+    assert files.count() > 40
+    read = tokenfile.read_corpus(spark, files, folder)
+    assert read.rdd.getNumPartitions() == files.count()
+    held = [len(part) for part in files.select("name", "first_id").repartitionByRange(files.count(), "first_id", "name").rdd.glom().collect()]
+    assert max(held) <= 2
+    assert read.count() == 200
+
+
+def test_equal_and_null_ids_are_spread(spark):
+    rows = [(None, f"n{k}") for k in range(300)] + [(7, "same")] * 300 + [(k, f"t{k}") for k in range(1000, 1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = tokenfile.token_files(docs, file_ids=64).orderBy("start").collect()
+    assert len(found) == 900 and found[0].start == 0
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(found, found[1:]))
+    assert [r.doc_id for r in found] == [None] * 300 + [7] * 300 + list(range(1000, 1300))
