@@ -9,7 +9,8 @@ shard permutes what it got. Shard sizes are at most one apart (the law ``rows``)
 Permutations are orders of seeded hashes, so a retried task repeats them. Partitions are hash classes of the
 rows rather than what tasks happen to read, which makes the result independent of files and task counts. A
 shard's second permutation is cut into ranges of the hash that are numbered apart; no task sorts a shard.
-Everything over rows is DataFrame functions; texts are read once and never shuffled.
+Rows alike are counted, numbered, and dealt out in portions, so a row that is a third of the table is spread
+like any others. Everything over rows is DataFrame functions; texts are read once and never shuffled.
 """
 
 from __future__ import annotations
@@ -30,41 +31,55 @@ PARTITION_ROWS = 1 << 14
 MATRIX_CELLS = 1 << 17
 #: Rows of a range of the second permutation.
 RANGE_ROWS = 1 << 11
+#: Rows alike that are dealt out together at most.
+PORTION = 1 << 10
+
+
+def hypergeometric(good: int, bad: int, drawn: int, rng: np.random.Generator) -> int:
+    """How many of ``drawn`` rows out of ``good + bad`` are good ones, by inversion.
+
+    The law's probabilities follow from that of its mode by the ratios of neighbouring ones; no factorials are
+    needed, so the draw is exact, to the rounding of doubles, for populations of any size. Left out are
+    only terms below 1e-25 of the mode's. The work grows with the law's standard deviation.
+    """
+    low, high = max(0, drawn - bad), min(drawn, good)
+    if low == high:
+        return low
+    whole = good + bad
+    mode = min(max((drawn + 1) * (good + 1) // (whole + 2), low), high)
+    spread = math.sqrt(drawn * (good / whole) * (bad / whole) * ((whole - drawn) / max(1, whole - 1)))
+    reach = 64 + math.ceil(12 * spread)
+    up = np.arange(mode, min(high, mode + reach), dtype=np.float64)
+    down = np.arange(mode, max(low, mode - reach), -1, dtype=np.float64)
+    above = np.cumprod((good - up) / (up + 1) * ((drawn - up) / (bad - drawn + up + 1)))
+    below = np.cumprod(down / (good - down + 1) * ((bad - drawn + down) / (drawn - down + 1)))
+    total = np.cumsum(np.concatenate([below[::-1], [1.0], above]))
+    place = int(np.searchsorted(total, rng.random() * total[-1], side="right"))
+    return mode - len(below) + min(place, len(total) - 1)
 
 
 def communication_matrix(partition_rows: list[int], shards: int, rng: np.random.Generator) -> np.ndarray:
-    """Rows each partition sends to each shard: a draw from the law that a uniform shuffle follows.
+    """Rows each partition sends to each shard: an exact draw from the law that a uniform shuffle follows.
 
-    Line sums are the partitions' sizes, column sums the shards' (at most one apart). The draw is exact
-    while fewer than 10 ** 9 rows are left to deal, which is as far as numpy's sampler goes; above, counts
-    are rounded normal variates of the same mean and variance, and the sums stay exact.
+    Line sums are the partitions' sizes, column sums the shards' (at most one apart). A line is drawn shard by
+    shard, each count given those before it.
     """
     total = sum(partition_rows)
-    left = np.array([total // shards + (s < total % shards) for s in range(shards)], np.int64)
+    left = [total // shards + (s < total % shards) for s in range(shards)]
     lines = []
     for rows in partition_rows:
-        if left.sum() < 10**9:
-            line = rng.multivariate_hypergeometric(left, rows, method="marginals")
-        else:
-            line = _rounded_draw(left, rows, rng)
+        line, pool = [], sum(left)
+        for own in left:
+            pool -= own
+            line.append(hypergeometric(own, pool, rows, rng))
+            rows -= line[-1]
         lines.append(line)
-        left = left - line
+        left = [own - sent for own, sent in zip(left, line)]
     return np.array(lines, np.int64).reshape(len(partition_rows), shards)
 
 
-def _rounded_draw(left: np.ndarray, rows: int, rng: np.random.Generator) -> np.ndarray:
-    line, pool = [], int(left.sum())
-    for own in left.tolist():
-        share = own / pool if pool else 0.0
-        spread = math.sqrt(max(0.0, rows * share * (1 - share) * (pool - rows) / max(1, pool - 1)))
-        drawn = round(rng.normal(rows * share, spread))
-        line.append(max(0, rows - (pool - own), min(own, rows, drawn)))
-        rows, pool = rows - line[-1], pool - own
-    return np.array(line, np.int64)
-
-
-def _order(purpose: int, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.lit(purpose), "id", "size", "text_crc32")
+def _order(purpose: int, seed: int, number: str) -> Column:
+    return F.xxhash64(F.lit(seed), F.lit(purpose), "id", "size", "text_crc32", number)
 
 
 def uniform_shards(
@@ -81,12 +96,15 @@ def uniform_shards(
     rows = docs.select(
         F.col(id_column).alias("id"), (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32")
     )
-    rows = stored(rows, "shard-rows")
-    total = rows.count()
+    alike = rows.groupBy("id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
+    alike = stored(alike, "shard-rows")
+    total = alike.agg(F.sum("copies")).first()[0] or 0
     partitions = max(1, min(math.ceil(total / PARTITION_ROWS), MATRIX_CELLS // shards))
-    rows = rows.withColumn("part", F.pmod(_order(0, seed), F.lit(partitions)))
+    starts = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(PORTION).cast("long"))
+    portions = alike.withColumn("start", F.explode(starts)).withColumn("end", F.least(F.col("start") + PORTION, "copies"))
+    portions = portions.withColumn("part", F.pmod(_order(0, seed, "start"), F.lit(partitions)))
 
-    counted = dict(rows.groupBy("part").count().collect())
+    counted = dict(portions.groupBy("part").agg(F.sum(F.col("end") - F.col("start"))).collect())
     sizes = [counted.get(p, 0) for p in range(partitions)]
     matrix = communication_matrix(sizes, shards, np.random.default_rng(seed))
     # Line p holds the first rank that does not go to each shard; the lines come as one JSON literal of bounded size.
@@ -94,11 +112,13 @@ def uniform_shards(
     lines = docs.sparkSession.range(1).select(
         F.posexplode(F.from_json(F.lit(ends), "array<array<bigint>>")).alias("part", "ends")
     ).withColumn("part", F.col("part").cast("long"))
-    rank = F.row_number().over(Window.partitionBy("part").orderBy(_order(1, seed), "id")).cast("long") - 1
+    # Portions are opened in their partition, which the window then finds as it needs it.
+    rows = portions.repartition("part").withColumn("copy", F.explode(F.sequence("start", F.col("end") - 1)))
+    rank = F.row_number().over(Window.partitionBy("part").orderBy(_order(1, seed, "copy"), "id")).cast("long") - 1
     dealt = rows.withColumn("rank", rank).join(F.broadcast(lines), "part")
     shard = F.size(F.filter("ends", lambda end: end <= F.col("rank")))
     ranges = 1 << max(0, math.ceil(math.log2(max(1, total / shards / RANGE_ROWS))))
-    second = _order(2, seed)
+    second = _order(2, seed, "copy")
     dealt = dealt.select("id", "size", "text_crc32", shard.alias("shard"), second.alias("order"))
     dealt = stored(dealt.withColumn("range", F.pmod("order", F.lit(ranges))), "shard-dealt")
 
