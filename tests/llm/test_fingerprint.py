@@ -15,12 +15,12 @@ def brute_sum(text, cut=fingerprint.CUT):
     pieces = [p for p in re.split(cut, text or "") if p]
     lanes = [0] * fingerprint.LANES
     for piece in pieces:
-        # The engine hashes a row of columns one after the other, each with the last one's hash as its seed.
+        digest = hashlib.sha512(piece.encode()).hexdigest()
         for k in range(2):
-            bits = xxhash.xxh64_intdigest(k.to_bytes(4, "little"), xxhash.xxh64_intdigest(piece.encode(), 42))
-            for j in range(16):
-                for lane in range(4):
-                    lanes[(16 * k + j) * 4 + lane] += bits >> (16 * lane + j) & 1
+            bits = xxhash.xxh64_intdigest(digest[64 * k : 64 * k + 64].encode(), 42)
+            for j in range(32):
+                for lane in range(2):
+                    lanes[(32 * k + j) * 2 + lane] += bits >> (32 * lane + j) & 1
     return lanes, len(pieces)
 
 
@@ -33,8 +33,8 @@ def brute_likeness(a, b):
 
 def brute_text(total):
     lanes, number = total
-    words = [sum((lanes[4 * w + k] % (1 << 14)) << (16 * k) for k in range(4)) for w in range(len(lanes) // 4)]
-    return "".join(f"{w:016x}" for w in [*words, number % (1 << 14)])
+    words = [lanes[2 * w] | lanes[2 * w + 1] << 32 for w in range(len(lanes) // 2)]
+    return "".join(f"{w:016x}" for w in [*words, number])
 
 
 def expected(rows):
@@ -101,8 +101,48 @@ def test_sums_are_order_free_and_change_by_steps(spark):
         "a", "b", "c", "d", fingerprint.combined(F.col("c"), F.col("d")).alias("x"), fingerprint.removed(F.col("a"), F.col("d")).alias("y")
     ).first()
     assert a == b == added and rest == c and a != c
-    number = 1 + sum(1 for _ in range(20_000))
+    number = 20_001
     many = spark.range(1).select(fingerprint.multiset_sum(F.repeat(F.lit("x\n"), number)).alias("t")).first().t
     lanes, _ = brute_sum("x")
-    assert many[-1] == number % (1 << 14)
-    assert [many[k] >> (16 * j) & 0x3FFF for k in range(32) for j in range(4)] == [c * number % (1 << 14) for c in lanes]
+    assert many[-1] == number
+    assert [many[k] >> (32 * j) & 0x3FFF_FFFF for k in range(64) for j in range(2)] == [c * number for c in lanes]
+
+
+def test_removal_takes_lanes_apart(spark):
+    """Lanes that hold less than what is taken out borrow from no other lane; put back, the sum is whole again."""
+    small, large = F.lit("one.\ntwo."), F.lit("three.\nfour.\nfive.\nsix.")
+    a, b = fingerprint.multiset_sum(small), fingerprint.multiset_sum(large)
+    row = spark.range(1).select(a.alias("a"), fingerprint.combined(fingerprint.removed(a, b), b).alias("again")).first()
+    assert row.a == row.again
+
+
+@pytest.mark.parametrize("number", [1 << 14, 1 << 20])
+def test_many_equal_lines_are_told_from_none(spark, number):
+    """No count of lines that a text can have wraps around."""
+    docs = spark.createDataFrame([(0, ""), (1, "x")], "doc_id long, text string")
+    lines = spark.range(2).select((F.col("id") + 2).alias("doc_id"), F.repeat(F.lit("x\n"), F.lit(number) + F.col("id").cast("int")).alias("text"))
+    found = {r.doc_id: r for r in fingerprint.fingerprints(docs.unionAll(lines)).collect()}
+    assert len({r.fingerprint for r in found.values()}) == 4
+    # Three quarters of the lines stay, and the others are the same again.
+    assert found[2].near_edited >= 0.9 and found[2].near_next >= 0.999
+    assert found[1].near_next < 0.01
+
+
+def test_many_null_and_equal_ids_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_ROWS", 10)
+    rows = [(None, f"n{k}") for k in range(100)] + [(7, f"s{k}") for k in range(100)] + [(k, f"t{k}") for k in range(1000, 1100)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(5)
+    found = fingerprint.with_next(docs, ["text"]).collect()
+    assert len(found) == 300
+    after = {r.text: r.next.text for r in found}
+    at, ring = "n0", []
+    for _ in range(300):
+        ring.append(at)
+        at = after[at]
+    assert at == "n0" and len(set(ring)) == 300  # one ring through all rows
+    turned = ring[ring.index("t1000") :] + ring[: ring.index("t1000")]
+    assert turned[:100] == [f"t{k}" for k in range(1000, 1100)]
+    assert {t[0] for t in turned[100:200]} == {"n"} and {t[0] for t in turned[200:]} == {"s"}
+    keyed = docs.withColumn("_key", F.struct(F.isnull("id").cast("int").alias("none"), F.coalesce("id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash")))
+    sizes = keyed.groupBy(fingerprint._range_of(F.col("_key"), fingerprint._range_bounds(keyed)).alias("r")).count().collect()
+    assert len(sizes) >= 25 and max(r["count"] for r in sizes) <= 40
