@@ -167,7 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
     own = own.where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     chosen = own.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).where("text is not null")
-    rows = texts.join(F.broadcast(chosen), "id").repartition(F.xxhash64("id"))
+    # One text an id before any goes to the learning task, however often a sampled id is repeated.
+    rows = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str =
             )
 
     def learn(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["id", "buckets", "counts"]).drop_duplicates("id")
+        frame = frame.sort_values("id")
         held = [(np.frombuffer(b, "<i4"), np.frombuffer(c, "<i4")) for b, c in zip(frame["buckets"], frame["counts"])]
         model = train(held, frame["label"].to_numpy(np.int64))
         return pd.DataFrame({"weight": [model.weight.tobytes()], "bias": [model.bias]})
