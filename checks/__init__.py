@@ -1,9 +1,9 @@
 """Registered queries over the test tables, each with its SQL counterpart."""
 
-from . import analyses, batch, dedup, functions, marts, profile, quality, relational, sources, star, streams
+from . import analyses, batch, dedup, deliveries, functions, marts, profile, quality, relational, sources, star, streams
 from .registry import ORACLES, QUERIES
 
 __all__ = [
-    "ORACLES", "QUERIES", "analyses", "batch", "dedup", "functions", "marts", "profile",
+    "ORACLES", "QUERIES", "analyses", "batch", "dedup", "deliveries", "functions", "marts", "profile",
     "quality", "relational", "sources", "star", "streams",
 ]

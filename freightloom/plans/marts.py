@@ -45,9 +45,12 @@ def customer_retention_rate(orders: DataFrame, lenient_dates: bool = False) -> D
     The "rate" is a ratio of running totals in which a customer counts again in
     every month, not a cohort retention. The first month is 1.0.
     """
-    totals = running_total(
-        monthly_customers(orders, lenient_dates), "distinct_customers", "cumulative_customers"
-    )
+    return retention_report(monthly_customers(orders, lenient_dates))
+
+
+def retention_report(monthly: DataFrame) -> DataFrame:
+    """``customer_retention_rate`` from distinct customers per month."""
+    totals = running_total(monthly, "distinct_customers", "cumulative_customers")
     # Spark puts both windows, which share their order, into the same single task.
     rows = previous_value(totals, "cumulative_customers", "_previous")
     rate = F.when(F.col("_previous").isNull(), F.lit(1.0)).otherwise(
@@ -84,8 +87,13 @@ def financial_commitments(
     product. ``cap`` limits each input to its first rows by id.
     """
     per_product = commitments_by_product(capped(orders, cap, ["order_id"]), completed)
-    departments = capped(departments, cap, ["department_id"])
-    products = capped(products, cap, ["product_card_id"])
+    return commitments_report(
+        per_product, capped(departments, cap, ["department_id"]), capped(products, cap, ["product_card_id"])
+    )
+
+
+def commitments_report(per_product: DataFrame, departments: DataFrame, products: DataFrame) -> DataFrame:
+    """``financial_commitments`` from the figures per department and product."""
     named = attach_dimension(per_product, departments, "department_id", ["department_name", "market"])
     named = attach_dimension(named, products, "product_card_id", ["category_name"])
     return named.select(
@@ -124,15 +132,24 @@ def inventory_by_age(
     Amounts come as double and, in ``*_exact``, as decimal where a decimal holds them.
     """
     orders = orders.withColumn("_ts", order_time(orders, lenient=lenient_dates))
-    age = age_bucket(whole_days_between("_ts", as_of_column(as_of))).alias("age_range")
-    return orders.groupBy(*month_columns("_ts"), age).agg(
+    return orders.groupBy(*month_columns("_ts"), age_range("_ts", as_of)).agg(*inventory_sums())
+
+
+def age_range(ts: Column | str, as_of: Column | dt.datetime | str | None = None) -> Column:
+    """Age range of a time at ``as_of``."""
+    return age_bucket(whole_days_between(ts, as_of_column(as_of))).alias("age_range")
+
+
+def inventory_sums() -> list[Column]:
+    """Aggregates of the inventory report over orders, to be added up further."""
+    return [
         exact_sum_product("order_item_product_price", "order_item_quantity").alias("value"),
         decimal_sum_product("order_item_product_price", "order_item_quantity").alias("value_exact"),
         exact_sum("order_item_total").alias("sales"),
         decimal_sum("order_item_total").alias("sales_exact"),
         F.sum("order_item_quantity").alias("quantity"),
         F.count("order_item_quantity").alias("quantities"),
-    )
+    ]
 
 
 def inventory_levels(
@@ -145,6 +162,11 @@ def inventory_levels(
     Orders are aggregated once, by month and age range. The monthly figures are
     added up from those few rows and rounded last. ``as_of`` defaults to now.
     """
+    return inventory_report(inventory_by_age(orders, as_of, lenient_dates))
+
+
+def inventory_report(by_age: DataFrame) -> DataFrame:
+    """``inventory_levels`` from the sums per month and age range."""
     _, value = sum_of_parts("value_exact", "value")
     sales_exact, sales = sum_of_parts("sales_exact", "sales")
     # Sales over mean quantity, as one division; of doubles where a decimal has no room for the product.
@@ -155,8 +177,7 @@ def inventory_levels(
         F.round(safe_divide(sales * counted.cast("double"), F.sum("quantity").cast("double")), 2),
     )
     per_month = (
-        inventory_by_age(orders, as_of, lenient_dates)
-        .groupBy(*MONTH_KEYS)
+        by_age.groupBy(*MONTH_KEYS)
         .agg(
             F.round(value, 2).alias("total_inventory_value"),
             turnover.alias("inventory_turnover_ratio"),
@@ -199,12 +220,21 @@ def overall_performance(orders: DataFrame, shipping: DataFrame, lenient_dates: b
 
     ``avg_profit_margin`` is the mean profit per order, not a ratio.
     """
-    monthly = by_month(orders, lenient=lenient_dates).agg(
+    return performance_report(monthly_performance(orders, lenient_dates), shipment_averages(shipping))
+
+
+def monthly_performance(orders: DataFrame, lenient_dates: bool = False) -> DataFrame:
+    """Sales and mean profit per month."""
+    return by_month(orders, lenient=lenient_dates).agg(
         F.round(exact_sum("order_item_total"), 2).alias("total_sales"),
         exact_avg("order_profit_per_order", digits=2).alias("avg_profit_margin"),
     )
+
+
+def performance_report(monthly: DataFrame, averages: DataFrame) -> DataFrame:
+    """``overall_performance`` from monthly figures and the one row of shipping averages."""
     return (
-        attach_totals(with_month_name(monthly), shipment_averages(shipping))
+        attach_totals(with_month_name(monthly), averages)
         .orderBy(*MONTH_KEYS)
         .select(
             "year",

@@ -1,0 +1,176 @@
+import os
+
+import pytest
+from checks.deliveries import AGAIN, LATE, deliveries
+from checks.fixture import AS_OF, flat_orders
+from helpers import rows
+from pyspark.sql import functions as F
+
+from freightloom.functions import parse_order_ts
+from freightloom.plans import deliveries as plan
+from freightloom.plans import marts
+from freightloom.plans.deliveries import distinct_customers, merge_delivery
+from freightloom.plans.staging import stage
+from freightloom.schema import TABLES
+from freightloom.sources import snapshots
+from freightloom.sources.snapshots import SnapshotStore
+
+DATE = "order date (DateOrders)"
+CUT = "1997-06-01"
+MARTS = ("customer_retention_rate", "financial_commitments", "inventory_levels", "overall_performance", "payment_delays")
+
+
+def half_a_year(flat):
+    """The orders of some months, which are enough here."""
+    return flat.where(F.date_format(parse_order_ts(DATE), "yyyy-MM").between("1997-02", "1997-07"))
+
+
+def want(flat, lenient=False):
+    staged = {name: stage(flat, name) for name in ("order", "shipping", "product", "department")}
+    return marts.build_marts(staged, as_of=AS_OF, lenient_dates=lenient)
+
+
+def check(store, flat, lenient=False):
+    expected = want(flat, lenient)
+    for name in MARTS:
+        assert rows(store.read(name)) == rows(expected[name]), name
+    for name in ("order", "shipping", "product", "department"):
+        assert rows(stage(store.read(name), TABLES[name], unique=True)) == rows(stage(flat, name)), name
+
+
+def modified(store, table):
+    """Modification times of the files of each part."""
+    return {
+        p.part: sorted((f.name, os.stat(f).st_mtime_ns) for f in os.scandir(p.folder.removeprefix("file:")) if f.name.endswith(".parquet"))
+        for p in store.parts() if p.table == table
+    }
+
+
+@pytest.fixture(scope="module")
+def parts(spark, sf_dir):
+    return [half_a_year(d).cache() for d in deliveries(spark, sf_dir, CUT)]
+
+
+@pytest.fixture(scope="module")
+def store(spark, parts, tmp_path_factory):
+    store = SnapshotStore(spark, str(tmp_path_factory.mktemp("published")), keep=20)
+    for part in parts:
+        merge_delivery(spark, store, part, as_of=AS_OF)
+    return store
+
+
+def test_two_deliveries_give_what_one_gives(spark, store, parts, sf_dir):
+    check(store, half_a_year(flat_orders(spark, sf_dir, customers=True)))
+    assert store.read("customer").count() == parts[0].unionAll(parts[1]).select("Customer Id").distinct().count()
+
+
+def test_only_touched_months_are_rewritten(spark, store, parts, sf_dir):
+    flat = half_a_year(flat_orders(spark, sf_dir, customers=True))
+    month = F.date_format(F.to_timestamp_ntz(DATE, F.lit("M/d/yyyy H:mm")), "yyyy-MM")
+    some = flat.filter((month == LATE) | (month == AGAIN))
+    changed = some.withColumn("Order Item Id", F.when(month == LATE, F.lit("0")).otherwise(F.col("Order Item Id"))).withColumn(
+        "Order Item Total", F.when(month == LATE, F.lit("1.00")).otherwise(F.col("Order Item Total"))
+    )
+    before = {name: modified(store, name) for name in ("order", *plan.MONTHLY_PARTS)}
+    written = merge_delivery(spark, store, changed, as_of=AS_OF)
+    assert written["order"] == [LATE]  # the other month was delivered as it is kept
+    assert written["department"] == written["product"] == written["customer"] == []
+    for name in ("order", *plan.MONTHLY_PARTS):
+        after = modified(store, name)
+        assert set(after) == set(before[name]) and [k for k in after if after[k] != before[name][k]] == [LATE], name
+    check(store, flat.unionAll(changed))
+
+
+def test_an_order_that_moves_to_another_month(spark, tmp_path):
+    base = {c: "1" for c in ("Order Id", "Order Customer Id", "Order Item Id", "Product Card Id", "Department Id", "Order Item Quantity")}
+    base |= {"Order Item Total": "5.5", "Order Item Product Price": "5.5", "Order Profit Per Order": "1.25", "Order Status": "COMPLETED"}
+    names = sorted({c for t in ("order", "shipping", "product", "department") for c in TABLES[t].raw_columns})
+
+    def record(**changes):
+        values = base | {DATE: "1/5/2018 9:03", "shipping date (DateOrders)": "1/8/2018 9:03"} | changes
+        return tuple(values.get(c, "x") for c in names)
+
+    store = SnapshotStore(spark, str(tmp_path))
+    schema = ", ".join(f"`{c}` string" for c in names)
+    first = spark.createDataFrame(
+        [record(**{"Order Item Id": "2"}), record(**{"Order Id": "2", "Order Item Id": "2", DATE: "2/5/2018 9:03"}), record(**{"Order Id": "no number"})], schema
+    )
+    merge_delivery(spark, store, first, as_of=AS_OF)
+    # Order 1 moves to March with its better record; order 2 is the only one of February and moves away too.
+    second = spark.createDataFrame(
+        [record(**{DATE: "3/1/2018 0:00"}), record(**{"Order Id": "2", DATE: "3/2/2018 23:59"}), record(**{"Order Id": "no number", "Order Item Id": "0"})], schema
+    )
+    written = merge_delivery(spark, store, second, as_of=AS_OF)
+    assert written["order"] == ["2018-01", "2018-02", "2018-03"]
+    check(store, first.unionAll(second))
+    assert {p.part for p in store.parts() if p.table == "month_products"} == {"2018-01", "2018-03"}
+    assert {r.month_label for r in store.read("month_figures").collect()} == {"2018-01", "2018-03"}
+    # A worse record changes nothing.
+    third = spark.createDataFrame([record(**{"Order Id": "2", "Order Item Id": "9", DATE: "2/5/2018 9:03"})], schema)
+    assert merge_delivery(spark, store, third, as_of=AS_OF)["order"] == []
+    check(store, first.unionAll(second).unionAll(third))
+
+
+def test_deliveries_in_any_order_with_null_keys_and_dates(spark, sf_dir, tmp_path):
+    number = F.pmod(F.xxhash64("Order Id"), F.lit(30))
+    flat = half_a_year(flat_orders(spark, sf_dir, customers=True))
+    flat = flat.withColumn(DATE, F.when(number == 0, None).when(number == 1, "no date").otherwise(F.col(DATE)))
+    flat = flat.withColumn("Order Id", F.when(number == 2, None).otherwise(F.col("Order Id"))).cache()
+    side = F.pmod(F.xxhash64("Order Item Id", "Product Card Id"), F.lit(3))
+    store = SnapshotStore(spark, str(tmp_path))
+    for k in (2, 0, 1):
+        merge_delivery(spark, store, flat.where(side == k), as_of=AS_OF, lenient_dates=True)
+    check(store, flat, lenient=True)
+    versions = store.version()
+    written = merge_delivery(spark, store, flat.where(side == 0), as_of=AS_OF, lenient_dates=True)
+    assert not any(written.values()) and store.version() == versions + 1
+    check(store, flat, lenient=True)
+
+
+def test_a_run_that_dies_at_any_step_leaves_the_old_version(spark, parts, tmp_path, monkeypatch):
+    store = SnapshotStore(spark, str(tmp_path))
+    merge_delivery(spark, store, parts[0], as_of=AS_OF)
+    before = {name: rows(store.read(name)) for name in MARTS}
+    held = store.parts()
+    write, step = snapshots.Draft.write, [0]
+
+    class Killed(Exception):
+        pass
+
+    for dies_at in (1, 4, 7, 11):
+        step[0] = 0
+
+        def dying(self, *args, **kwargs):
+            step[0] += 1
+            if step[0] == dies_at:
+                raise Killed
+            return write(self, *args, **kwargs)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(snapshots.Draft, "write", dying)
+            with pytest.raises(Killed):
+                merge_delivery(spark, store, parts[1], as_of=AS_OF)
+        assert store.version() == 1 and store.parts() == held
+    assert {name: rows(store.read(name)) for name in MARTS} == before
+    merge_delivery(spark, store, parts[1], as_of=AS_OF)
+    check(store, parts[0].unionAll(parts[1]))
+    runs = snapshots._FileSystem(spark, store.root).children(f"{store.root}/data")
+    assert len(runs) == 2  # what the dead runs wrote is gone
+
+
+def test_sketches_of_months_are_merged(spark, store, sf_dir):
+    orders = stage(store.read("order"), TABLES["order"], unique=True).withColumn("m", F.date_format(F.to_timestamp_ntz("order_date", F.lit("M/d/yyyy H:mm")), "yyyy-MM"))
+    for start, end in ((None, None), ("1997-03", "1997-05"), ("1997-02", "1997-02")):
+        kept = orders if start is None else orders.where(F.col("m").between(start, end))
+        exact = kept.agg(F.count_distinct("order_customer_id")).first()[0]
+        assert distinct_customers(store, start, end).first()[0] == pytest.approx(exact, rel=0.05)
+    assert distinct_customers(store, "1800-01", "1800-02").first()[0] == 0
+
+
+def test_a_delivery_without_orders_or_into_nothing(spark, sf_dir, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    flat = half_a_year(flat_orders(spark, sf_dir))
+    merge_delivery(spark, store, flat.where("false"), as_of=AS_OF)
+    assert store.version() is None  # no part, no version
+    merge_delivery(spark, store, flat, as_of=AS_OF)
+    check(store, flat)
