@@ -9,11 +9,13 @@ are filled one after the other: a seed document, then the unused documents that
 retrieve, best first, then those that its other terms do, until the window is full. A document that does not
 fit is cut at the window's end and its rest opens the next window, so only a shard's last window is padded.
 When a seed retrieves nothing unused, the next unused document in the shard's order is the new seed within the
-same window.
+same window. Of a row that is repeated, as a mixture repeats its documents, no two copies share a window as
+long as the shard has anything else to put there.
 
 Retrieval itself does not leave a shard: of two related documents whose rarest shared terms differ, neither
 finds the other if they lie in different shards. A task holds one shard at a time, and no shard holds more
-than ``shard_bytes`` and one document, however often a row is repeated. Rows are sorted, so a retried task
+than ``shard_bytes`` (a document counts ``DOC_BYTES`` besides its text) and one document, however often a row
+is repeated. Rows are sorted, so a retried task
 packs them alike.
 """
 
@@ -26,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -35,6 +37,7 @@ from .tokens import END_ID, VOCABULARY, encode_all
 
 WINDOW = 4096
 SHARD_BYTES = 4 << 20
+DOC_BYTES = 64
 #: Highest-weighted terms of a seed that make its first query; its other terms make the second.
 QUERY_TERMS = 24
 #: Rarest terms by which documents are sorted into shards.
@@ -129,10 +132,18 @@ class Index:
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def pack(documents: list[np.ndarray], window: int = WINDOW, corpus: Statistics | None = None) -> Iterator[tuple[int, int, int, int, int]]:
-    """``(document, start, length, sequence, offset)`` of every piece; each id lies in exactly one piece."""
+def pack(
+    documents: list[np.ndarray], window: int = WINDOW, corpus: Statistics | None = None, alike: list[int] | None = None
+) -> Iterator[tuple[int, int, int, int, int]]:
+    """``(document, start, length, sequence, offset)`` of every piece; each id lies in exactly one piece.
+
+    Documents with the same number in ``alike`` do not share a window while others are left.
+    """
     if not documents:
         return
+    alike = list(range(len(documents))) if alike is None else alike
+    here: set[int] = set()  # numbers of what the window holds
+    only_alike = False  # nothing else is left for this window
     index, used = Index(documents, corpus), np.zeros(len(documents), bool)
     sequence, filled, next_unused = 0, 0, 0
     rest: tuple[int, int] | None = None  # document and how many of its ids are placed
@@ -145,14 +156,17 @@ def pack(documents: list[np.ndarray], window: int = WINDOW, corpus: Statistics |
 
     while True:
         if rest is None:
-            doc = next((int(d) for d in queue if not used[d]), None)
+            doc = next((int(d) for d in queue if not used[d] and alike[d] not in here), None)
             if doc is None:
                 while next_unused < len(documents) and used[next_unused]:
                     next_unused += 1
                 if next_unused == len(documents):
                     return
                 doc = next_unused
-                queue = unused(doc)
+                if alike[doc] in here and not only_alike:
+                    doc = next((d for d in range(doc, len(documents)) if not used[d] and alike[d] not in here), doc)
+                    only_alike = doc == next_unused
+                queue = iter(()) if only_alike else unused(doc)
             used[doc] = True
             rest = (doc, 0)
         doc, start = rest
@@ -160,17 +174,19 @@ def pack(documents: list[np.ndarray], window: int = WINDOW, corpus: Statistics |
             queue = unused(doc)  # what is left of a cut document seeds the next window
         length = min(window - filled, len(documents[doc]) - start)
         yield doc, start, length, sequence, filled
+        here.add(alike[doc])
         filled += length
         rest = (doc, start + length) if start + length < len(documents[doc]) else None
         if filled == window:
-            sequence, filled = sequence + 1, 0
+            sequence, filled, only_alike = sequence + 1, 0, False
+            here.clear()
             if rest is None:
                 queue = iter(())
 
 
 def packed(
     docs: DataFrame, text: str = "text", id_column: str = "doc_id", vocabulary: str = VOCABULARY, end_id: int = END_ID,
-    window: int = WINDOW, shard_bytes: int = SHARD_BYTES, order: Column | None = None,
+    window: int = WINDOW, shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
@@ -212,29 +228,30 @@ def packed(
                 places.append(np.sort(ranks[ranks < len(shared)]).astype(">u4").tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(places, pa.binary())], [*names, "place"])
 
-    shards = (documents.agg(F.sum("size")).first()[0] or 0) // shard_bytes + 1
+    shards = (documents.agg(F.sum(F.col("size") + DOC_BYTES)).first()[0] or 0) // shard_bytes + 1
     parts = min(int(shards), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order_by = ["place", "tie", "row"]
     placed = documents.mapInArrow(place, f"id {kind}, tie long, row long, size long, ids binary, place binary")
-    dealt = placed.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by).select("id", "size", "ids")
+    dealt = placed.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by).select("id", "tie", "size", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, shard, size, ids, held = TaskContext.get().partitionId(), 0, 0, [], []
+        part, shard, size, ids, ties, held = TaskContext.get().partitionId(), 0, 0, [], [], []
 
         def close() -> pa.RecordBatch:
             number = shard << 17 | part
-            pieces = [(ids[d], s, n, zlib.crc32(held[d][s : s + n].astype("<u4").tobytes()), len(held[d]), (number << 32) + q, o) for d, s, n, q, o in pack(held, window, corpus)]
+            pieces = [(ids[d], s, n, zlib.crc32(held[d][s : s + n].astype("<u4").tobytes()), len(held[d]), (number << 32) + q, o) for d, s, n, q, o in pack(held, window, corpus, ties)]
             kinds = [batch.column(0).type, *[pa.int64()] * 6]
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*pieces), kinds)], names)
 
         for batch in batches:
-            for key, bytes_, document in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _documents(batch.column(2), dtype)):
-                if held and size + bytes_ > shard_bytes:
+            for key, tie, bytes_, document in zip(*(c.to_pylist() for c in batch.columns[:3]), _documents(batch.column(3), dtype)):
+                if held and size + bytes_ + DOC_BYTES > shard_bytes:
                     yield close()
-                    shard, size, ids, held = shard + 1, 0, [], []
-                size += bytes_
+                    shard, size, ids, ties, held = shard + 1, 0, [], [], []
+                size += bytes_ + DOC_BYTES
                 ids.append(key)
+                ties.append(tie)
                 held.append(document)
         if held:
             yield close()

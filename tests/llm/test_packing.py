@@ -147,3 +147,31 @@ def test_a_row_repeated_often_fills_several_shards(spark):
     docs = spark.createDataFrame([(1, "the same words again and again")] * 400, "doc_id long, text string").repartition(4)
     found = packing.packed(docs, shard_bytes=2000).collect()
     assert len({r.sequence_id >> 32 for r in found}) >= 6 and sum(r.length for r in found) == 400 * found[0].doc_tokens
+
+
+def test_copies_do_not_share_a_window():
+    """Two readings of each document, as a mixture has them, lie in different windows."""
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(0, 300, rng.integers(5, 40)) for _ in range(60)]
+    documents, alike = texts + texts, [*range(60), *range(60)]
+    windows = {}
+    for doc, _, _, sequence, _ in packing.pack(documents, 128, alike=alike):
+        windows.setdefault(sequence, []).append((alike[doc], doc))
+    shared = [q for q, held in windows.items() if len({a for a, _ in held}) < len({d for _, d in held})]
+    assert len(windows) > 15 and set(shared) <= set(sorted(windows)[-2:])  # at the end there may be nothing else
+
+
+def test_many_copies_and_empty_texts_take_linear_time():
+    import time
+
+    begin = time.perf_counter()
+    same = [np.array([2], np.uint16)] * 60_000
+    pieces = list(packing.pack(same, 4096, alike=[0] * len(same)))
+    assert len(pieces) == 60_000 and time.perf_counter() - begin < 30
+
+
+def test_a_shard_of_empty_texts_is_bounded(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "cast(null as string) as text").coalesce(1)
+    found = packing.packed(docs, shard_bytes=packing.DOC_BYTES * 500).collect()
+    assert len(found) == 3000
+    assert max(sum(r.sequence_id >> 32 == s for r in found) for s in {r.sequence_id >> 32 for r in found}) <= 500
