@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from freightloom.operators import profile
 from freightloom.operators.dedup import duplicate_groups
-from freightloom.operators.order_statistics import column_extents, values_at_ranks
+from freightloom.operators.order_statistics import column_edges, column_extents, values_at_ranks
 from freightloom.sources import write_data_dictionary
 from freightloom.session import scratch_dir
 
@@ -115,26 +115,30 @@ def quantiles_extreme(spark, sf_dir):
         F.concat(F.lit("1e"), (F.col("l_partkey") % 500 - 250).cast("string")).cast("double") * F.col("l_linenumber")
     )
     values = line_items(spark, sf_dir).select(spread.alias("v"))
-    extents = column_extents(values, ["v"])
+    extents, edges = column_extents(values, ["v"]), column_edges(values, ["v"])
     # Rank of the smallest value that at least the share p of all values does not exceed.
     ranks = {p: max(0, math.ceil(p * extents["v"][0]) - 1) for p in (0.25, 0.5, 0.999)}
-    found = values_at_ranks(values, {"v": list(ranks.values())}, extents)
+    found = values_at_ranks(values, {"v": list(ranks.values())}, extents, edges)
     rows = [("v", p, found["v", rank]) for p, rank in ranks.items()]
     return spark.createDataFrame(rows, "column string, probability double, quantile double")
 
 
-@query("profile_numeric_without_numbers", """SELECT 'x' AS "column", CAST(0 AS BIGINT) AS count, 0.0::DOUBLE AS mean, 0.0::DOUBLE AS std,
-    0.0::DOUBLE AS min, 0.0::DOUBLE AS q25, 0.0::DOUBLE AS median, 0.0::DOUBLE AS q75, 0.0::DOUBLE AS max, 0.0::DOUBLE AS range,
-    0.0::DOUBLE AS iqr FROM part WHERE p_name IS NULL AND p_name IS NOT NULL""")
+@query("profile_numeric_without_numbers", """SELECT 'p_size' AS "column", COUNT(p_size) AS count, MIN(p_size)::DOUBLE AS min,
+    quantile_cont(p_size, 0.5)::DOUBLE AS median, MAX(p_size)::DOUBLE AS max FROM part""")
 def numeric_without_numbers(spark, sf_dir):
-    """A table of text columns has no numeric summary."""
-    return profile.numeric_summary(table(spark, sf_dir, "part").select("p_name", "p_brand"))
+    """Text columns have no numeric summary, so the one number among them is all there is."""
+    part = table(spark, sf_dir, "part")
+    none = profile.numeric_summary(part.select("p_name", "p_brand"), digits=None)
+    one = profile.numeric_summary(part.select("p_name", "p_size", "p_brand"), digits=None)
+    return none.unionByName(one).select("column", "count", "min", "median", "max")
 
 
-@query("profile_distinct_without_text", """SELECT 'x' AS "column", CAST(0 AS BIGINT) AS distinct_values FROM part
-    WHERE p_name IS NULL AND p_name IS NOT NULL""")
+@query("profile_distinct_without_text", """SELECT 'p_brand' AS "column", COUNT(DISTINCT p_brand) AS distinct_values FROM part""")
 def distinct_without_text(spark, sf_dir):
-    return profile.distinct_counts(table(spark, sf_dir, "part").select("p_partkey", "p_size"))
+    """Numbers are not counted unless they are asked for, so the one text among them is all there is."""
+    part = table(spark, sf_dir, "part")
+    none = profile.distinct_counts(part.select("p_partkey", "p_size"))
+    return none.unionByName(profile.distinct_counts(part.select("p_partkey", "p_brand", "p_size")))
 
 
 TEXT_PART_COLUMNS = ("p_name", "p_brand", "p_type")

@@ -8,6 +8,7 @@ from freightloom.functions import parse_order_ts
 from freightloom.operators import quality
 from freightloom.operators.projection import union_all_by_name
 from freightloom.schema import TABLES
+from freightloom.session import scratch_dir
 
 from .fixture import AS_OF, named_orders, staged, table
 from .profile import GAPPY, gappy_orders
@@ -118,3 +119,56 @@ def schema_contract(spark, sf_dir):
         .withColumnRenamed("shipping_mode", "carrier")
     )
     return quality.schema_contract(drifted, TABLES["shipping"].staged_schema)
+
+
+def _order_rules():
+    return {
+        "order has an id": quality.rule_not_null("o_orderkey"),
+        "total is a number": quality.rule_castable("o_totalprice_text", "double"),
+        "customer is known": quality.rule_not_null("o_custkey"),
+        "total is positive": F.col("o_totalprice_text").try_cast("double") > 0,
+    }
+
+
+def _dirty_orders(spark, sf_dir):
+    """Orders with missing customers and unreadable totals by rule."""
+    total = F.col("o_totalprice").cast("decimal(14,2)").cast("string")
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 9 != 0, F.col("o_custkey")).alias("o_custkey"),
+        F.when(F.col("o_orderkey") % 11 == 0, F.lit("n/a")).when(F.col("o_orderkey") % 13 == 0, F.concat(F.lit("-"), total)).otherwise(total).alias("o_totalprice_text"),
+    )
+
+
+_DIRTY = """(SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END AS o_custkey,
+    CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' WHEN o_orderkey % 13 = 0 THEN '-' || CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR)
+    ELSE CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS VARCHAR) END AS t FROM orders)"""
+
+
+@query(
+    "dq_quarantine",
+    f"""SELECT o_orderkey, o_custkey, t AS o_totalprice_text, array_to_string(list_filter([
+        CASE WHEN TRY_CAST(t AS DOUBLE) IS NULL THEN 'total is a number' END,
+        CASE WHEN o_custkey IS NULL THEN 'customer is known' END,
+        CASE WHEN NOT coalesce(TRY_CAST(t AS DOUBLE) > 0, FALSE) THEN 'total is positive' END], lambda x: x IS NOT NULL), '; ') AS broken
+    FROM {_DIRTY} WHERE TRY_CAST(t AS DOUBLE) IS NULL OR o_custkey IS NULL OR TRY_CAST(t AS DOUBLE) <= 0""",
+)
+def quarantine(spark, sf_dir):
+    """Rows that break a rule, as they were set aside while the others were written."""
+    path, orders = scratch_dir(spark, "checked"), _dirty_orders(spark, sf_dir)
+    quality.write_checked(orders, _order_rules(), path)
+    aside = quality.read_checked(spark, path, orders.schema, quarantine=True)
+    return aside.withColumn("broken", F.array_join(quality.BROKEN, "; ")).drop(quality.BROKEN)
+
+
+@query(
+    "dq_rule_report",
+    f"""SELECT rule, n_rows, failures FROM (
+        SELECT 'order has an id' AS rule, COUNT(*) AS n_rows, COUNT(*) FILTER (o_orderkey IS NULL) AS failures FROM {_DIRTY}
+        UNION ALL SELECT 'total is a number', COUNT(*), COUNT(*) FILTER (t IS NOT NULL AND TRY_CAST(t AS DOUBLE) IS NULL) FROM {_DIRTY}
+        UNION ALL SELECT 'customer is known', COUNT(*), COUNT(*) FILTER (o_custkey IS NULL) FROM {_DIRTY}
+        UNION ALL SELECT 'total is positive', COUNT(*), COUNT(*) FILTER (NOT coalesce(TRY_CAST(t AS DOUBLE) > 0, FALSE)) FROM {_DIRTY})""",
+)
+def rule_report(spark, sf_dir):
+    """All rules of a table in one scan."""
+    return quality.rule_report(_dirty_orders(spark, sf_dir), _order_rules())

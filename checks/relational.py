@@ -357,6 +357,16 @@ def cap_text_key(spark, sf_dir):
     return capped(line_items(spark, sf_dir).select(order), 5_000, order)
 
 
+@query(
+    "limit_cap_hot_key",
+    """SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem
+    ORDER BY l_returnflag, l_orderkey, l_linenumber LIMIT 30000""",
+)
+def cap_hot_key(spark, sf_dir):
+    """The cap falls among the rows of a key that half of all rows share."""
+    return capped(line_items(spark, sf_dir).select("l_returnflag", "l_orderkey", "l_linenumber"), 30_000, ["l_returnflag"])
+
+
 @query(
     "limit_head",
     "SELECT c_custkey, c_name, c_mktsegment FROM customer ORDER BY c_custkey LIMIT 5",

@@ -15,8 +15,10 @@ from freightloom.streaming import (
     dedupe_stream,
     land,
     land_counted,
+    land_observed,
     landed_batches,
     landed_file_metrics,
+    observed_batches,
 )
 
 from .fixture import table
@@ -168,3 +170,25 @@ def batch_metrics(spark, sf_dir):
         F.sum("n_rows").alias("rows_landed"), F.max("n_columns").alias("n_columns")
     )
     return attach_totals(landed, counted)
+
+
+@query(
+    "stream_observed_metrics",
+    """SELECT COUNT(*) AS n_rows, COUNT(value) AS n_values, MIN(ts) AS first_ts, MAX(ts) AS last_ts, CAST(20 AS BIGINT) AS batches
+    FROM (SELECT event_id, ts, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)""",
+)
+def observed_metrics(spark, sf_dir):
+    """Counts and extremes taken while twenty micro-batches are written, with a restart in between."""
+    folder = scratch_dir(spark, "events-in")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
+    parts = events.withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(20))).repartition("part")
+    path, metrics, checkpoint = (scratch_dir(spark, p) for p in ("landed", "metrics", "checkpoint"))
+    measures = {"n_values": F.count("value"), "first_ts": F.min("ts"), "last_ts": F.max("ts")}
+    for half in (F.col("part") < 12, F.col("part") >= 12):
+        parts.filter(half).write.mode("append").partitionBy("part").parquet(folder)
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+        land_observed(stream, path, metrics, checkpoint, measures).awaitTermination()
+    return observed_batches(spark, metrics).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_values").alias("n_values"), F.min("first_ts").alias("first_ts"),
+        F.max("last_ts").alias("last_ts"), F.count("*").alias("batches"),
+    )

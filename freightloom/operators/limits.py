@@ -8,7 +8,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .dedup import PORTION
 from .projection import quoted
 
 # Keys sampled per round, and how many of them are counted against.
@@ -44,7 +46,9 @@ def capped(df: DataFrame, n: int | None, order_by: Sequence[str]) -> DataFrame:
     the n-th row is closed in on: rows are counted against keys from a small
     sample, and what lies strictly between two of them is looked at next, until
     it is as small as a sample or all of one key. Rows before it are kept by a
-    filter, and only those few are put in order. Runs jobs right away: a count,
+    filter, and only those few are put in order. Rows of one key are closed in on
+    the same way by their other columns, so a key of any number of rows stays
+    spread over its tasks. Runs jobs right away: a count,
     and a sample and a count per round, each of which leaves about a hundredth
     of the rows, so store an expensive input first. Order columns may have any
     type that has an order.
@@ -76,10 +80,30 @@ def capped(df: DataFrame, n: int | None, order_by: Sequence[str]) -> DataFrame:
         part = next((i for i in range(1, len(ends)) if ends[i] >= n), len(ends) - 1)
         if part % 2 == 0:  # the n-th row has a pivot's key, as have all rows of this part
             pivot = pivots[part // 2 - 1]
-            same = df.filter(key == literal(pivot)).limit(n - ends[part - 1])
+            same = _of_one_key(df.filter(key == literal(pivot)), n - ends[part - 1], order_by)
             return df.filter(key < literal(pivot)).unionByName(same)
         low, high = pivots[part // 2 - 1] if part > 1 else low, pivots[part // 2] if part // 2 < len(pivots) else high
         before, rows = ends[part - 1], ends[part] - ends[part - 1]
     if before + rows <= n and high is None:
         return df
     return cut(between().orderBy(*[F.col(quoted(c)) for c in order_by]).limit(n - before))
+
+
+def _of_one_key(same: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``n`` of rows with equal ``order_by``, by their other columns.
+
+    Rows equal in all columns are one row, written out ``n`` times in portions. Columns without an order, such
+    as maps, do not tell rows apart; where there are any, as where few rows are wanted, a plain limit ends it.
+    """
+    plain = [f.name for f in same.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    rest = [c for c in same.columns if c not in order_by and c in plain]
+    if n <= SAMPLE_KEYS:
+        return same.orderBy(*[F.col(quoted(c)) for c in rest]).limit(n) if rest else same.limit(n)
+    if rest:
+        return capped(same, n, [*order_by, *rest])
+    if len(plain) < len(same.columns):
+        return same.limit(n)
+    starts = F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"), F.lit(PORTION).cast("bigint"))
+    spread = same.limit(1).withColumn("_from", F.explode(starts)).repartition("_from")
+    upto = F.least(F.col("_from") + PORTION, F.lit(n).cast("bigint")) - 1
+    return spread.withColumn("_copy", F.explode(F.sequence("_from", upto))).drop("_from", "_copy")

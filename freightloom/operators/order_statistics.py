@@ -1,21 +1,27 @@
 """Exact order statistics of columns of any size and distribution.
 
 ``percentile`` keeps every distinct value of a group in one task. Here a wanted
-rank is closed in on instead: a quantile sketch of what may still hold it gives
-two values around it, one count says where the rank lies relative to them, and
-what lies strictly between is looked at next. A round costs two aggregations
-and leaves a few thousandths of the values, or none. Values at which the rank
+rank is closed in on instead: a quantile sketch of each column gives two values
+around every rank; one count of all
+columns tells how many values lie before these cuts, and a filter brings the few
+values around the ranks along. That is three scans for all columns and ranks. Of columns so
+large that more than ``CARRIED`` values lie around a rank, what lies strictly
+between two cuts is looked at in further rounds, of two aggregations each,
+that leave a few thousandths of the values, or none. Values at which the rank
 falls are found as such, so repeated values, infinities and any spread of
 magnitudes take the same path, and no task ever holds the values of a column.
 """
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
+import functools
 import math
+import operator
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .projection import quoted
@@ -23,6 +29,10 @@ from .projection import quoted
 # The sketch errs by at most n / ACCURACY ranks; it is asked for GRID + 1 evenly spaced quantiles.
 ACCURACY = 4_000
 GRID = 2_000
+# Values around a rank that are brought to the driver to be put in order.
+CARRIED = 1 << 14
+# Brackets counted in one job; generated code takes no more than a hundred results at once. A job scans its columns alone.
+BRACKETS = 24
 
 
 @dataclasses.dataclass(frozen=True)
@@ -71,14 +81,11 @@ def _brackets(df: DataFrame, spans: Sequence[_Span]) -> list[tuple[float, float]
     """For each span two values of it between which its rank lies, as far as the sketch can tell."""
     keys = sorted({s.key for s in spans})
     found = _in_ranges(df, [(i, *k) for i, k in enumerate(keys)], "number int, at int, low double, high double")
-    grid = F.percentile_approx("value", [k / GRID for k in range(GRID + 1)], ACCURACY)
-    edges = {row["number"]: row["edges"] for row in found.groupBy("number").agg(grid.alias("edges")).collect()}
+    edges = {row["number"]: row["edges"] for row in found.groupBy("number").agg(edges_of(F.col("value")).alias("edges")).collect()}
     brackets = []
     for span in spans:
         own = edges[keys.index(span.key)]
-        share = (span.rank - span.below + 0.5) / span.rows
-        first = max(0, math.floor((share - 2 / ACCURACY) * GRID))
-        last = min(GRID, math.ceil((share + 2 / ACCURACY) * GRID))
+        first, last = _bracket(own, span.rank - span.below, span.rows)
         brackets.append((own[first], own[last]))
     return brackets
 
@@ -121,23 +128,112 @@ def _narrow(df: DataFrame, spans: Sequence[_Span]) -> list[_Span]:
 
 
 Extents = dict[str, tuple[int, float, float]]
+#: Evenly spaced quantiles of a column as a sketch has them.
+Edges = dict[str, Sequence[float]]
+
+
+def edges_of(value: Column) -> Column:
+    """Aggregate: a column's evenly spaced quantiles, as far as the sketch can tell."""
+    # As one expression: a literal for each share would be a call to the JVM for each.
+    shares = ", ".join(f"{k / GRID!r}D" for k in range(GRID + 1))
+    return F.percentile_approx(value, F.expr(f"array({shares})"), ACCURACY)
+
+
+def _number(df: DataFrame, column: str) -> Column:
+    number = F.col(quoted(column)).cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def column_extents(df: DataFrame, columns: Sequence[str]) -> Extents:
     """Count, smallest and largest value of each column, missing values left out."""
     aggregates = [F.lit(0).alias("_none")]
     for i, c in enumerate(columns):
-        number = F.col(quoted(c)).cast("double")
-        value = F.when(~F.isnan(number), number)
-        aggregates += [
-            F.count(value).alias(f"n{i}"), F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}")
-        ]
+        value = _number(df, c)
+        aggregates += [F.count(value).alias(f"n{i}"), F.min(value).alias(f"low{i}"), F.max(value).alias(f"high{i}")]
     row = df.agg(*aggregates).first()
     return {c: (row[f"n{i}"], row[f"low{i}"], row[f"high{i}"]) for i, c in enumerate(columns)}
 
 
-def values_at_ranks(df: DataFrame, ranks: dict[str, Sequence[int]], extents: Extents) -> dict[tuple[str, int], float]:
-    """The values at zero-based ranks of columns, by column and rank. Runs jobs right away."""
+def column_edges(df: DataFrame, columns: Sequence[str]) -> Edges:
+    """Quantile edges of columns that have values; one scan.
+
+    Kept apart from other aggregates, which generated code computes only where there is no sketch among them.
+    """
+    if not columns:
+        return {}
+    row = df.agg(*[edges_of(_number(df, c)).alias(f"e{i}") for i, c in enumerate(columns)]).first()
+    return {c: row[f"e{i}"] for i, c in enumerate(columns)}
+
+
+def _bracket(own: Sequence[float], rank: int, rows: int) -> tuple[int, int]:
+    """Places among the edges of a column's ``rows`` values between which a rank of it lies."""
+    share = (rank + 0.5) / rows
+    return max(0, math.floor((share - 2 / ACCURACY) * GRID)), min(GRID, math.ceil((share + 2 / ACCURACY) * GRID))
+
+
+def _located(df: DataFrame, spans: Sequence[_Span], edges: Edges) -> list[_Span]:
+    """Spans of whole columns whose rank falls on a cut, or among the few values around it, are found.
+
+    One scan counts the values before and up to each cut, another brings what lies around the ranks along; plain
+    counts and filters, which generated code computes.
+    """
+    wanted: dict[str, list[tuple[int, int]]] = {}
+    for span in spans:
+        wanted.setdefault(span.column, []).append(_bracket(edges[span.column], span.rank, span.rows))
+    # Brackets of neighbouring ranks overlap, and are looked at as one.
+    brackets: dict[str, list[tuple[float, float]]] = {}
+    near: dict[str, set[tuple[float, float]]] = {}
+    rows = {span.column: span.rows for span in spans}
+    for column, places in wanted.items():
+        joined: list[list[int]] = []
+        for first, last in sorted(places):
+            if joined and first <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], last)
+            else:
+                joined.append([first, last])
+        for first, last in joined:
+            own = (edges[column][first], edges[column][last])
+            brackets.setdefault(column, []).append(own)
+            if own[0] < own[1] and ((last - first) / GRID + 2 / ACCURACY) * rows[column] <= CARRIED:
+                near.setdefault(column, set()).add(own)
+    every = [(column, *own) for column in sorted(brackets) for own in brackets[column]]
+    counted: dict[tuple[str, float, float], list[int]] = {}
+    for start in range(0, len(every), BRACKETS):
+        part = every[start : start + BRACKETS]
+        tests = [t for column, left, right in part for v in [_number(df, column)] for t in (v < left, v <= left, v < right, v <= right)]
+        found = list(df.agg(*[F.count_if(t).alias(f"_{i}") for i, t in enumerate(tests)]).first())
+        counted |= {key: found[4 * i : 4 * i + 4] for i, key in enumerate(part)}
+    columns = sorted(near)
+    inside = {c: functools.reduce(operator.or_, [(_number(df, c) > a) & (_number(df, c) < b) for a, b in sorted(near[c])]) for c in columns}
+    values: dict[str, list[float]] = {c: [] for c in columns}
+    if columns:
+        pairs = [F.struct(F.lit(i).alias("position"), F.when(inside[c], _number(df, c)).alias("value")) for i, c in enumerate(columns)]
+        few = df.where(functools.reduce(operator.or_, inside.values())).select(F.inline(F.array(*pairs))).where("value is not null")
+        for row in few.collect():
+            values[columns[row.position]].append(row.value)
+    for held in values.values():
+        held.sort()
+
+    def at(span: _Span) -> float | None:
+        for left, right in brackets[span.column]:
+            before, upto, below_right, upto_right = counted[span.column, left, right]
+            if before <= span.rank < upto:
+                return left
+            if below_right <= span.rank < upto_right:
+                return right
+            if upto <= span.rank < below_right and (left, right) in near.get(span.column, ()):
+                held = values[span.column]
+                return held[bisect.bisect_right(held, left) + span.rank - upto]
+        return None
+
+    located = [(span, at(span)) for span in spans]
+    return [span if value is None else dataclasses.replace(span, low=value, high=value) for span, value in located]
+
+
+def values_at_ranks(
+    df: DataFrame, ranks: dict[str, Sequence[int]], extents: Extents, edges: Edges | None = None
+) -> dict[tuple[str, int], float]:
+    """The values at zero-based ranks of columns, by column and rank. Runs jobs right away; with ``edges`` mostly one."""
     spans = [
         _Span(column, rank, low, high, 0, n)
         for column, wanted in ranks.items()
@@ -145,6 +241,10 @@ def values_at_ranks(df: DataFrame, ranks: dict[str, Sequence[int]], extents: Ext
         for rank in sorted(set(wanted))
         if 0 <= rank < n
     ]
+    wide = [s for s in spans if s.low < s.high]
+    if edges is not None and wide:
+        at = {(s.column, s.rank): s for s in _located(df, wide, edges)}
+        spans = [at.get((s.column, s.rank), s) for s in spans]
     while open_spans := [s for s in spans if s.low < s.high]:
         narrowed = {(s.column, s.rank): s for s in _narrow(df, open_spans)}
         spans = [narrowed.get((s.column, s.rank), s) for s in spans]
@@ -156,18 +256,20 @@ def exact_quantiles(
 ) -> DataFrame:
     """``(column, probability, quantile)``, linearly interpolated between neighbours.
 
-    Runs one small aggregation for the extents, unless they are given, and two
-    per round, of which there are about log(rows) / 6. Columns without any
+    Runs one small aggregation for the extents, unless they are given, one for
+    the sketches, one for the counts and a filter around all ranks; columns of more than
+    some million values take two more per further round. Columns without any
     value are absent from the result.
     """
     extents = extents or column_extents(df, columns)
+    edges = column_edges(df, [c for c in columns if extents[c][0]])
     positions = {
         (c, float(p)): p * (extents[c][0] - 1) for c in columns for p in probabilities if extents[c][0]
     }
     ranks: dict[str, list[int]] = {}
     for (column, _), position in positions.items():
         ranks.setdefault(column, []).extend((math.floor(position), math.ceil(position)))
-    at = values_at_ranks(df, ranks, extents)
+    at = values_at_ranks(df, ranks, extents, edges)
     rows = []
     for (column, p), position in positions.items():
         low, high = at[column, math.floor(position)], at[column, math.ceil(position)]

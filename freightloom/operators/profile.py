@@ -104,8 +104,8 @@ def numeric_summary(
 ) -> DataFrame:
     """Count, mean, sample standard deviation, extremes, quartiles, range and IQR.
 
-    Quartiles are exact and interpolated, for which the one-row aggregate runs
-    right away, unless ``approximate`` asks for Spark's sketch, which costs no
+    Quartiles are exact and interpolated, for which the one-row aggregate and
+    three more scans (further ones for very large columns) run right away, unless ``approximate`` asks for Spark's sketch, which costs no
     extra pass. ``digits=None`` leaves values unrounded.
     """
     columns = list(columns or numeric_columns(df))
@@ -290,8 +290,11 @@ def quality_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def data_dictionary(df: DataFrame) -> DataFrame:
-    """One row per column: type, counts, distinct values and printed extremes."""
+def data_dictionary(df: DataFrame, relative_error: float | None = None) -> DataFrame:
+    """One row per column: type, counts, distinct values and printed extremes.
+
+    Distinct values are counted exactly, or with ``relative_error`` by sketches, which shuffle no values.
+    """
     numeric = set(numeric_columns(df))
     extremes = df.agg(
         F.lit(0).alias("_none"),
@@ -316,7 +319,7 @@ def data_dictionary(df: DataFrame) -> DataFrame:
     # All three inputs have one row per column of the profiled table.
     return (
         type_census(df)
-        .join(F.broadcast(distinct_counts(df, df.columns)), "column", "left")
+        .join(F.broadcast(distinct_counts(df, df.columns, relative_error)), "column", "left")
         .join(F.broadcast(bounds), "column")
         .select(
             "column",

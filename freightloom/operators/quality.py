@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,3 +115,62 @@ def schema_contract(df: DataFrame, contract: T.StructType) -> DataFrame:
             )
         )
     return counts.select(F.inline(F.array(*found)))
+
+
+#: Column in which quarantined rows say which rules they broke.
+BROKEN = "broken_rules"
+
+
+def rule_not_null(column: str) -> Column:
+    """Rule: the column has a value."""
+    return F.col(quoted(column)).isNotNull()
+
+
+def rule_castable(column: str, type_name: str) -> Column:
+    """Rule: the column is missing or holds a value of the type."""
+    value = F.col(quoted(column))
+    return value.isNull() | safe_cast(value, type_name).isNotNull()
+
+
+def with_broken_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Every row with the names of the rules it breaks, in their order. A rule that gives NULL is broken."""
+    broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
+    return df.withColumn(BROKEN, F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>"))
+
+
+def passed(checked: DataFrame) -> DataFrame:
+    """Rows of ``with_broken_rules`` that break none, as they were."""
+    return checked.where(F.size(BROKEN) == 0).drop(BROKEN)
+
+
+def quarantined(checked: DataFrame) -> DataFrame:
+    """Rows of ``with_broken_rules`` that break a rule, with the rules."""
+    return checked.where(F.size(BROKEN) > 0)
+
+
+def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Per rule ``rule, n_rows, failures``: all rules of a table in one aggregate over one scan."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"_{i}") for i, rule in enumerate(rules.values())],
+    )
+    found = [
+        F.struct(F.lit(name).alias("rule"), F.col("_rows").alias("n_rows"), F.col(f"_{i}").alias("failures")) for i, name in enumerate(rules)
+    ]
+    return counts.select(F.inline(F.array(*found)))
+
+
+def write_checked(df: DataFrame, rules: Mapping[str, Column], path: str) -> None:
+    """Write good rows and quarantined ones in one pass, under ``path/quarantine=false`` and ``path/quarantine=true``.
+
+    Good rows have an empty ``broken_rules`` there; ``read_checked`` gives either side.
+    """
+    checked = with_broken_rules(df, rules)
+    checked.withColumn("quarantine", F.size(BROKEN) > 0).write.mode("append").partitionBy("quarantine").parquet(path)
+
+
+def read_checked(spark: SparkSession, path: str, schema: T.StructType, quarantine: bool = False) -> DataFrame:
+    """Good rows of ``write_checked``, or the quarantined ones with the rules they broke; only their folder is scanned."""
+    whole = T.StructType([*schema.fields, T.StructField(BROKEN, T.ArrayType(T.StringType())), T.StructField("quarantine", T.BooleanType())])
+    rows = spark.read.schema(whole).parquet(path).where(F.col("quarantine") == quarantine).drop("quarantine")
+    return rows if quarantine else rows.drop(BROKEN)

@@ -19,6 +19,8 @@ from ..operators.dedup import dedupe_by_key
 from ..operators.projection import missing_columns, quoted, standardise_names, union_all_by_name
 from ..schema import MART_SCHEMAS, TABLES
 from ..sources import load_full_refresh, read_bronze, write_tables
+from ..sources.file_index import overlapping_files, read_files, refresh_index
+from ..sources.snapshots import remove_folder
 from .analyses import high_water_mark, not_before
 from .marts import build_marts
 from .staging import ORDER_PARTS, stage, with_order_ts
@@ -66,6 +68,7 @@ def run_batch(
     partitions: int | None = None,
     lenient_dates: bool = False,
     incremental: bool = False,
+    index_path: str | None = None,
 ) -> list[str]:
     """Rebuild star files, warehouse, staging and marts from the landed records, and check them.
 
@@ -74,6 +77,8 @@ def run_batch(
     that land later but are older are left to the next full run); without an
     earlier run it reads all. Orders are staged with a typed
     timestamp, in folders by year and month, so that date filters skip folders;
+    with ``index_path`` such a run keeps an index of the landed files there, and
+    opens only those that may hold records as new (``sources.file_index``);
     each staging table is stored once and also readable as the view ``stg_<table>``.
     Every step overwrites its target and the mark is written last, so a failed
     run is repeated as a whole. Findings of the checks are in the table
@@ -85,6 +90,10 @@ def run_batch(
     before = last_mark(spark, database)
     kept: dict[str, DataFrame] = {}
     if incremental and before:
+        if index_path:
+            refresh_index(spark, bronze_path, index_path)
+            files = overlapping_files(spark, bronze_path, index_path, before[1], untimed=True)
+            bronze = standardise_names(read_files(spark, files, read_bronze(spark, bronze_path).schema))
         bronze = not_before(bronze.withColumn("_ts", ordered), "_ts", before[1]).drop("_ts")
         kept = _read_survivors(spark, star_path, before[0])
     run = before[0] + 1 if before else 1
@@ -115,6 +124,8 @@ def run_batch(
     spark.createDataFrame([(run, mark)], "run bigint, mark timestamp_ntz").write.mode("append").saveAsTable(
         f"{database}.{MARKS}"
     )
+    if before:  # nothing reads the survivors of the run before any more
+        remove_folder(spark, _survivor_folder(star_path, before[0]))
     return [f"{database}.{name}" for name in marts]
 
 

@@ -32,20 +32,27 @@ from ..operators.monthly import MONTH_KEYS, by_month, month_columns, order_time,
 COMPLETED = "COMPLETED"
 
 
-def monthly_customers(orders: DataFrame, lenient_dates: bool = False) -> DataFrame:
-    """Distinct customers per month."""
-    return by_month(orders, lenient=lenient_dates).agg(
-        F.count_distinct("order_customer_id").alias("distinct_customers")
+def monthly_customers(
+    orders: DataFrame, lenient_dates: bool = False, relative_error: float | None = None
+) -> DataFrame:
+    """Distinct customers per month; with ``relative_error`` by sketches, which shuffle no customer ids."""
+    counted = (
+        F.count_distinct("order_customer_id")
+        if relative_error is None
+        else F.approx_count_distinct("order_customer_id", relative_error)
     )
+    return by_month(orders, lenient=lenient_dates).agg(counted.alias("distinct_customers"))
 
 
-def customer_retention_rate(orders: DataFrame, lenient_dates: bool = False) -> DataFrame:
+def customer_retention_rate(
+    orders: DataFrame, lenient_dates: bool = False, relative_error: float | None = None
+) -> DataFrame:
     """Monthly customers, their running total, and the previous total over the current one.
 
     The "rate" is a ratio of running totals in which a customer counts again in
     every month, not a cohort retention. The first month is 1.0.
     """
-    return retention_report(monthly_customers(orders, lenient_dates))
+    return retention_report(monthly_customers(orders, lenient_dates, relative_error))
 
 
 def retention_report(monthly: DataFrame) -> DataFrame:

@@ -83,6 +83,26 @@ def test_incremental_runs_give_what_a_full_run_gives(spark, delivered, tmp_path)
         assert rows(spark.table(f"step_test.{name}")) == rows(spark.table(f"whole_test.{name}")), name
 
 
+def test_an_indexed_incremental_run_opens_only_new_files(spark, delivered, tmp_path, monkeypatch):
+    from freightloom.plans import batch
+
+    deliveries, flat = delivered
+    bronze, index, star = str(tmp_path / "bronze"), str(tmp_path / "index"), str(tmp_path / "star")
+    opened = []
+    read = batch.read_files
+    monkeypatch.setattr(batch, "read_files", lambda spark, files, schema: opened.append(files) or read(spark, files, schema))
+    for part in deliveries:
+        part.coalesce(2).write.mode("append").parquet(bronze)
+        run_batch(spark, bronze, star, "indexed_test", as_of=AS_OF, incremental=True, index_path=index)
+    landed = len(spark.read.parquet(bronze).inputFiles())
+    assert [len(files) <= 4 for files in opened] == [True, True] and landed == 6
+    whole = {name: stage(flat, name) for name in ("order", "shipping", "product", "department")}
+    for name, mart in marts.build_marts(whole, as_of=AS_OF).items():
+        assert rows(spark.table(f"indexed_test.{name}")) == rows(mart), name
+    # Survivors are kept for the next run only.
+    assert [p.name for p in (tmp_path / "star" / "_survivors").iterdir()] == ["3"]
+
+
 def test_deliveries_that_split_a_timestamp_and_hold_null_dates(spark, sf_dir, tmp_path):
     """Records of one time land in two deliveries, as do records without a date and with an unreadable one."""
     date, order = "order date (DateOrders)", F.col("Order Id").cast("long")

@@ -1,6 +1,7 @@
 import datetime as dt
 
-from helpers import rows
+from helpers import plan_of, rows
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightloom.operators import quality
@@ -52,3 +53,32 @@ def test_marts_keep_their_contract(spark):
     shipping = spark.createDataFrame([("a", 1, 2, "m", "Late")], TABLES["shipping"].staged_schema)
     report = quality.schema_contract(marts.payment_delays(shipping), MART_SCHEMAS["payment_delays"])
     assert {r.status for r in report.collect()} == {"ok"}
+
+
+RULES = {"has id": quality.rule_not_null("id"), "number": quality.rule_castable("t", "double"), "small": F.col("t").try_cast("double") < 10}
+
+
+def odd(spark):
+    return spark.createDataFrame([(1, "5"), (None, "7"), (2, "x"), (3, None), (None, "99"), (4, "1")], "id int, t string")
+
+
+def test_rows_are_routed_by_the_rules_they_break(spark, tmp_path):
+    path, df = str(tmp_path / "checked"), odd(spark)
+    quality.write_checked(df, RULES, path)
+    quality.write_checked(df.where("false"), RULES, path)  # nothing lands
+    assert rows(quality.read_checked(spark, path, df.schema)) == [(1, "5"), (4, "1")]
+    aside = quality.read_checked(spark, path, df.schema, quarantine=True)
+    assert {(r.id, r.t): r.broken_rules for r in aside.collect()} == {
+        (None, "7"): ["has id"], (2, "x"): ["number", "small"], (3, None): ["small"], (None, "99"): ["has id", "small"],
+    }
+    assert all("quarantine=true" in f for f in aside.inputFiles()) or "PartitionFilters: [isnotnull(quarantine" in plan_of(aside)
+
+
+def test_all_rules_take_one_scan(spark, tmp_path):
+    path = str(tmp_path / "odd")
+    odd(spark).write.parquet(path)
+    report = quality.rule_report(spark.read.parquet(path), RULES)
+    assert rows(report) == sorted([("has id", 6, 2), ("number", 6, 1), ("small", 6, 3)])
+    assert plan_of(report).count("FileScan parquet") == 1
+    assert rows(quality.rule_report(odd(spark).where("false"), RULES)) == sorted((name, 0, 0) for name in RULES)
+    assert quality.passed(quality.with_broken_rules(odd(spark), {})).count() == 6

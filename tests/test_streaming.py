@@ -12,8 +12,10 @@ from freightloom.streaming import (
     kafka_source_options,
     land,
     land_counted,
+    land_observed,
     landed_batches,
     landed_file_metrics,
+    observed_batches,
     publish,
 )
 
@@ -96,6 +98,23 @@ def test_counts_are_complete_over_many_batches_and_a_restart(spark, folder):
     assert spark.read.schema("id int").parquet(out).count() == 106
 
 
+def test_observed_metrics_are_complete_over_a_restart_without_a_second_read(spark, folder):
+    out, metrics, checkpoint = (str(folder / p) for p in ("out", "metrics", "checkpoint"))
+    for number in range(3):
+        for k in range(2):
+            deliver(folder, f"{number}-{k}.json", [{"id": 10 * number + k}, {"id": None}])
+        stream = lines(spark, folder, "id int", per_trigger=1)
+        land_observed(stream, out, metrics, checkpoint, {"low": F.min("id"), "n_ids": F.count("id")}).awaitTermination()
+    found = observed_batches(spark, metrics)
+    assert rows(found.select("n_rows", "low", "n_ids")) == sorted((2, 10 * n + k, 1) for n in range(3) for k in range(2))
+    assert sorted(values(found.select("batch_id"))) == list(range(6))
+    # A batch whose commit was lost is written again, and its metrics with it.
+    (folder / "checkpoint" / "commits" / "5").unlink()
+    (folder / "checkpoint" / "commits" / ".5.crc").unlink()
+    land_observed(stream, out, metrics, checkpoint, {"low": F.min("id"), "n_ids": F.count("id")}).awaitTermination()
+    assert observed_batches(spark, metrics).agg(F.sum("n_rows")).first()[0] == 12 == spark.read.schema("id int").parquet(out).count()
+
+
 def test_clean_and_stamp(spark, folder):
     deliver(folder, "1.json", [{"id": 1, "v": "x"}, {"id": 2}, {"v": "y"}])
     drain(clean_and_stamp(lines(spark, folder, "id int, v string")), folder)
