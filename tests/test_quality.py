@@ -55,7 +55,8 @@ def test_marts_keep_their_contract(spark):
     assert {r.status for r in report.collect()} == {"ok"}
 
 
-RULES = {"has id": quality.rule_not_null("id"), "number": quality.rule_castable("t", "double"), "small": F.col("t").try_cast("double") < 10}
+def rules():
+    return {"has id": quality.rule_not_null("id"), "number": quality.rule_castable("t", "double"), "small": F.col("t").try_cast("double") < 10}
 
 
 def odd(spark):
@@ -64,8 +65,8 @@ def odd(spark):
 
 def test_rows_are_routed_by_the_rules_they_break(spark, tmp_path):
     path, df = str(tmp_path / "checked"), odd(spark)
-    quality.write_checked(df, RULES, path)
-    quality.write_checked(df.where("false"), RULES, path)  # nothing lands
+    quality.write_checked(df, rules(), path)
+    quality.write_checked(df.where("false"), rules(), path)  # nothing lands
     assert rows(quality.read_checked(spark, path, df.schema)) == [(1, "5"), (4, "1")]
     aside = quality.read_checked(spark, path, df.schema, quarantine=True)
     assert {(r.id, r.t): r.broken_rules for r in aside.collect()} == {
@@ -77,8 +78,8 @@ def test_rows_are_routed_by_the_rules_they_break(spark, tmp_path):
 def test_all_rules_take_one_scan(spark, tmp_path):
     path = str(tmp_path / "odd")
     odd(spark).write.parquet(path)
-    report = quality.rule_report(spark.read.parquet(path), RULES)
-    assert rows(report) == sorted([("has id", 6, 2), ("number", 6, 1), ("small", 6, 3)])
+    report = quality.rule_report(spark.read.parquet(path), rules())
     assert plan_of(report).count("FileScan parquet") == 1
-    assert rows(quality.rule_report(odd(spark).where("false"), RULES)) == sorted((name, 0, 0) for name in RULES)
+    assert rows(report) == sorted([("has id", 6, 2), ("number", 6, 1), ("small", 6, 3)])
+    assert rows(quality.rule_report(odd(spark).where("false"), rules())) == sorted((name, 0, 0) for name in rules())
     assert quality.passed(quality.with_broken_rules(odd(spark), {})).count() == 6
