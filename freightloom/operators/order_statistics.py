@@ -5,9 +5,9 @@ rank is closed in on instead: a quantile sketch of each column gives two values
 around every rank; one count of all
 columns tells how many values lie before these cuts, and a filter brings the few
 values around the ranks along. That is three scans for all columns and ranks. Of columns so
-large that more than ``CARRIED`` values lie around a rank, what lies strictly
+large that more than ``CARRIED`` values lie around a rank, what lies
 between two cuts is looked at in further rounds, of two aggregations each,
-that leave a few thousandths of the values, or none. Values at which the rank
+that leave a few thousandths of the values, until few enough are left to be brought along. Values at which the rank
 falls are found as such, so repeated values, infinities and any spread of
 magnitudes take the same path, and no task ever holds the values of a column.
 """
@@ -74,7 +74,23 @@ def _in_ranges(df: DataFrame, ranges: Sequence[tuple], names: str) -> DataFrame:
     rows = [(r[0], columns.index(r[1]), *r[2:]) for r in ranges]
     table = df.sparkSession.createDataFrame(rows, names)
     inside = (F.col("position") == F.col("at")) & F.col("value").between(F.col("low"), F.col("high"))
-    return cells(df, columns).join(F.broadcast(table), inside, "inner")
+    return _cells_within(df, {c: [(r[2], r[3]) for r in ranges if r[1] == c] for c in columns}).join(F.broadcast(table), inside, "inner")
+
+
+def _cells_within(df: DataFrame, ranges: dict[str, list[tuple[float, float]]]) -> DataFrame:
+    """``cells`` of the columns that lie in one of their ranges; others are left out before rows become cells."""
+    within = {}
+    for column, own in ranges.items():
+        own = sorted(set(own))
+        # Many ranges are looked at as one, so that the test of a row stays short.
+        own = own if len(own) <= BRACKETS else [(own[0][0], max(high for _, high in own))]
+        value = _number(df, column)
+        within[column] = functools.reduce(operator.or_, [value.between(low, high) for low, high in own])
+    pairs = [
+        F.struct(F.lit(i).alias("position"), F.when(test, _number(df, c)).alias("value")) for i, (c, test) in enumerate(within.items())
+    ]
+    rows = df.where(functools.reduce(operator.or_, within.values()))
+    return rows.select(F.inline(F.array(*pairs))).where("value is not null")
 
 
 def _brackets(df: DataFrame, spans: Sequence[_Span]) -> list[tuple[float, float]]:
@@ -171,8 +187,20 @@ def _bracket(own: Sequence[float], rank: int, rows: int) -> tuple[int, int]:
     return max(0, math.floor((share - 2 / ACCURACY) * GRID)), min(GRID, math.ceil((share + 2 / ACCURACY) * GRID))
 
 
+def _carried(df: DataFrame, spans: Sequence[_Span]) -> list[_Span]:
+    """Spans of at most ``CARRIED`` values, found among these; one scan."""
+    keys = sorted({s.key for s in spans})
+    held: list[list[float]] = [[] for _ in keys]
+    for row in _in_ranges(df, [(i, *k) for i, k in enumerate(keys)], "number int, at int, low double, high double").select("number", "value").collect():
+        held[row.number].append(row.value)
+    for values in held:
+        values.sort()
+    found = [held[keys.index(s.key)][s.rank - s.below] for s in spans]
+    return [dataclasses.replace(s, low=v, high=v) for s, v in zip(spans, found)]
+
+
 def _located(df: DataFrame, spans: Sequence[_Span], edges: Edges) -> list[_Span]:
-    """Spans of whole columns whose rank falls on a cut, or among the few values around it, are found.
+    """Spans of whole columns whose rank falls on a cut, or among the few values around it, are found; others shrink to the cuts.
 
     One scan counts the values before and up to each cut, another brings what lies around the ranks along; plain
     counts and filters, which generated code computes.
@@ -214,20 +242,22 @@ def _located(df: DataFrame, spans: Sequence[_Span], edges: Edges) -> list[_Span]
     for held in values.values():
         held.sort()
 
-    def at(span: _Span) -> float | None:
+    def at(span: _Span) -> _Span:
         for left, right in brackets[span.column]:
             before, upto, below_right, upto_right = counted[span.column, left, right]
             if before <= span.rank < upto:
-                return left
+                return dataclasses.replace(span, low=left, high=left)
             if below_right <= span.rank < upto_right:
-                return right
-            if upto <= span.rank < below_right and (left, right) in near.get(span.column, ()):
+                return dataclasses.replace(span, low=right, high=right)
+            if upto <= span.rank < below_right:
+                if (left, right) not in near.get(span.column, ()):
+                    return dataclasses.replace(span, low=left, high=right, below=before, rows=upto_right - before)
                 held = values[span.column]
-                return held[bisect.bisect_right(held, left) + span.rank - upto]
-        return None
+                value = held[bisect.bisect_right(held, left) + span.rank - upto]
+                return dataclasses.replace(span, low=value, high=value)
+        return span
 
-    located = [(span, at(span)) for span in spans]
-    return [span if value is None else dataclasses.replace(span, low=value, high=value) for span, value in located]
+    return [at(span) for span in spans]
 
 
 def values_at_ranks(
@@ -246,7 +276,9 @@ def values_at_ranks(
         at = {(s.column, s.rank): s for s in _located(df, wide, edges)}
         spans = [at.get((s.column, s.rank), s) for s in spans]
     while open_spans := [s for s in spans if s.low < s.high]:
-        narrowed = {(s.column, s.rank): s for s in _narrow(df, open_spans)}
+        few, many = ([s for s in open_spans if (s.rows <= CARRIED) == own] for own in (True, False))
+        closer = (_carried(df, few) if few else []) + (_narrow(df, many) if many else [])
+        narrowed = {(s.column, s.rank): s for s in closer}
         spans = [narrowed.get((s.column, s.rank), s) for s in spans]
     return {(s.column, s.rank): s.low for s in spans}
 
