@@ -22,7 +22,7 @@ from freightloom.sources import (
     write_tables,
 )
 
-from .fixture import flat_orders, table
+from .fixture import flat_orders, line_items, table
 from .registry import query
 from .sql import FIRST_ROWS, over_flat
 
@@ -131,6 +131,9 @@ def json_decode(spark, sf_dir):
     )
 
 
+#: Records for which a further file is written.
+FILE_ROWS = 500_000
+
 STAR_SIZES = {
     "customer": "COUNT(DISTINCT Customer_Id)",
     "product": "COUNT(DISTINCT Product_Card_Id)",
@@ -153,7 +156,9 @@ STAR_SIZES = {
 )
 def star_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "star")
-    write_tables(split_star(flat_orders(spark, sf_dir)), path, partitions=4)
+    # Four files a table, and more for input beyond that.
+    files = max(4, -(-line_items(spark, sf_dir).count() // FILE_ROWS))
+    write_tables(split_star(flat_orders(spark, sf_dir)), path, partitions=files)
     return spark.read.parquet(f"{path}/order_fact")
 
 
