@@ -32,6 +32,9 @@ dedup_flag_copies profile_quantiles_extreme profile_numeric_without_numbers prof
 agg_sum_small agg_sum_product_fractional limit_cap_staged limit_cap_text_key
 batch_customer_retention_rate batch_financial_commitments batch_fraud_detection batch_inventory_levels
 batch_overall_performance batch_payment_delays batch_incremental
+batch_months batch_months_retention batch_months_commitments batch_months_inventory batch_months_delays
+agg_count_distinct_sketch batch_snapshot src_skipping_scan dq_quarantine dq_rule_report limit_cap_hot_key
+stream_observed_metrics
 """.split()
 
 
