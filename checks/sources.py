@@ -22,7 +22,7 @@ from freightloom.sources import (
     write_tables,
 )
 
-from .fixture import flat_orders, line_items, table
+from .fixture import flat_orders, landed_orders, line_items, table
 from .registry import query
 from .sql import FIRST_ROWS, over_flat
 
@@ -175,7 +175,7 @@ def star_roundtrip(spark, sf_dir):
 def full_refresh(spark, sf_dir):
     """Loaded twice: the second load must replace the first."""
     path, database = scratch_dir(spark, "star"), f"freight_{uuid.uuid4().hex}"
-    write_tables(split_star(flat_orders(spark, sf_dir, customers=True)), path)
+    write_tables(split_star(landed_orders(spark, sf_dir, customers=True)), path)
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'warehouse')}'")
     load_full_refresh(spark, path, database)
     load_full_refresh(spark, path, database)

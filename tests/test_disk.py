@@ -1,0 +1,101 @@
+"""What runs leave on the disks while they go on: shuffles of the steps behind them, and files that only they read."""
+
+import os
+import threading
+import time
+
+import checks.batch
+import checks.deliveries
+import checks.fixture
+import checks.sources
+import pytest
+from checks.fixture import AS_OF, flat_orders, flat_records, land
+from helpers import rows
+from pyspark.sql import functions as F
+
+from freightloom.plans.batch import run_batch
+from freightloom.plans.deliveries import merge_delivery
+from freightloom.session import DROP_SHUFFLES, shuffles_dropped
+from freightloom.sources import write_tables
+from freightloom.sources.snapshots import SnapshotStore
+
+
+def shuffle_bytes(spark):
+    """Bytes of the shuffles that are kept."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = manager.getAllFiles().iterator()
+    sizes = []
+    while files.hasNext():
+        file = files.next()
+        if file.getName().startswith("shuffle_"):
+            sizes.append(file.length())
+    return sum(sizes)
+
+
+def dropped(spark, before):
+    """Whether no more shuffle files are kept than before; they are removed in the background."""
+    until = time.time() + 20
+    while shuffle_bytes(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    return shuffle_bytes(spark) <= before
+
+
+@pytest.fixture
+def in_shares(monkeypatch, spark, sf_dir):
+    monkeypatch.setattr(checks.fixture, "ITEMS_AT_ONCE", 2_000)
+    assert checks.fixture.shares(spark, sf_dir) == 3
+
+
+def test_shuffles_are_dropped_within_and_kept_after(spark, tmp_path):
+    spark.conf.unset(DROP_SHUFFLES)
+    wide = spark.range(20_000).repartition(3)
+    before = shuffle_bytes(spark)
+    with shuffles_dropped(spark):
+        wide.write.parquet(str(tmp_path / "a"))
+        assert dropped(spark, before)
+        with shuffles_dropped(spark):
+            pass
+        assert spark.conf.get(DROP_SHUFFLES) == "true"  # until the outer one ends
+    assert spark.conf.get(DROP_SHUFFLES, None) in (None, "false")
+    spark.range(20_000).repartition(3).write.parquet(str(tmp_path / "b"))
+    assert shuffle_bytes(spark) > before
+
+
+def test_threads_leave_the_setting_as_it_was(spark):
+    spark.conf.set(DROP_SHUFFLES, "false")
+    inside, done = threading.Barrier(3), []
+
+    def work(rank):
+        with shuffles_dropped(spark):
+            inside.wait(30)
+            done.append(spark.conf.get(DROP_SHUFFLES))
+
+    threads = [threading.Thread(target=work, args=(i,)) for i in range(3)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert done == ["true"] * 3 and spark.conf.get(DROP_SHUFFLES) == "false"
+    with pytest.raises(ValueError), shuffles_dropped(spark):
+        raise ValueError
+    assert spark.conf.get(DROP_SHUFFLES) == "false"
+    spark.conf.unset(DROP_SHUFFLES)
+
+
+def test_tables_are_written_without_leaving_shuffles(spark, tmp_path):
+    before = shuffle_bytes(spark)
+    write_tables({f"t{i}": spark.range(20_000).repartition(3) for i in range(3)}, str(tmp_path))
+    assert dropped(spark, before)
+
+
+def test_shares_hold_each_record_once(spark, sf_dir, in_shares, tmp_path):
+    before, path = shuffle_bytes(spark), str(tmp_path / "flat")
+    assert land(spark, sf_dir, path, lambda joined: flat_records(joined, customers=True), customers=True) == 3
+    assert dropped(spark, before)
+    assert rows(spark.read.parquet(path)) == rows(flat_orders(spark, sf_dir, customers=True))
+    shares = [checks.fixture.joined_items(spark, sf_dir, share=(i, 3)).select("o_orderkey").distinct() for i in range(3)]
+    assert min(s.count() for s in shares) > 0 and shares[0].intersect(shares[1].union(shares[2])).isEmpty()
+
+
+def test_orders_landed_in_their_own_types_give_the_flat_records(spark, sf_dir, in_shares):
+    for customers in (False, True):
+        landed, flat = (f(spark, sf_dir, customers) for f in (checks.fixture.landed_orders, flat_orders))
+        assert landed.columns == flat.columns and rows(landed) == rows(flat)
