@@ -158,7 +158,7 @@ def star_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "star")
     # Four files a table, and more for input beyond that.
     files = max(4, -(-line_items(spark, sf_dir).count() // FILE_ROWS))
-    write_tables(split_star(flat_orders(spark, sf_dir)), path, partitions=files)
+    write_tables(split_star(landed_orders(spark, sf_dir)), path, partitions=files)
     return spark.read.parquet(f"{path}/order_fact")
 
 
