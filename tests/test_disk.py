@@ -99,3 +99,34 @@ def test_orders_landed_in_their_own_types_give_the_flat_records(spark, sf_dir, i
     for customers in (False, True):
         landed, flat = (f(spark, sf_dir, customers) for f in (checks.fixture.landed_orders, flat_orders))
         assert landed.columns == flat.columns and rows(landed) == rows(flat)
+
+
+def test_deliveries_in_shares_are_the_same(spark, sf_dir, monkeypatch):
+    whole = [rows(d) for d in checks.deliveries.deliveries(spark, sf_dir)]
+    monkeypatch.setattr(checks.fixture, "ITEMS_AT_ONCE", 2_000)
+    items, n = checks.deliveries.landed_items(spark, sf_dir)
+    for name, want in zip(("first", "second"), whole):
+        assert rows(checks.deliveries.delivery(items, name)) == want
+        parts = [checks.deliveries.delivery(items.where(F.col(checks.fixture.SHARE) == i), name) for i in range(n)]
+        assert n == 3 and sorted((r for p in parts for r in rows(p)), key=repr) == want
+
+
+def test_a_draft_writes_several_frames_as_one_table(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    draft = store.draft()
+    frames = [spark.createDataFrame([(i, "a" if i < 3 else "b") for i in some], "k bigint, label string") for some in ([1, 5], [2], [], [7])]
+    assert sorted(draft.write("t", frames, F.col("label"), F.col("k"))) == ["a", "b"]
+    draft.publish()
+    assert rows(store.read("t")) == [(1, "a"), (2, "a"), (5, "b"), (7, "b")]
+    assert [(p.part, p.n_rows, p.key_low, p.key_high) for p in store.parts()] == [("a", 2, 1, 2), ("b", 2, 5, 7)]
+
+
+def test_merges_leave_only_what_they_publish(spark, sf_dir, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    flat = flat_orders(spark, sf_dir, customers=True).where(F.col("Order Id").cast("int") % 20 == 0)
+    store = SnapshotStore(spark, str(tmp_path))
+    before, held = shuffle_bytes(spark), set(os.listdir(root))
+    for part in (flat.where(F.col("Order Id").cast("int") % 40 == 0), flat):
+        merge_delivery(spark, store, part, as_of=AS_OF)
+    assert set(os.listdir(root)) == held
+    assert dropped(spark, before)
