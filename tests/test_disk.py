@@ -111,6 +111,12 @@ def test_deliveries_in_shares_are_the_same(spark, sf_dir, monkeypatch):
         assert n == 3 and sorted((r for p in parts for r in rows(p)), key=repr) == want
 
 
+def test_skipping_scan_in_shares_gives_the_same(spark, sf_dir, monkeypatch):
+    whole = rows(checks.deliveries.skipping_scan(spark, sf_dir))
+    monkeypatch.setattr(checks.fixture, "ITEMS_AT_ONCE", 2_000)
+    assert rows(checks.deliveries.skipping_scan(spark, sf_dir)) == whole != []
+
+
 def test_a_draft_writes_several_frames_as_one_table(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     draft = store.draft()
