@@ -136,3 +136,11 @@ def test_merges_leave_only_what_they_publish(spark, sf_dir, tmp_path):
         merge_delivery(spark, store, part, as_of=AS_OF)
     assert set(os.listdir(root)) == held
     assert dropped(spark, before)
+
+
+def test_a_batch_run_leaves_no_shuffles(spark, sf_dir, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    flat_orders(spark, sf_dir).where(F.col("Order Id").cast("int") % 20 == 0).write.parquet(bronze)
+    before = shuffle_bytes(spark)
+    run_batch(spark, bronze, str(tmp_path / "star"), "disk", as_of=AS_OF)
+    assert dropped(spark, before)
